@@ -74,6 +74,8 @@ def indicator_state(enriched: DataFrame, cols: list[str], key: str = "symbol",
     aggs.append(F.max(time_col).alias("last_datetime"))
     out = enriched.groupBy(key).agg(*aggs)
     if tail > 0:
+        aggs.append(F.count(F.lit(1)).alias("n_bars"))
+        out = enriched.groupBy(key).agg(*aggs)
         w = Window.partitionBy(key).orderBy(F.col(time_col).desc())
         t = (enriched.select(key, time_col, "high", "low")
                      .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= tail)

@@ -1,5 +1,135 @@
-"""Streaming twins of the batch queries (filled in below)."""
+"""Streaming queries of the catalog.
+
+Each writes its input (bars derived by Spark from ``events``) into a fresh
+folder under the shared checkpoint root, streams it with
+``trigger(availableNow=True)`` into a parquet sink, and returns the sink
+read back as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barsmith.functions.parse import wire_value
+from barsmith.operators import bars as B
+from barsmith.operators.ema import indicators
+from barsmith.operators.sma import sma_join, sma_windows
+from barsmith.plans.enriched import served_columns
+from barsmith.schema import BAR_SCHEMA
+from barsmith.session import scratch_path
+from barsmith.sources import tables
+from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
+from barsmith.streaming.sinks import run, start
+from barsmith.streaming.sources import bar_file_stream, wall_time, wire_file_stream
+
+# --- fixed query parameters (same scale as the batch catalog) ----------------
+WINDOW = "20 hours"
+SLIDE = "1 hour"
+WATERMARK = "2 seconds"
+STATE_PARTITIONS = 4
+PRICE_DECIMALS = 2
+WARM_CUTOFF = "2024-01-20 00:00:00"
+# ----------------------------------------------------------------------------
+
+BAR_COLS = ["symbol", "datetime", "open", "high", "low", "close", "volume"]
+
+
+def _write_bars(spark: SparkSession, df: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    df.select(*BAR_COLS).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _sink(spark: SparkSession, name: str) -> tuple[str, str]:
+    base = scratch_path(spark, name)
+    return f"{base}/out", f"{base}/_checkpoint"
+
+
+def _finish(spark: SparkSession, stream: DataFrame, name: str,
+            partition_by=("symbol",)) -> DataFrame:
+    out, ckpt = _sink(spark, name)
+    run(start(stream, ckpt, out, partition_by=partition_by, state_partitions=STATE_PARTITIONS))
+    return spark.read.parquet(out)
+
+
+def q_stream_sma_windows(spark, sf):
+    src = _write_bars(spark, tables.bars_1h(spark, sf), "bars")
+    s = bar_file_stream(spark, src, BAR_SCHEMA).withWatermark("datetime", WATERMARK)
+    agg = sma_windows(s, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS)
+    res = _finish(spark, agg, "stream-sma-windows")
+    return res.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "sma_20")
+
+
+def q_stream_sma(spark, sf):
+    """The reference's stream job on bars: watermark once, 20-hour sliding
+    means, joined back on the window end; append output."""
+    src = _write_bars(spark, tables.bars_1h(spark, sf), "bars")
+    s = bar_file_stream(spark, src, BAR_SCHEMA).withWatermark("datetime", WATERMARK)
+    j = sma_join(s, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS)
+    res = _finish(spark, j.select("symbol", "datetime", "close", "sma_20"), "stream-sma")
+    return wall_time(res).select("symbol", "datetime", "close", "sma_20")
+
+
+def q_stream_enriched(spark, sf):
+    """Whole stream path: bars with batch indicators go out as JSON wire
+    messages (all fields text); the stream parses them, adds the SMA and
+    appends the 15 served columns."""
+    ind = indicators(tables.bars_1h(spark, sf))
+    wire = ind.select("symbol", wire_value(ind).alias("value"))
+    path = scratch_path(spark, "wire")
+    wire.write.mode("overwrite").json(path)
+    s = wire_file_stream(spark, path).withWatermark("datetime", WATERMARK)
+    j = served_columns(sma_join(s, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS))
+    res = wall_time(_finish(spark, j, "stream-enriched"))
+    r6 = {c: F.round(c, 6) for c in ("ema_12", "ema_16", "ema_30", "ema_200", "signal", "macd")}
+    return res.select("symbol", *served_columns(res).columns[1:]).withColumns(r6)
+
+
+def _live_out(res: DataFrame) -> DataFrame:
+    r6 = {c: F.round(c, 6) for c in ("ema_12", "ema_16", "ema_30", "ema_200", "macd", "signal")}
+    return wall_time(res).select("symbol", "datetime", "ema_12", "ema_16", "ema_30", "ema_200",
+                                 "macd", "signal", "support", "resistance").withColumns(r6)
+
+
+def q_stream_indicators(spark, sf):
+    """Keyed live recursion over the whole bar stream (no warm state)."""
+    src = _write_bars(spark, tables.bars_1h(spark, sf), "bars")
+    s = bar_file_stream(spark, src, BAR_SCHEMA)
+    return _live_out(_finish(spark, live_indicators(s), "stream-indicators"))
+
+
+def q_stream_warm_start(spark, sf):
+    """History before the cutoff in batch, handed over as state; the rest live."""
+    bars = tables.bars_1h(spark, sf)
+    cut = F.lit(WARM_CUTOFF).cast("timestamp_ntz")
+    warm = indicators(bars.where(F.col("datetime") < cut), levels=False)
+    state = save_warm_state(warm_state(warm), scratch_path(spark, "warm-state"))
+    src = _write_bars(spark, bars.where(F.col("datetime") >= cut), "live")
+    s = bar_file_stream(spark, src, BAR_SCHEMA)
+    return _live_out(_finish(spark, live_indicators(s, state), "stream-warm"))
+
+
+def q_stream_dedup(spark, sf):
+    """A re-fetch that repeats the newest bars arrives after a restart from
+    the checkpoint; the keyed dedup state (bounded by the watermark) drops it."""
+    bars = tables.bars_1h(spark, sf)
+    base = scratch_path(spark, "dedup-src")
+    bars.select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=1")
+    out, ckpt = _sink(spark, "stream-dedup")
+
+    def query():
+        s = bar_file_stream(spark, f"{base}/*", BAR_SCHEMA).withWatermark("datetime", WATERMARK)
+        d = s.dropDuplicatesWithinWatermark(["symbol", "datetime"])
+        return start(d, ckpt, out, state_partitions=STATE_PARTITIONS)
+
+    run(query())
+    B.latest_n_per_symbol(bars, 5).select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=2")
+    run(query())                       # restart: same checkpoint, new file only
+    return wall_time(spark.read.parquet(out)).select(*BAR_COLS)
 
 
 def catalog():
-    return {}
+    return {name[2:]: fn for name, fn in globals().items()
+            if name.startswith("q_") and callable(fn)}
