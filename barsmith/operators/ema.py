@@ -31,6 +31,46 @@ def ema(df: DataFrame, col: str = "close", spans=(12, 16, 30), key: str = "symbo
     return scan_pass(b, key, lg, ScanSpec(recs)).drop("_mid", "_blk", "_src")
 
 
+def signal_terms(spans: list[int], signal_span: int) -> tuple[list[Recurrence], object]:
+    """Signal = EMA_s(EMA_short - EMA_long) as a sum of first-order terms.
+
+    Two chained first-order filters with different decays split by partial
+    fractions into single filters of the input, so the signal needs no
+    second scan over the MACD column.  With ``E_N`` the EMA of span N of the
+    close, ``E_9`` the EMA with the signal's decay and ``Z = b9^(t+1) x0``
+    (the decayed seed, ``E_9`` minus its unseeded twin):
+
+        S = a9 * sum_N sgn_N / (b_N - b9) *
+            (b_N E_N - b9 (a_N/a9) E_9 + (b9 a_N/a9 - b_N) Z)
+
+    over N = short (+1) and long (-1).  S(0) = 0 as in the recursion.
+    Returns the extra recurrences and a function building the column.
+    """
+    short, long_ = min(spans), max(spans)
+    b9 = ema_decay(signal_span)
+    a9 = 1.0 - b9
+    extra = [Recurrence("_e_sig", "_src", b9), Recurrence("_e_sig0", "_src", b9, seeded=False)]
+
+    def column():
+        z = F.col("_e_sig") - F.col("_e_sig0")
+        total = F.lit(0.0)
+        for n, sgn in ((short, 1.0), (long_, -1.0)):
+            bn = ema_decay(n)
+            an = 1.0 - bn
+            c = sgn / (bn - b9)
+            total = total + F.lit(c) * (F.lit(bn) * F.col(f"ema_{n}")
+                                        - F.lit(b9 * an / a9) * F.col("_e_sig")
+                                        + F.lit(b9 * an / a9 - bn) * z)
+        return F.lit(a9) * total
+
+    return extra, column
+
+
+def _one_pass_signal(spans: list[int], signal_span: int) -> bool:
+    decs = {ema_decay(n) for n in (min(spans), max(spans))}
+    return abs(min(abs(d - ema_decay(signal_span)) for d in decs)) > 1e-3
+
+
 def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None = 200,
                signal_span: int = SIGNAL_SPAN, key: str = "symbol", time_col: str = "datetime",
                tie: str | None = None, levels: bool = True, left: int = 4, right: int = 2,
@@ -51,13 +91,18 @@ def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None =
     base = base.withColumn("_src", F.col("close").cast("double"))
     recs = [Recurrence(f"ema_{n}", "_src", ema_decay(n)) for n in all_spans]
     sig = Recurrence("signal", "macd", ema_decay(signal_span))
+    one_pass = _one_pass_signal(spans, signal_span)
+    extra, sig_col = signal_terms(spans, signal_span) if one_pass else ([], None)
     lg = block_log2_for([r.decay for r in recs] + [sig.decay])
     width = left + right + 1
-    spec1 = ScanSpec(recs, ["high", "low"] if levels else [], width - 1 if levels else 0,
+    spec1 = ScanSpec(recs + extra, ["high", "low"] if levels else [], width - 1 if levels else 0,
                      "_idx" if levels else None)
     b = order_blocks(base, key, _order(time_col, tie), lg)
     p1 = scan_pass(b, key, lg, spec1).withColumn("macd", F.col(short) - F.col(long_))
-    p2 = scan_pass(p1, key, lg, ScanSpec([sig]))
+    if one_pass:
+        p2 = p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0")
+    else:
+        p2 = scan_pass(p1, key, lg, ScanSpec([sig]))
     if levels:
         p2 = p2.withColumns(level_columns(left, right, min_prior, level_from))
         p2 = p2.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_idx")
@@ -72,8 +117,12 @@ def macd(df: DataFrame, col: str = "close", spans=tuple(EMA_SPANS), signal_span:
     base = base.withColumn("_src", F.col(col).cast("double"))
     recs = [Recurrence(f"ema_{n}", "_src", ema_decay(n)) for n in spans]
     sig = Recurrence("signal", "macd", ema_decay(signal_span))
+    one_pass = _one_pass_signal(spans, signal_span)
+    extra, sig_col = signal_terms(spans, signal_span) if one_pass else ([], None)
     lg = block_log2_for([r.decay for r in recs] + [sig.decay])
     b = order_blocks(base, key, _order(time_col, tie), lg)
-    p1 = scan_pass(b, key, lg, ScanSpec(recs)).withColumn(
+    p1 = scan_pass(b, key, lg, ScanSpec(recs + extra)).withColumn(
         "macd", F.col(f"ema_{min(spans)}") - F.col(f"ema_{max(spans)}"))
+    if one_pass:
+        return p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0", "_mid", "_blk", "_src")
     return scan_pass(p1, key, lg, ScanSpec([sig])).drop("_mid", "_blk", "_src")

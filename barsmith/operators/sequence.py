@@ -60,10 +60,12 @@ def block_log2_for(decays: list[float]) -> int:
 
 @dataclass
 class Recurrence:
-    """``out = b * out_prev + (1 - b) * src``, seeded with the first ``src``."""
+    """``out = b * out_prev + (1 - b) * src``, seeded with the first ``src``
+    (``seeded=False``: started from 0 instead)."""
     out: str
     src: str
     decay: float
+    seeded: bool = True
 
 
 @dataclass
@@ -74,11 +76,25 @@ class ScanSpec:
     index_col: str | None = None       # 0-based position within the key
 
 
-def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int) -> DataFrame:
-    """Globally sort and tag rows with ``_mid`` (row id) and ``_blk`` (block id)."""
+def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
+                 materialize: bool = True) -> DataFrame:
+    """Globally sort and tag rows with ``_mid`` (row id) and ``_blk`` (block id).
+
+    The ids depend on how the sort split the rows, and the block scan reads
+    them from several branches (rows, block summaries, carries).  So the
+    tagged rows are written once with ``checkpoint()`` to the shared
+    checkpoint folder: every branch then sees the same ids, exchanges above
+    it are reused, and a lost executor re-reads instead of re-sorting.
+    """
+    from barsmith.session import ensure_checkpoint_dir
+
     s = df.orderBy(F.col(key), *[F.col(c) for c in order])
     s = s.withColumn("_mid", F.monotonically_increasing_id())
-    return s.withColumn("_blk", F.shiftright(F.col("_mid"), block_log2))
+    s = s.withColumn("_blk", F.shiftright(F.col("_mid"), block_log2))
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        s = s.checkpoint(eager=True)
+    return s
 
 
 def _fold_schema(key_type: T.DataType, spec: ScanSpec, level: int) -> T.StructType:
@@ -93,64 +109,72 @@ def _fold_schema(key_type: T.DataType, spec: ScanSpec, level: int) -> T.StructTy
     return T.StructType(f)
 
 
-def _make_fold(spec: ScanSpec, seeded: bool):
-    """Exclusive in-order fold of block (or segment) transforms.
+def _make_fold(spec: ScanSpec, seeded: bool, by_segment: bool):
+    """Exclusive in-order fold of block (or segment) transforms, streamed.
 
-    Each input row is the transform of one block: ``n`` rows, local end value
-    ``L`` per recurrence (carry-in 0), first input ``x0``, and the last ``K``
-    values of each lag column.  Output: one row per input with the state
-    *before* it (``_kind`` 0), plus one total row (``_kind`` 1).  With
-    ``seeded`` the state starts from the key's first input (the recurrence
-    seed) instead of the identity.
+    Input: rows sorted by (key[, segment], position) within each partition,
+    all rows of a group in one partition.  Each row is the transform of one
+    block: ``n`` rows, local end value ``L`` per recurrence (carry-in 0),
+    first input ``x0``, and the last ``K`` values of each lag column.
+    Output: per input row the state *before* it (``_kind`` 0), and per group
+    one total row (``_kind`` 1).  With ``seeded`` the state starts from the
+    group's first input (the recurrence seed) instead of the identity.
+    Groups may span Arrow batches; memory stays one batch plus one state.
     """
     decays = [r.decay for r in spec.recurrences]
+    seeds = [seeded and r.seeded for r in spec.recurrences]
     k = spec.max_lag
     n_rec = len(decays)
     n_lag = len(spec.lag_cols)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos", kind="stable")
-        n = pdf["_cnt"].to_numpy(dtype=np.int64)
-        L = [pdf[f"_acc{i}"].to_numpy(dtype=float) for i in range(n_rec)]
-        x0 = [pdf[f"_x0{i}"].to_numpy(dtype=float) for i in range(n_rec)]
-        tails = [list(pdf[f"_halo{i}"]) for i in range(n_lag)]
-        m = len(pdf)
-        acc = [x0[i][0] if seeded else 0.0 for i in range(n_rec)]
-        cnt = 0
-        halo = [[] for _ in range(n_lag)]
-        out_cnt = np.empty(m + 1, dtype=np.int64)
-        out_acc = [np.empty(m + 1) for _ in range(n_rec)]
-        out_halo = [[None] * (m + 1) for _ in range(n_lag)]
-        for j in range(m):
-            out_cnt[j] = cnt
-            for i in range(n_rec):
-                out_acc[i][j] = acc[i]
-                acc[i] = acc[i] * decays[i] ** int(n[j]) + L[i][j]
-            for i in range(n_lag):
-                out_halo[i][j] = list(halo[i])
-                t = tails[i][j]
-                halo[i] = (halo[i] + ([] if t is None else list(t)))[-k:] if k else []
-            cnt += int(n[j])
-        out_cnt[m] = cnt
-        for i in range(n_rec):
-            out_acc[i][m] = acc[i]
-        for i in range(n_lag):
-            out_halo[i][m] = list(halo[i])
-        res = {
-            "_key": [pdf["_key"].iloc[0]] * (m + 1),
-            "_pos": np.append(pdf["_pos"].to_numpy(dtype=np.int64), -1),
-            "_seg": np.append(pdf["_seg"].to_numpy(dtype=np.int64), pdf["_seg"].iloc[0]),
-            "_kind": np.append(np.zeros(m, dtype=np.int32), 1),
-            "_cnt": out_cnt,
-        }
+    names = (["_key", "_pos", "_seg", "_kind", "_cnt"]
+             + [c for i in range(n_rec) for c in (f"_acc{i}", f"_x0{i}")]
+             + [f"_halo{i}" for i in range(n_lag)])
+
+    def run(batches):
+        cur = None
+        cnt, acc, halo, first_x0, cur_seg = 0, [], [], [], 0
+        for pdf in batches:
+            rows = []
+            key = pdf["_key"].tolist()
+            seg = pdf["_seg"].tolist()
+            pos = pdf["_pos"].tolist()
+            n = pdf["_cnt"].tolist()
+            L = [pdf[f"_acc{i}"].tolist() for i in range(n_rec)]
+            x0 = [pdf[f"_x0{i}"].tolist() for i in range(n_rec)]
+            tails = [pdf[f"_halo{i}"].tolist() for i in range(n_lag)]
+            for j in range(len(key)):
+                g = (key[j], seg[j]) if by_segment else key[j]
+                if g != cur:
+                    if cur is not None:
+                        rows.append(_row(cur_key, -1, cur_seg, 1, cnt, acc, first_x0, halo))
+                    cur, cur_key, cur_seg = g, key[j], seg[j]
+                    first_x0 = [x0[i][j] for i in range(n_rec)]
+                    acc = [x if sd else 0.0 for x, sd in zip(first_x0, seeds)]
+                    cnt, halo = 0, [[] for _ in range(n_lag)]
+                rows.append(_row(key[j], pos[j], seg[j], 0, cnt, acc,
+                                 [x0[i][j] for i in range(n_rec)], halo))
+                nj = n[j]
+                for i in range(n_rec):
+                    acc[i] = acc[i] * decays[i] ** nj + L[i][j]
+                for i in range(n_lag):
+                    t = tails[i][j]
+                    if k and t is not None and len(t):
+                        halo[i] = (halo[i] + list(t))[-k:]
+                cnt += nj
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+        if cur is not None:
+            yield pd.DataFrame([_row(cur_key, -1, cur_seg, 1, cnt, acc, first_x0, halo)],
+                               columns=names)
+
+    def _row(key, pos, seg, kind, cnt, acc, x0, halo):
+        r = [key, pos, seg, kind, cnt]
         for i in range(n_rec):
-            res[f"_acc{i}"] = out_acc[i]
-            res[f"_x0{i}"] = np.append(x0[i], x0[i][0])
-        for i in range(n_lag):
-            res[f"_halo{i}"] = out_halo[i]
-        return pd.DataFrame(res)
+            r += [acc[i], x0[i]]
+        r += [list(h) for h in halo]
+        return r
 
-    return fold
+    return run
 
 
 def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> DataFrame:
@@ -197,13 +221,29 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
         arr = F.array(*vals) if K else F.array().cast("array<double>")
         summ_cols.append(F.slice(arr, F.greatest(F.lit(K) - F.col("_n") + 1, F.lit(1)),
                                  F.lit(max(K, 1))).cast("array<double>").alias(f"_halo{i}"))
-    summ = wdf.where(F.col("_r") == F.col("_n") - 1).select(*summ_cols)
+    if spec.lag_cols:
+        summ = wdf.where(F.col("_r") == F.col("_n") - 1).select(*summ_cols)
+    else:
+        # no halo needed: a plain (partial + final) aggregate over the blocks,
+        # cheaper than re-running the block window for the summary branch
+        aggs = [F.count(F.lit(1)).alias("_cnt")]
+        for i, r in enumerate(recs):
+            a = 1.0 - r.decay
+            aggs.append((F.pow(F.lit(r.decay), F.max(i_abs)) * F.sum(
+                F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src)))).alias(f"_acc{i}"))
+            aggs.append(F.min_by(r.src, "_mid").alias(f"_x0{i}"))
+        summ = bdf.groupBy(key, "_blk").agg(*aggs).select(
+            F.col(key).alias("_key"), F.col("_blk").alias("_pos"),
+            F.shiftright("_blk", SEG_LOG2).alias("_seg"), F.lit(0).alias("_kind"), "_cnt",
+            *[c for i in range(len(recs)) for c in (f"_acc{i}", f"_x0{i}")])
 
     schema = _fold_schema(key_type, fspec, 2)
-    lvl2 = summ.groupBy("_key", "_seg").applyInPandas(_make_fold(fspec, seeded=False), schema)
+    lvl2 = (summ.repartition("_key", "_seg").sortWithinPartitions("_key", "_seg", "_pos")
+                .mapInPandas(_make_fold(fspec, seeded=False, by_segment=True), schema))
     seg_tot = (lvl2.where(F.col("_kind") == 1)
                    .withColumn("_pos", F.col("_seg")))
-    lvl3 = seg_tot.groupBy("_key").applyInPandas(_make_fold(fspec, seeded=True), schema)
+    lvl3 = (seg_tot.repartition("_key").sortWithinPartitions("_key", "_pos")
+                   .mapInPandas(_make_fold(fspec, seeded=True, by_segment=False), schema))
     seg_in = lvl3.where(F.col("_kind") == 0).select(
         "_key", "_seg", F.col("_cnt").alias("_scnt"),
         *[F.col(f"_acc{i}").alias(f"_sacc{i}") for i in range(len(recs))],
