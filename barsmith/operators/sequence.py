@@ -186,6 +186,10 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     """
     B = 1 << block_log2
     K = spec.max_lag
+    safe = block_log2_for([r.decay for r in spec.recurrences])
+    if block_log2 > safe:
+        raise ValueError(f"blocks of 2^{block_log2} rows overflow b^-i for these spans; "
+                         f"use at most 2^{safe} (block_log2_for)")
     w = Window.partitionBy(key, "_blk").orderBy("_mid")
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
