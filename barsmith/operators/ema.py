@@ -28,7 +28,7 @@ def ema(df: DataFrame, col: str = "close", spans=(12, 16, 30), key: str = "symbo
     recs = [Recurrence(f"{prefix}{n}", "_src", ema_decay(n)) for n in spans]
     lg = block_log2_for([r.decay for r in recs])
     b = order_blocks(base, key, _order(time_col, tie), lg)
-    return scan_pass(b, key, lg, ScanSpec(recs)).drop("_mid", "_blk", "_src")
+    return scan_pass(b, key, lg, ScanSpec(recs)).drop("_mid", "_blk", "_k", "_src")
 
 
 def signal_terms(spans: list[int], signal_span: int) -> tuple[list[Recurrence], object]:
@@ -106,7 +106,7 @@ def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None =
     if levels:
         p2 = p2.withColumns(level_columns(left, right, min_prior, level_from))
         p2 = p2.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_idx")
-    return p2.drop("_mid", "_blk", "_src")
+    return p2.drop("_mid", "_blk", "_k", "_src")
 
 
 def macd(df: DataFrame, col: str = "close", spans=tuple(EMA_SPANS), signal_span: int = SIGNAL_SPAN,
@@ -124,5 +124,5 @@ def macd(df: DataFrame, col: str = "close", spans=tuple(EMA_SPANS), signal_span:
     p1 = scan_pass(b, key, lg, ScanSpec(recs + extra)).withColumn(
         "macd", F.col(f"ema_{min(spans)}") - F.col(f"ema_{max(spans)}"))
     if one_pass:
-        return p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0", "_mid", "_blk", "_src")
-    return scan_pass(p1, key, lg, ScanSpec([sig])).drop("_mid", "_blk", "_src")
+        return p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0", "_mid", "_blk", "_k", "_src")
+    return scan_pass(p1, key, lg, ScanSpec([sig])).drop("_mid", "_blk", "_k", "_src")

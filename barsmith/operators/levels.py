@@ -64,7 +64,7 @@ def levels(bars: DataFrame, left: int = 4, right: int = 2, min_prior: int = 8,
     s = scan_pass(b, key, lg, ScanSpec([], ["high", "low"], width - 1, "_idx"))
     s = s.withColumns(level_columns(left, right, min_prior, level_from))
     return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)],
-                  "_idx", "_mid", "_blk")
+                  "_idx", "_mid", "_blk", "_k")
 
 
 def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
@@ -78,7 +78,7 @@ def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
     hs = [_lag("high", k) for k in range(width)]
     ls = [_lag("low", k) for k in range(width)]
     s = s.withColumns({"max_high": F.greatest(*hs), "min_low": F.least(*ls)})
-    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk")
+    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk", "_k")
 
 
 def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
@@ -94,4 +94,4 @@ def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
     ls = F.array(*[_lag("low", k) for k in range(width - 1, -1, -1)])
     s = s.withColumns({"max_pos": F.array_position(hs, F.array_max(hs)) - 1,
                        "min_pos": F.array_position(ls, F.array_min(ls)) - 1})
-    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk")
+    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk", "_k")

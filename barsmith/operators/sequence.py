@@ -24,8 +24,11 @@ data.  Here the series is cut into bounded blocks instead:
    ``y = loc + b^(r+1) * carry``, ``row index = rows_before + r``, and lags
    that reach into earlier blocks come from the carried halo.
 
-Big-data shuffles: the sort and the (key, block) exchange.  Everything else
-moves block summaries only.  Results are exact: no look-back is truncated.
+Big-data shuffles: the sort and the (key, block) layout, both before one
+checkpoint that records the layout; the block window, the block aggregate
+and the carry join then run on it without further exchange or sort.
+Everything else moves block summaries only.  Results are exact: no
+look-back is truncated.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HELPER_COLS = ["_mid", "_blk", "_k"]
 MAX_BLOCK_LOG2 = 12          # at most 4096 rows per block
 SEG_LOG2 = 9                 # 512 blocks per segment
 _EXP_BUDGET = 500.0          # keep b^-i below e^500 (double max ~ e^709)
@@ -82,19 +86,33 @@ def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
 
     The ids depend on how the sort split the rows, and the block scan reads
     them from several branches (rows, block summaries, carries).  So the
-    tagged rows are written once with ``checkpoint()`` to the shared
-    checkpoint folder: every branch then sees the same ids, exchanges above
-    it are reused, and a lost executor re-reads instead of re-sorting.
+    tagged rows are laid out by (key, block) -- hash partitioned, sorted by
+    row id -- and written once with ``checkpoint()`` to the shared checkpoint
+    folder.  Every branch then sees the same ids, the block window and the
+    block aggregate run on the stored layout without another exchange or
+    sort, and a lost executor re-reads instead of re-sorting.
     """
     from barsmith.session import ensure_checkpoint_dir
 
     s = df.orderBy(F.col(key), *[F.col(c) for c in order])
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     s = s.withColumn("_blk", F.shiftright(F.col("_mid"), block_log2))
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        s = s.checkpoint(eager=True)
-    return s
+    # a plain copy of the key to lay out by: the layout then refers to a
+    # column of its own output even when ``key`` came through an alias
+    s = s.withColumn("_k", F.col(key))
+    s = s.repartition("_k", "_blk").sortWithinPartitions("_k", "_blk", "_mid")
+    if not materialize:
+        return s
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Run the layout job without adaptive re-planning so the checkpoint
+    # records its hash partitioning and order for the plans built on it.
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return s.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
 
 
 def _fold_schema(key_type: T.DataType, spec: ScanSpec, level: int) -> T.StructType:
@@ -190,7 +208,7 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     if block_log2 > safe:
         raise ValueError(f"blocks of 2^{block_log2} rows overflow b^-i for these spans; "
                          f"use at most 2^{safe} (block_log2_for)")
-    w = Window.partitionBy(key, "_blk").orderBy("_mid")
+    w = Window.partitionBy("_k", "_blk").orderBy("_mid")
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     i_abs = F.col("_mid").bitwiseAND(F.lit(B - 1))
@@ -213,8 +231,8 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
 
     # --- block summaries: the last row of every (key, block) run ---------
     fspec = ScanSpec(recs, spec.lag_cols, K, spec.index_col)
-    key_type = bdf.schema[key].dataType
-    summ_cols = [F.col(key).alias("_key"), F.col("_blk").alias("_pos"),
+    key_type = bdf.schema["_k"].dataType
+    summ_cols = [F.col("_k").alias("_key"), F.col("_blk").alias("_pos"),
                  F.shiftright("_blk", SEG_LOG2).alias("_seg"), F.lit(0).alias("_kind"),
                  F.col("_n").alias("_cnt")]
     for i, _ in enumerate(recs):
@@ -236,8 +254,8 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
             aggs.append((F.pow(F.lit(r.decay), F.max(i_abs)) * F.sum(
                 F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src)))).alias(f"_acc{i}"))
             aggs.append(F.min_by(r.src, "_mid").alias(f"_x0{i}"))
-        summ = bdf.groupBy(key, "_blk").agg(*aggs).select(
-            F.col(key).alias("_key"), F.col("_blk").alias("_pos"),
+        summ = bdf.groupBy("_k", "_blk").agg(*aggs).select(
+            F.col("_k").alias("_key"), F.col("_blk").alias("_pos"),
             F.shiftright("_blk", SEG_LOG2).alias("_seg"), F.lit(0).alias("_kind"), "_cnt",
             *[c for i in range(len(recs)) for c in (f"_acc{i}", f"_x0{i}")])
 
@@ -253,7 +271,7 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
         *[F.col(f"_acc{i}").alias(f"_sacc{i}") for i in range(len(recs))],
         *[F.col(f"_halo{i}").alias(f"_shalo{i}") for i in range(len(spec.lag_cols))])
     blk_pre = lvl2.where(F.col("_kind") == 0)
-    carry_cols = [F.col("_key").alias(key), F.col("_pos").alias("_blk"),
+    carry_cols = [F.col("_key").alias("_k"), F.col("_pos").alias("_blk"),
                   (F.col("_scnt") + F.col("_cnt")).alias("_cin")]
     for i, r in enumerate(recs):
         carry_cols.append((F.col(f"_sacc{i}") * F.pow(F.lit(r.decay), F.col("_cnt"))
@@ -265,7 +283,7 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     carries = blk_pre.join(seg_in, ["_key", "_seg"]).select(*carry_cols)
 
     # --- apply carries to rows; join keys equal the window partitioning ---
-    out = wdf.join(carries, [key, "_blk"], "inner")
+    out = wdf.join(carries, ["_k", "_blk"], "inner")
     final = {}
     for i, r in enumerate(recs):
         final[r.out] = F.col(f"_loc{i}") + F.pow(F.lit(r.decay), F.col("_r") + 1) * F.col(f"_cacc{i}")
@@ -291,4 +309,4 @@ def scan_series(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
     """One-shot helper: sort into blocks, run one pass, drop the helpers."""
     lg = block_log2 if block_log2 is not None else block_log2_for(
         [r.decay for r in spec.recurrences])
-    return scan_pass(order_blocks(df, key, order, lg), key, lg, spec).drop("_mid", "_blk")
+    return scan_pass(order_blocks(df, key, order, lg), key, lg, spec).drop(*HELPER_COLS)

@@ -24,5 +24,6 @@ def enriched_bars(bars: DataFrame, window: str = "20 minutes", slide: str = "1 m
     if sma_plan == "range":
         out = sma_range(ind, window, how=how, exact_decimals=exact_decimals)
     else:
-        out = sma_join(ind, window, slide, how=how, exact_decimals=exact_decimals)
+        out = sma_join(ind, window, slide, how=how, exact_decimals=exact_decimals,
+                       means_from=bars)
     return served_columns(out)
