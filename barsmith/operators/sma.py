@@ -90,9 +90,19 @@ def sma_range(bars: DataFrame, window: str = "20 minutes", how: str = "inner",
     halo = base.select(key, (F.col("_bk") + 1).alias("_bk"), "_us", "_v").withColumn(
         "_own", F.lit(False))
     both = own.unionByName(halo, allowMissingColumns=True)
-    w = (Window.partitionBy(key, "_bk").orderBy("_us").rangeBetween(-W, -1))
-    cnt = F.count("_v").over(w)
-    res = both.withColumns({out: _mean(F.sum("_v").over(w), cnt, exact_decimals), "_cnt": cnt})
+    # [t - W, t) as the difference of two running prefixes, each an
+    # incremental unbounded-preceding frame (a sliding frame would re-sum its
+    # buffer per row).  A bucket holds at most two windows of rows, so the
+    # prefixes stay small; with exact_decimals they are exact integers.
+    o = Window.partitionBy(key, "_bk").orderBy("_us")
+    hi = o.rangeBetween(Window.unboundedPreceding, -1)
+    lo = o.rangeBetween(Window.unboundedPreceding, -W - 1)
+    zero = F.lit(0).cast(both.schema["_v"].dataType)
+    s_hi, s_lo = F.sum("_v").over(hi), F.coalesce(F.sum("_v").over(lo), zero)
+    cnt = F.count("_v").over(hi) - F.count("_v").over(lo)
+    res = both.withColumns({"_cnt": cnt, "_sum": s_hi - s_lo})
+    res = res.withColumn(out, F.when(F.col("_cnt") > 0,
+                                     _mean(F.col("_sum"), F.col("_cnt"), exact_decimals)))
     res = res.where(F.col("_own"))
     if how == "inner":
         res = res.where(F.col("_cnt") > 0)
