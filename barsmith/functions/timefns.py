@@ -59,9 +59,16 @@ def open_interval(c, as_of, days: float) -> Column:
     return (to_ntz(c) > F.lit(lo).cast("timestamp_ntz")) & (to_ntz(c) < F.lit(hi).cast("timestamp_ntz"))
 
 
-def in_session(c, open_minute: int = 9 * 60 + 30, close_minute: int = 16 * 60) -> Column:
-    """Weekday bars inside the trading session [09:30, 16:00) of wall time."""
+def in_session(c, open_minute: int = 9 * 60 + 30, close_minute: int = 16 * 60,
+               tz: str | None = None, source_tz: str = "UTC") -> Column:
+    """Weekday bars inside the trading session [09:30, 16:00).
+
+    Bar times are taken as wall time of the exchange; with ``tz`` they are
+    first converted from ``source_tz`` wall time to ``tz`` wall time.
+    """
     t = to_ntz(c)
+    if tz is not None:
+        t = F.convert_timezone(F.lit(source_tz), F.lit(tz), t)
     minute = F.hour(t) * 60 + F.minute(t)
     weekday = F.dayofweek(t)          # 1 = Sunday ... 7 = Saturday
     return (weekday.between(2, 6)) & (minute >= open_minute) & (minute < close_minute)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.functions.parse import parse_bars, topic_name, wire_value
+from barsmith.functions.parse import parse_bars, topic_name, wire_value, with_symbol
 
 
 def kafka_reader_options(servers: str, topics: list[str] | str,
@@ -36,7 +36,7 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str] | str,
     raw = (spark.readStream.format("kafka")
            .options(**kafka_reader_options(servers, topics, starting_offsets,
                                            max_offsets_per_trigger)).load())
-    return parse_bars(raw.withColumn("symbol", F.col("topic")), "value", price_type)
+    return parse_bars(with_symbol(raw, F.col("topic")), "value", price_type)
 
 
 def encode_for_kafka(df: DataFrame) -> DataFrame:

@@ -97,6 +97,24 @@ def run(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery
     return query
 
 
+def stop_after_batches(query: StreamingQuery, n_batches: int, poll_s: float = 0.5,
+                       timeout_s: float | None = None) -> StreamingQuery:
+    """Run a live (processing-time) query for ``n_batches`` micro-batches that
+    carried data, then stop it gracefully (a bounded run of N samples)."""
+    import time
+
+    t0 = time.time()
+    while query.isActive:
+        done = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+        if done >= n_batches or (timeout_s is not None and time.time() - t0 > timeout_s):
+            break
+        time.sleep(poll_s)
+    query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query
+
+
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
     """Block until any active query stops; a failure in any is raised."""
     spark.streams.awaitAnyTermination(timeout_s)

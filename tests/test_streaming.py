@@ -140,3 +140,25 @@ def test_kafka_options_and_codec(spark):
     enc = encode_for_kafka(rand_bars(spark, "EUR/USD", 3, 10)).collect()
     assert {r.topic for r in enc} == {"eur-usd"}
     assert '"close":"' in enc[0].value                  # every field travels as text
+
+
+def test_console_sink_and_bounded_live_run(spark, tmp_path, capsys):
+    from barsmith.streaming.sinks import stop_after_batches, write_console
+    bars = rand_bars(spark, "A", 12, 11)
+    src = str(tmp_path / "src")
+    write_parts(bars, src, 3)
+    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1)
+    q = write_console(s, str(tmp_path / "ck"), trigger="200 milliseconds")
+    stop_after_batches(q, 3, poll_s=0.2, timeout_s=60)
+    assert not q.isActive
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 12
+
+
+def test_session_filter_with_exchange_time_zone(spark):
+    from barsmith.functions.timefns import in_session
+    rows = [(dt.datetime(2024, 1, 2, 14, 30),), (dt.datetime(2024, 1, 2, 9, 30),),
+            (dt.datetime(2024, 1, 6, 15, 0),)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz")
+    utc_rows = df.where(in_session("datetime", tz="America/New_York")).collect()
+    assert [r.datetime.hour for r in utc_rows] == [14]          # 09:30 New York
+    assert df.where(in_session("datetime")).count() == 2        # Saturday excluded
