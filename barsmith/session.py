@@ -24,10 +24,10 @@ DEFAULT_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "barsmith") -> SparkSession:
+                  app: str = "barsmith", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the bench (never used by library code)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEMORY", "16g"))

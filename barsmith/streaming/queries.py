@@ -49,7 +49,8 @@ def _sink(spark: SparkSession, name: str) -> tuple[str, str]:
 def _finish(spark: SparkSession, stream: DataFrame, name: str,
             partition_by=("symbol",)) -> DataFrame:
     out, ckpt = _sink(spark, name)
-    run(start(stream, ckpt, out, partition_by=partition_by, state_partitions=STATE_PARTITIONS))
+    run(start(stream, ckpt, out, partition_by=partition_by, state_partitions=STATE_PARTITIONS,
+              query_name=name.replace("-", "_")))
     return spark.read.parquet(out)
 
 
