@@ -178,6 +178,16 @@ def q_enriched_bars(spark, sf):
     return r6(_enriched(spark, sf), IND_COLS)
 
 
+def q_warm_start(spark, sf):
+    """Newest 2000 one-minute bars per symbol, enriched for the warm start."""
+    from barsmith.plans.warm import warm_start
+    bars_1m = B.resample_ohlcv(tables.ticks(spark, sf), "1 minute")
+    ind, _, _ = warm_start(bars_1m, 2000)
+    out = ind.select("symbol", "datetime", "ema_12", "ema_16", "ema_30", "ema_200", "macd",
+                     "signal", "support", "resistance")
+    return r6(out, ["ema_12", "ema_16", "ema_30", "ema_200", "macd", "signal"])
+
+
 def q_indicator_state(spark, sf):
     ind = indicators(_bars(spark, sf), levels=False)
     st = B.indicator_state(ind, ["ema_12", "ema_16", "ema_30", "ema_200", "signal"])

@@ -225,4 +225,10 @@ WHERE isodow(datetime) <= 5 AND hour(datetime) * 60 + minute(datetime) >= 570
     q["stream_indicators"] = ind_lv + live
     q["stream_warm_start"] = ind_lv + live + f" WHERE datetime >= {WARM_CUTOFF}"
     q["stream_dedup"] = bars_only + "SELECT * FROM bars"
+    bars_1m = BARS.replace("bars AS (", "bars1m AS (").replace("date_trunc('hour', ts)",
+                                                              "date_trunc('minute', ts)")
+    hist = """hist AS (SELECT * FROM bars1m
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 2000)"""
+    q["warm_start"] = _with(bars_1m, hist, ema_ctes("hist", [12, 16, 30, 200], "datetime", (12, 30, 9)),
+                            levels_cte("ind")) + live
     return q

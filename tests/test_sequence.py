@@ -128,3 +128,30 @@ def test_unsafe_block_size_is_refused(spark):
     b = sq.order_blocks(df, "symbol", ["t"], 12)
     with pytest.raises(ValueError):
         sq.scan_pass(b, "symbol", 12, sq.ScanSpec([sq.Recurrence("e", "close", sq.ema_decay(2))]))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lengths=st.lists(st.integers(1, 90), min_size=1, max_size=4),
+       span=st.sampled_from([1, 2, 3, 9, 26, 200]),
+       block_log2=st.integers(0, 5), seg_log2=st.integers(1, 3),
+       seed=st.integers(0, 10_000))
+def test_property_ema_equals_recursion(spark, lengths, span, block_log2, seg_log2, seed):
+    import barsmith.operators.sequence as seqmod
+    old = seqmod.SEG_LOG2
+    seqmod.SEG_LOG2 = seg_log2
+    try:
+        rec = sq.Recurrence("e", "close", sq.ema_decay(span))
+        lg = min(block_log2, sq.block_log2_for([rec.decay]))
+        df = series_df(spark, lengths, seed)
+        b = sq.order_blocks(df, "symbol", ["t"], lg)
+        out = sq.scan_pass(b, "symbol", lg, sq.ScanSpec([rec], ["close"], 2, "rn")).toPandas()
+    finally:
+        seqmod.SEG_LOG2 = old
+    for sym, g in df.toPandas().sort_values("t").groupby("symbol"):
+        o = out[out.symbol == sym].sort_values("t")
+        np.testing.assert_allclose(o.e, literal_ema(g.close.to_numpy(), span), rtol=1e-10)
+        assert list(o.rn) == list(range(len(g)))
