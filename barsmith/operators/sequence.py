@@ -64,12 +64,22 @@ def block_log2_for(decays: list[float]) -> int:
 
 @dataclass
 class Recurrence:
-    """``out = b * out_prev + (1 - b) * src``, seeded with the first ``src``
-    (``seeded=False``: started from 0 instead)."""
+    """``out = b * out_prev + g * src`` with ``g = 1 - b`` unless given,
+    seeded with the first ``src`` (``seeded=False``: started from 0).
+    ``decay=1, gain=1, seeded=False`` is a running sum."""
     out: str
     src: str
     decay: float
     seeded: bool = True
+    gain: float | None = None
+
+    @property
+    def weight(self) -> float:
+        return 1.0 - self.decay if self.gain is None else self.gain
+
+
+def running_sum(out: str, src: str) -> Recurrence:
+    return Recurrence(out, src, 1.0, seeded=False, gain=1.0)
 
 
 @dataclass
@@ -220,9 +230,12 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     recs = [r for r in spec.recurrences if r.decay > 0.0]
     passthrough = [r for r in spec.recurrences if r.decay <= 0.0]
     for i, r in enumerate(recs):
-        a = 1.0 - r.decay
-        cols[f"_loc{i}"] = F.pow(F.lit(r.decay), i_abs) * F.sum(
-            F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src))).over(wr)
+        a = r.weight
+        if r.decay == 1.0:
+            cols[f"_loc{i}"] = F.sum(F.lit(a) * F.col(r.src)).over(wr)
+        else:
+            cols[f"_loc{i}"] = F.pow(F.lit(r.decay), i_abs) * F.sum(
+                F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src))).over(wr)
         cols[f"_x0{i}"] = F.first(r.src).over(wf)
     for c in spec.lag_cols:
         for k in range(1, K + 1):
@@ -250,9 +263,13 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
         # cheaper than re-running the block window for the summary branch
         aggs = [F.count(F.lit(1)).alias("_cnt")]
         for i, r in enumerate(recs):
-            a = 1.0 - r.decay
-            aggs.append((F.pow(F.lit(r.decay), F.max(i_abs)) * F.sum(
-                F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src)))).alias(f"_acc{i}"))
+            a = r.weight
+            if r.decay == 1.0:
+                agg = F.sum(F.lit(a) * F.col(r.src))
+            else:
+                agg = F.pow(F.lit(r.decay), F.max(i_abs)) * F.sum(
+                    F.pow(F.lit(r.decay), -i_abs) * (F.lit(a) * F.col(r.src)))
+            aggs.append(agg.alias(f"_acc{i}"))
             aggs.append(F.min_by(r.src, "_mid").alias(f"_x0{i}"))
         summ = bdf.groupBy("_k", "_blk").agg(*aggs).select(
             F.col("_k").alias("_key"), F.col("_blk").alias("_pos"),
@@ -274,8 +291,9 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     carry_cols = [F.col("_key").alias("_k"), F.col("_pos").alias("_blk"),
                   (F.col("_scnt") + F.col("_cnt")).alias("_cin")]
     for i, r in enumerate(recs):
-        carry_cols.append((F.col(f"_sacc{i}") * F.pow(F.lit(r.decay), F.col("_cnt"))
-                           + F.col(f"_acc{i}")).alias(f"_cacc{i}"))
+        kept = F.col(f"_sacc{i}") if r.decay == 1.0 else \
+            F.col(f"_sacc{i}") * F.pow(F.lit(r.decay), F.col("_cnt"))
+        carry_cols.append((kept + F.col(f"_acc{i}")).alias(f"_cacc{i}"))
     for i, _ in enumerate(spec.lag_cols):
         cat = F.concat(F.col(f"_shalo{i}"), F.col(f"_halo{i}"))
         carry_cols.append(F.slice(cat, F.greatest(F.size(cat) - K + 1, F.lit(1)),
@@ -286,7 +304,9 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     out = wdf.join(carries, ["_k", "_blk"], "inner")
     final = {}
     for i, r in enumerate(recs):
-        final[r.out] = F.col(f"_loc{i}") + F.pow(F.lit(r.decay), F.col("_r") + 1) * F.col(f"_cacc{i}")
+        decayed = F.col(f"_cacc{i}") if r.decay == 1.0 else \
+            F.pow(F.lit(r.decay), F.col("_r") + 1) * F.col(f"_cacc{i}")
+        final[r.out] = F.col(f"_loc{i}") + decayed
     for r in passthrough:
         final[r.out] = F.col(r.src)
     for j, c in enumerate(spec.lag_cols):

@@ -74,14 +74,30 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
     return bars.join(sma, cond, how).drop("_s2", "_wend")
 
 
+MAX_BUCKET_ROWS = 2_000_000     # beyond this a (symbol, bucket) group is split
+
+
 def sma_range(bars: DataFrame, window: str = "20 minutes", how: str = "inner",
               key: str = "symbol", time_col: str = "datetime", value: str = "close",
-              out: str = "sma_20", exact_decimals: int | None = None) -> DataFrame:
+              out: str = "sma_20", exact_decimals: int | None = None,
+              plan: str = "auto", tie: list[str] | None = None) -> DataFrame:
     """Mean of ``value`` over ``[t - window, t)`` for every bar (time based).
 
     ``how='inner'`` keeps bars whose frame is non-empty; ``'left'`` keeps all.
+    ``plan``: ``'bucket'`` (time buckets with a halo; a group holds two
+    window lengths of one symbol), ``'scan'`` (an as-of prefix scan that
+    splits any group), or ``'auto'``: count rows per (symbol, bucket) with
+    one partial aggregate and use ``'scan'`` only when a bucket exceeds
+    ``MAX_BUCKET_ROWS``.  ``tie`` names columns that, with (key, time), make
+    a row unique (needed by ``'scan'`` to join the means back).
     """
     W = interval_micros(window)
+    if plan == "auto":
+        biggest = (bars.groupBy(key, F.floor(epoch_micros(time_col) / F.lit(W)))
+                       .count().agg(F.max("count")).first()[0]) or 0
+        plan = "scan" if biggest > MAX_BUCKET_ROWS else "bucket"
+    if plan == "scan":
+        return _sma_range_scan(bars, W, how, key, time_col, value, out, exact_decimals, tie or [])
     cols = bars.columns
     base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
         "_bk", F.floor(F.col("_us") / F.lit(W)).cast("bigint")).withColumn(
@@ -107,3 +123,46 @@ def sma_range(bars: DataFrame, window: str = "20 minutes", how: str = "inner",
     if how == "inner":
         res = res.where(F.col("_cnt") > 0)
     return res.select(*cols, out)
+
+
+def _sma_range_scan(bars: DataFrame, W: int, how: str, key: str, time_col: str, value: str,
+                    out: str, exact_decimals: int | None, tie: list[str]) -> DataFrame:
+    """Window sums as differences of exclusive prefix sums read at markers.
+
+    Every bar adds two zero-valued markers, at ``t`` and at ``t - W``; a
+    marker sorts before real rows of equal time, so the running sum of the
+    real rows seen at a marker is the sum over times strictly before it.
+    The running sums come from the block scan (``sequence``), so a hot
+    symbol or a dense time range is split like any other series.  Sums of
+    ``exact_decimals`` integers are exact below 2^53; plain doubles lose
+    about ``eps * prefix`` to cancellation.
+    """
+    from barsmith.operators.sequence import ScanSpec, order_blocks, running_sum, scan_pass
+
+    ids = [key, time_col, *tie]
+    base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
+        "_v", _fixed(value, exact_decimals).cast("double"))
+    real = base.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(ids)],
+                       F.col(key).alias("_sk"), "_us", F.lit(1).alias("_kind"),
+                       F.lit(0).alias("_m"), F.col("_v"),
+                       F.when(F.col("_v").isNotNull(), 1.0).otherwise(0.0).alias("_c"))
+    marks = [base.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(ids)],
+                         F.col(key).alias("_sk"), (F.col("_us") - F.lit(shift)).alias("_us"),
+                         F.lit(0).alias("_kind"), F.lit(m).alias("_m"),
+                         F.lit(0.0).alias("_v"), F.lit(0.0).alias("_c"))
+             for m, shift in ((1, 0), (2, W))]
+    allrows = real.unionByName(marks[0]).unionByName(marks[1]).where(F.col("_v").isNotNull())
+    tie_order = ["_us", "_kind", "_m"] + [f"_id{i}" for i in range(len(ids))]
+    b = order_blocks(allrows, "_sk", tie_order, 12)
+    sc = scan_pass(b, "_sk", 12, ScanSpec([running_sum("_ps", "_v"), running_sum("_pc", "_c")]))
+    at = sc.where(F.col("_kind") == 0)
+    sign = F.when(F.col("_m") == 1, 1.0).otherwise(-1.0)
+    win = at.groupBy(*[f"_id{i}" for i in range(len(ids))]).agg(
+        F.sum(sign * F.col("_ps")).alias("_sum"), F.sum(sign * F.col("_pc")).alias("_cnt"))
+    cond = [base[c] == win[f"_id{i}"] for i, c in enumerate(ids)]
+    joined = base.join(win, cond, "left" if how != "inner" else "inner")
+    res = joined.withColumn(out, F.when(F.col("_cnt") > 0, _mean(F.col("_sum"), F.col("_cnt"),
+                                                                  exact_decimals)))
+    if how == "inner":
+        res = res.where(F.col("_cnt") > 0)
+    return res.select(*bars.columns, out)

@@ -160,6 +160,13 @@ def q_sma_range(spark, sf):
     return out.select("symbol", "tick_id", "datetime", "sma_20")
 
 
+def q_sma_range_scan(spark, sf):
+    """Same means by the as-of prefix scan (the plan for hot, dense keys)."""
+    s = tables.seq(spark, sf)
+    out = sma_range(s, WINDOW, exact_decimals=PRICE_DECIMALS, plan="scan", tie=["tick_id"])
+    return out.select("symbol", "tick_id", "datetime", "sma_20")
+
+
 def q_sma_range_bars(spark, sf):
     out = sma_range(_bars(spark, sf), WINDOW, exact_decimals=PRICE_DECIMALS)
     return out.select("symbol", "datetime", "sma_20")

@@ -165,6 +165,7 @@ FROM (SELECT symbol, datetime, row_number() OVER w0 - 1 AS rn, list(high) OVER w
 WHERE rn >= 6"""
     q["sma_range"] = _with(SEQ, sma_cte("seqsrc")) + \
         "SELECT symbol, tick_id, datetime, sma_20 FROM sm"
+    q["sma_range_scan"] = q["sma_range"]
     q["sma_range_bars"] = _with(BARS, sma_cte("bars")) + \
         "SELECT symbol, datetime, sma_20 FROM sm"
     q["sma_windows"] = bars_only + """SELECT symbol, window_start, window_end, (sum(round(close * 100.0)::BIGINT) / count(close)) / 100.0 AS sma_20

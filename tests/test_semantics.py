@@ -165,3 +165,15 @@ def test_sma_windows_cover_exclusive_end(spark):
     assert len(w) == 21                                          # 20 windows per bar, 19 shared
     end = w[w.window_end == T0 + dt.timedelta(minutes=1)].iloc[0]
     assert end.sma_20 == pytest.approx(9.5)
+
+
+def test_sma_range_scan_plan_equals_bucket_plan(spark):
+    from barsmith.sources import tables
+    s = tables.seq(spark, "/root/testdata/sf0.001")
+    a = sma_range(s, "20 hours", plan="bucket", exact_decimals=2).toPandas()
+    b = sma_range(s, "20 hours", plan="scan", exact_decimals=2, tie=["tick_id"]).toPandas()
+    m = a.merge(b, on=["symbol", "tick_id"])
+    assert len(a) == len(b) == len(m) > 0
+    assert (m.sma_20_x == m.sma_20_y).all()                    # exact integer sums: equal bits
+    left = sma_range(s, "20 hours", how="left", plan="scan", tie=["tick_id"])
+    assert left.count() == s.count()
