@@ -78,13 +78,12 @@ def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame, int], None]], checkp
 
 
 def parquet_batch_sink(path: str, partition_by: tuple[str, ...] = ("symbol",)):
-    """A ``fan_out`` sink appending each batch to parquet (idempotent per
-    epoch: the batch id is written alongside)."""
-    from pyspark.sql import functions as F
+    """A ``fan_out`` sink writing each micro-batch to its own ``_epoch=N``
+    folder with overwrite, so a batch replayed after a failure replaces its
+    earlier attempt instead of duplicating it."""
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("append")
-              .partitionBy(*partition_by).parquet(path))
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/_epoch={epoch_id}")
 
     return sink
 
