@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HELPER_COLS = ["_mid", "_blk", "_k"]
+MAX_LAYOUT_PARTITIONS = 100_000
 MAX_BLOCK_LOG2 = 12          # at most 4096 rows per block
 SEG_LOG2 = 9                 # 512 blocks per segment
 _EXP_BUDGET = 500.0          # keep b^-i below e^500 (double max ~ e^709)
@@ -90,6 +91,27 @@ class ScanSpec:
     index_col: str | None = None       # 0-based position within the key
 
 
+def layout_partitions(df: DataFrame) -> int:
+    """Partitions for the sort and the block layout.
+
+    That job runs without adaptive coalescing (see ``order_blocks``), so the
+    count must follow the data: the optimizer's size estimate of the input
+    (no job is run) over the advisory partition size, and at least
+    ``spark.sql.shuffle.partitions``.
+    """
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    try:
+        target_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 -- no estimate: use the setting
+        return max(configured, 1)
+    if est <= 0 or est >= 2**62:       # size unknown (RDD or Python rows): Long.MaxValue
+        return max(configured, 1)
+    return int(max(configured, min(-(-est // max(target_bytes, 1)), MAX_LAYOUT_PARTITIONS), 1))
+
+
 def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
                  materialize: bool = True) -> DataFrame:
     """Globally sort and tag rows with ``_mid`` (row id) and ``_blk`` (block id).
@@ -104,16 +126,18 @@ def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
     """
     from barsmith.session import ensure_checkpoint_dir
 
-    s = df.orderBy(F.col(key), *[F.col(c) for c in order])
+    spark = df.sparkSession
+    n = layout_partitions(df)
+    cols = [F.col(key), *[F.col(c) for c in order]]
+    s = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     s = s.withColumn("_blk", F.shiftright(F.col("_mid"), block_log2))
     # a plain copy of the key to lay out by: the layout then refers to a
     # column of its own output even when ``key`` came through an alias
     s = s.withColumn("_k", F.col(key))
-    s = s.repartition("_k", "_blk").sortWithinPartitions("_k", "_blk", "_mid")
+    s = s.repartition(n, "_k", "_blk").sortWithinPartitions("_k", "_blk", "_mid")
     if not materialize:
         return s
-    spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     # Run the layout job without adaptive re-planning so the checkpoint
     # records its hash partitioning and order for the plans built on it.
