@@ -29,6 +29,23 @@ def resample_ohlcv(ticks: DataFrame, interval: str = "1 minute", key: str = "sym
                       vol.alias("volume")))
 
 
+def resample_stream(ticks, interval: str = "1 minute", key: str = "symbol",
+                    time_col: str = "datetime", price: str = "price",
+                    tie: str | None = "tick_id"):
+    """``resample_ohlcv`` for a watermarked stream: a tumbling event-time
+    window, so append mode emits each bar once its interval has closed.
+    ``datetime`` of a bar is the window start; ``event_time`` (the window's
+    last instant, ``window_time``) carries the watermark to later stateful
+    operators."""
+    order = F.struct(F.col(time_col), F.col(tie)) if tie else F.col(time_col)
+    return (ticks.groupBy(F.col(key).alias("symbol"), F.window(time_col, interval).alias("_w"))
+                 .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"),
+                      F.min(price).alias("low"), F.max_by(price, order).alias("close"),
+                      F.count(F.lit(1)).alias("volume"))
+                 .select("symbol", F.col("_w.start").alias("datetime"), "open", "high", "low",
+                         "close", "volume", F.window_time("_w").alias("event_time")))
+
+
 def coverage(bars: DataFrame, key: str = "symbol", time_col: str = "datetime") -> DataFrame:
     """First and last bar time and bar count per symbol."""
     return bars.groupBy(key).agg(F.min(time_col).alias("first_datetime"),

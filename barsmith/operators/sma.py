@@ -57,7 +57,8 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
              how: str = "inner", key: str = "symbol", time_col: str = "datetime",
              value: str = "close", out: str = "sma_20",
              exact_decimals: int | None = None,
-             means_from: DataFrame | None = None) -> DataFrame:
+             means_from: DataFrame | None = None,
+             window_col: str | None = None) -> DataFrame:
     """Each bar with the mean of the window that *ends* at it (bar excluded).
 
     ``how='inner'`` drops bars with no earlier bar inside the window and bars
@@ -65,10 +66,12 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
     give ``bars`` one watermark first; both join sides inherit it.
     ``means_from`` computes the means from another frame holding the same
     bars (e.g. the raw bars when ``bars`` carries costly derived columns),
-    so the aggregate side does not recompute them.
+    so the aggregate side does not recompute them.  ``window_col`` assigns
+    windows by another event-time column (e.g. ``event_time`` of a streamed
+    resample, which carries the watermark to this second stateful step).
     """
     src = means_from if means_from is not None else bars
-    sma = sma_windows(src, window, slide, key, time_col, value, out, exact_decimals)
+    sma = sma_windows(src, window, slide, key, window_col or time_col, value, out, exact_decimals)
     sma = sma.select(F.col(key).alias("_s2"), F.col("window_end").alias("_wend"), out)
     cond = (F.col(key) == F.col("_s2")) & (F.col(time_col) == F.col("_wend"))
     return bars.join(sma, cond, how).drop("_s2", "_wend")

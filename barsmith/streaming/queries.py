@@ -73,6 +73,24 @@ def q_stream_sma(spark, sf):
     return wall_time(res).select("symbol", "datetime", "close", "sma_20")
 
 
+def q_stream_sma_raw(spark, sf):
+    """From raw ticks: stream ``events`` itself, resample to hourly bars with a
+    tumbling event-time window, then the SMA join -- two chained stateful
+    steps under one watermark.  A bar is final once its hour has closed."""
+    from barsmith.operators.bars import resample_stream
+    ev = tables.table(spark, sf, "events")
+    raw = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
+           .parquet(sf.rstrip("/")))
+    ticks = raw.where(F.col("event_type").isNotNull() & F.col("ts").isNotNull()
+                      & F.col("value").isNotNull()).select(
+        F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("datetime"),
+        F.col("event_id").alias("tick_id"), F.col("value").alias("price"))
+    bars = resample_stream(ticks.withWatermark("datetime", WATERMARK), "1 hour")
+    j = sma_join(bars, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS, window_col="event_time")
+    res = _finish(spark, j.select("symbol", "datetime", "close", "sma_20"), "stream-sma-raw")
+    return wall_time(res).select("symbol", "datetime", "close", "sma_20")
+
+
 def q_stream_enriched(spark, sf):
     """Whole stream path: bars with batch indicators go out as JSON wire
     messages (all fields text); the stream parses them, adds the SMA and
