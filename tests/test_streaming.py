@@ -171,3 +171,20 @@ def test_fan_out_sink_replay_is_idempotent(spark, tmp_path):
     sink(bars, 0)                                   # the same epoch replayed
     sink(bars, 1)
     assert spark.read.parquet(str(tmp_path / "a")).count() == 14
+
+
+def test_live_drops_bars_already_in_the_warm_state(spark, tmp_path):
+    bars = rand_bars(spark, "A", 60, 13)
+    cut = T0 + dt.timedelta(minutes=40)
+    warm = indicators(bars.where(F.col("datetime") < cut), levels=False)
+    state = save_warm_state(warm_state(warm), str(tmp_path / "state"))
+    # the live feed starts with the last 3 warm bars again (overlapping fetch)
+    live_in = bars.where(F.col("datetime") >= cut - dt.timedelta(minutes=3))
+    src = str(tmp_path / "src")
+    write_parts(live_in, src, 2)
+    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1)
+    run(start(live_indicators(s, state), str(tmp_path / "ck"), str(tmp_path / "out"),
+              state_partitions=4))
+    live = wall_time(spark.read.parquet(str(tmp_path / "out"))).toPandas()
+    assert len(live) == 20 and live.datetime.min() == cut
+    _compare(live, _batch_indicators(bars))
