@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HELPER_COLS = ["_mid", "_blk", "_k"]
-MAX_LAYOUT_PARTITIONS = 100_000
+MAX_LAYOUT_PARTITIONS = 500_000
 MAX_BLOCK_LOG2 = 12          # at most 4096 rows per block
 SEG_LOG2 = 9                 # 512 blocks per segment
 _EXP_BUDGET = 500.0          # keep b^-i below e^500 (double max ~ e^709)
@@ -96,8 +96,9 @@ def layout_partitions(df: DataFrame) -> int:
 
     That job runs without adaptive coalescing (see ``order_blocks``), so the
     count must follow the data: the optimizer's size estimate of the input
-    (no job is run) over the advisory partition size, and at least
-    ``spark.sql.shuffle.partitions``.
+    (no job is run) over the advisory partition size, and at least the
+    cluster's default parallelism.  Without an estimate (rows from Python,
+    RDDs) it is ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -109,7 +110,8 @@ def layout_partitions(df: DataFrame) -> int:
         return max(configured, 1)
     if est <= 0 or est >= 2**62:       # size unknown (RDD or Python rows): Long.MaxValue
         return max(configured, 1)
-    return int(max(configured, min(-(-est // max(target_bytes, 1)), MAX_LAYOUT_PARTITIONS), 1))
+    by_size = -(-est // max(target_bytes, 1))
+    return int(max(spark.sparkContext.defaultParallelism, min(by_size, MAX_LAYOUT_PARTITIONS), 1))
 
 
 def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
@@ -140,13 +142,17 @@ def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
         return s
     ensure_checkpoint_dir(spark)
     # Run the layout job without adaptive re-planning so the checkpoint
-    # records its hash partitioning and order for the plans built on it.
+    # records its hash partitioning and order for the plans built on it;
+    # shuffles upstream in the same job are sized like the layout (``n``).
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
         return s.checkpoint(eager=True)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
 
 
 def _fold_schema(key_type: T.DataType, spec: ScanSpec, level: int) -> T.StructType:
@@ -236,6 +242,9 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
     output keeps ``_mid``/``_blk`` and stays hash partitioned by (key, _blk),
     so a second pass over it does not shuffle the rows again.
     """
+    from barsmith.session import ship_package
+
+    ship_package(bdf.sparkSession)
     B = 1 << block_log2
     K = spec.max_lag
     safe = block_log2_for([r.decay for r in spec.recurrences])

@@ -154,7 +154,18 @@ def save_warm_state(state: DataFrame, path: str) -> DataFrame:
 def live_indicators(bars_stream: DataFrame, init_state: DataFrame | None = None,
                     processor: IndicatorProcessor | None = None) -> DataFrame:
     """Streaming bars -> bars with indicators, keyed by symbol."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from barsmith.session import ship_package
+
     spark = bars_stream.sparkSession
+    ship_package(spark)
+    # the processor class travels by value: some Python runners of the
+    # stateful operator (its driver-side initialisation) do not receive the
+    # shipped package, and a class pickled by reference would not import
+    cloudpickle.register_pickle_by_value(sys.modules["barsmith"])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     proc = processor or IndicatorProcessor()
     src = bars_stream.select("symbol", "datetime", F.col("close").cast("double"),
