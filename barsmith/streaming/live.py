@@ -45,6 +45,27 @@ def output_schema(spans: list[int]) -> T.StructType:
     return T.StructType(f)
 
 
+def _ema_run(x: np.ndarray, alpha: float, prev: float, block: int = 256) -> np.ndarray:
+    """EMA over ``x`` continuing from ``prev``, in closed form per block:
+    ``y_i = b^(i+1) prev + sum_{j<=i} b^(i-j) a x_j``; blocks keep ``b^-i``
+    finite, the carry links them."""
+    b = 1.0 - alpha
+    out = np.empty(len(x))
+    if b <= 0.0:
+        out[:] = x
+        return out
+    step = max(1, min(block, int(500.0 / -np.log(b)) if b < 1.0 else block))
+    carry = prev
+    for s0 in range(0, len(x), step):
+        seg = x[s0:s0 + step]
+        i = np.arange(len(seg))
+        loc = b ** i * np.cumsum(b ** (-i) * (alpha * seg))
+        y = loc + b ** (i + 1) * carry
+        out[s0:s0 + len(seg)] = y
+        carry = y[-1]
+    return out
+
+
 def _micros(s: pd.Series) -> np.ndarray:
     return pd.to_datetime(s).astype("datetime64[us]").astype("int64").to_numpy()
 
@@ -90,38 +111,37 @@ class IndicatorProcessor(StatefulProcessor):
         high = pdf["high"].to_numpy(dtype=float)
         low = pdf["low"].to_numpy(dtype=float)
         m = len(pdf)
-        k = len(self.spans)
-        out_ema = np.empty((m, k))
-        out_macd, out_sig = np.empty(m), np.empty(m)
-        out_sup, out_res = np.zeros(m), np.zeros(m)
-        if st is None:
-            ema, sig, n, th, tl = [close[0]] * k, None, 0, [], []
+        if st is None:                      # first bar ever: every average starts at it
+            ema0, sig0, n, th, tl = [close[0]] * len(self.spans), None, 0, [], []
         else:
-            ema, sig, n, _, th, tl = st
+            ema0, sig0, n, _, th, tl = st
+        emas = [_ema_run(close, a, e) for a, e in zip(self.alpha, ema0)]
+        macd = emas[self.i_short] - emas[self.i_long]
+        sig = _ema_run(macd, self.sig_alpha, macd[0] if sig0 is None else sig0)
+        res_lvl, th = self._pivots(high, th, n, np.argmax)
+        sup_lvl, tl = self._pivots(low, tl, n, np.argmin)
+        self.state.update(([float(e[-1]) for e in emas], float(sig[-1]), n + m, int(us[-1]),
+                           th, tl))
+        out = {"symbol": [key[0]] * m, "datetime": pdf["datetime"], "close": close}
+        for span, e in zip(self.spans, emas):
+            out[f"ema_{span}"] = e
+        out.update({"macd": macd, "signal": sig, "support": sup_lvl, "resistance": res_lvl})
+        yield pd.DataFrame(out)
+
+    def _pivots(self, v: np.ndarray, tail: list, n: int, pick):
+        """Level (the bar's own value) where the first extreme of the trailing
+        ``width`` bars sits at ``left``; returns levels and the new tail."""
         hist = self.width - 1
-        for j in range(m):
-            c = close[j]
-            ema = [a * c + (1.0 - a) * e for a, e in zip(self.alpha, ema)]
-            macd = ema[self.i_short] - ema[self.i_long]
-            sig = macd if sig is None else self.sig_alpha * macd + (1.0 - self.sig_alpha) * sig
-            if n >= self.min_prior and len(th) == hist:
-                hw, lw = th + [high[j]], tl + [low[j]]
-                if int(np.argmax(hw)) == self.left:
-                    out_res[j] = high[j]
-                if int(np.argmin(lw)) == self.left:
-                    out_sup[j] = low[j]
-            th = (th + [high[j]])[-hist:]
-            tl = (tl + [low[j]])[-hist:]
-            n += 1
-            out_ema[j] = ema
-            out_macd[j], out_sig[j] = macd, sig
-        self.state.update((ema, sig, n, int(us[-1]), th, tl))
-        res = {"symbol": [key[0]] * m, "datetime": pdf["datetime"], "close": close}
-        for i, span in enumerate(self.spans):
-            res[f"ema_{span}"] = out_ema[:, i]
-        res.update({"macd": out_macd, "signal": out_sig, "support": out_sup,
-                    "resistance": out_res})
-        yield pd.DataFrame(res)
+        allv = np.concatenate([np.asarray(tail, dtype=float), v])
+        lvl = np.zeros(len(v))
+        t = len(tail)
+        if len(allv) >= self.width:
+            win = np.lib.stride_tricks.sliding_window_view(allv, self.width)
+            hit = pick(win, axis=1) == self.left            # first extreme, like list.index
+            idx = np.arange(len(win)) + self.width - 1 - t  # new-bar index of each window's end
+            ok = (idx >= 0) & (n + idx >= self.min_prior) & hit
+            lvl[idx[ok]] = v[idx[ok]]
+        return lvl, [float(x) for x in allv[-hist:]]
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         r = initialState.iloc[0]
