@@ -7,9 +7,12 @@ operators (``warm_state``), so batch history + live stream equals one batch
 run over the whole series.  Bars at or before the last processed bar of a
 symbol are dropped (a recursion cannot be rewound).
 
-Python here is per *new* bar only: the history is done by the batch block
-scan; each micro-batch hands a symbol's new bars to the processor in Arrow
-batches.
+Python here sees only *new* bars: the history is done by the batch block
+scan.  Within a micro-batch a symbol's new bars are processed with numpy
+(blocked closed-form EMA runs continuing from the state, sliding-window
+pivots over the carried tail), not row by row.  A hot symbol's work per
+batch is bounded by the trigger limits (``maxFilesPerTrigger`` /
+``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
