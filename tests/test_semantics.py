@@ -177,3 +177,16 @@ def test_sma_range_scan_plan_equals_bucket_plan(spark):
     assert (m.sma_20_x == m.sma_20_y).all()                    # exact integer sums: equal bits
     left = sma_range(s, "20 hours", how="left", plan="scan", tie=["tick_id"])
     assert left.count() == s.count()
+
+
+def test_load_bars_allow_list_and_newest_n_from_files(spark, tmp_path):
+    from barsmith.sources.files import load_bars
+    bars = minute_bars(spark, "A", T0, [float(i) for i in range(10)]).unionByName(
+        minute_bars(spark, "B", T0, [float(i) for i in range(4)]))
+    bars.write.parquet(str(tmp_path / "pq"))
+    bars.write.json(str(tmp_path / "js"))
+    got = load_bars(spark, str(tmp_path / "pq"), symbols=["A"], output_size=3).toPandas()
+    assert list(got.symbol.unique()) == ["A"] and len(got) == 3
+    assert got.datetime.min() == T0 + dt.timedelta(minutes=7)          # newest three
+    js = load_bars(spark, str(tmp_path / "js"), output_size=2, fmt="json")
+    assert js.count() == 4 and dict(js.dtypes)["close"] == "double"
