@@ -36,7 +36,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,7 +154,7 @@ def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
         spark.conf.set("spark.sql.shuffle.partitions", parts)
 
 
-def _fold_schema(key_type: T.DataType, spec: ScanSpec, level: int) -> T.StructType:
+def _fold_schema(key_type: T.DataType, spec: ScanSpec) -> T.StructType:
     f = [T.StructField("_key", key_type), T.StructField("_pos", T.LongType()),
          T.StructField("_seg", T.LongType()), T.StructField("_kind", T.IntegerType()),
          T.StructField("_cnt", T.LongType())]
@@ -309,7 +308,7 @@ def scan_pass(bdf: DataFrame, key: str, block_log2: int, spec: ScanSpec) -> Data
             F.shiftright("_blk", SEG_LOG2).alias("_seg"), F.lit(0).alias("_kind"), "_cnt",
             *[c for i in range(len(recs)) for c in (f"_acc{i}", f"_x0{i}")])
 
-    schema = _fold_schema(key_type, fspec, 2)
+    schema = _fold_schema(key_type, fspec)
     lvl2 = (summ.repartition("_key", "_seg").sortWithinPartitions("_key", "_seg", "_pos")
                 .mapInPandas(_make_fold(fspec, seeded=False, by_segment=True), schema))
     seg_tot = (lvl2.where(F.col("_kind") == 1)

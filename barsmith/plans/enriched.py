@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barsmith.operators.ema import indicators
 from barsmith.operators.sma import sma_join, sma_range
