@@ -20,7 +20,7 @@ from barsmith.schema import BAR_SCHEMA
 from barsmith.session import scratch_path
 from barsmith.sources import tables
 from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
-from barsmith.streaming.sinks import run, start
+from barsmith.streaming.sinks import fan_out, parquet_batch_sink, run, start
 from barsmith.streaming.sources import bar_file_stream, wall_time, wire_file_stream
 
 # --- fixed query parameters (same scale as the batch catalog) ----------------
@@ -91,6 +91,30 @@ def q_stream_sma_raw(spark, sf):
     return wall_time(res).select("symbol", "datetime", "close", "sma_20")
 
 
+def q_stream_fan_out(spark, sf):
+    """The SMA stream written to two sinks by one query: one source read and
+    one state feed both (each micro-batch persisted once).  Returns the
+    first sink after checking the second holds the same rows."""
+    src = _write_bars(spark, tables.bars_1h(spark, sf), "bars")
+    s = bar_file_stream(spark, src, BAR_SCHEMA).withWatermark("datetime", WATERMARK)
+    j = sma_join(s, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS).select(
+        "symbol", "datetime", "close", "sma_20")
+    base = scratch_path(spark, "stream-fan-out")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
+    try:
+        q = fan_out(j, [parquet_batch_sink(f"{base}/store"), parquet_batch_sink(f"{base}/copy")],
+                    f"{base}/_checkpoint")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    run(q)
+    store = spark.read.parquet(f"{base}/store").drop("_epoch")
+    copy = spark.read.parquet(f"{base}/copy").drop("_epoch")
+    if store.exceptAll(copy).limit(1).count() or copy.exceptAll(store).limit(1).count():
+        raise RuntimeError("fan-out sinks differ")
+    return wall_time(store).select("symbol", "datetime", "close", "sma_20")
+
+
 def q_stream_enriched(spark, sf):
     """Whole stream path: bars with batch indicators go out as JSON wire
     messages (all fields text); the stream parses them, adds the SMA and
