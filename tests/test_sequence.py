@@ -155,3 +155,13 @@ def test_property_ema_equals_recursion(spark, lengths, span, block_log2, seg_log
         o = out[out.symbol == sym].sort_values("t")
         np.testing.assert_allclose(o.e, literal_ema(g.close.to_numpy(), span), rtol=1e-10)
         assert list(o.rn) == list(range(len(g)))
+
+
+def test_empty_and_all_null_inputs(spark):
+    empty = spark.createDataFrame([], "symbol string, datetime long, close double")
+    assert ema(empty, "close", [12]).count() == 0
+    nulls = spark.createDataFrame([("a", 1, None), ("a", 2, None)],
+                                  "symbol string, datetime long, close double")
+    assert ema(nulls, "close", [12]).count() == 0
+    bars = empty.withColumn("high", F.col("close")).withColumn("low", F.col("close"))
+    assert indicators(bars).count() == 0
