@@ -218,6 +218,7 @@ WHERE isodow(datetime) <= 5 AND hour(datetime) * 60 + minute(datetime) >= 570
     q["stream_sma"] = _with(BARS, sma_cte("bars")) + f"""SELECT symbol, datetime, close,
   sma_20 FROM sm WHERE datetime <= {_wm()}"""
     q["stream_fan_out"] = q["stream_sma"]
+    q["stream_sma_late"] = q["stream_sma"]
     q["stream_sma_raw"] = _with(BARS, sma_cte("bars")) + """SELECT symbol, datetime, close,
   sma_20 FROM sm
 WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 SECOND"""

@@ -20,7 +20,7 @@ from barsmith.schema import BAR_SCHEMA
 from barsmith.session import scratch_path
 from barsmith.sources import tables
 from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
-from barsmith.streaming.sinks import fan_out, parquet_batch_sink, run, start
+from barsmith.streaming.sinks import dropped_by_watermark, fan_out, parquet_batch_sink, run, start
 from barsmith.streaming.sources import bar_file_stream, wall_time, wire_file_stream
 
 # --- fixed query parameters (same scale as the batch catalog) ----------------
@@ -91,6 +91,31 @@ def q_stream_sma_raw(spark, sf):
     return wall_time(res).select("symbol", "datetime", "close", "sma_20")
 
 
+def q_stream_sma_late(spark, sf):
+    """After the first run, a file of stale bars (older than the watermark,
+    with absurd prices) arrives and the query restarts from its checkpoint:
+    the late rows are dropped (and counted), so no mean changes."""
+    bars = tables.bars_1h(spark, sf)
+    base = scratch_path(spark, "late-src")
+    bars.select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=1")
+    out, ckpt = _sink(spark, "stream-sma-late")
+
+    def query():
+        s = bar_file_stream(spark, f"{base}/*", BAR_SCHEMA).withWatermark("datetime", WATERMARK)
+        j = sma_join(s, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS)
+        return start(j.select("symbol", "datetime", "close", "sma_20"), ckpt, out,
+                     state_partitions=STATE_PARTITIONS)
+
+    run(query())
+    stale = (bars.withColumn("close", F.lit(1.0e6)).withColumn("high", F.lit(1.0e6))
+                 .where(F.col("datetime") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")))
+    stale.select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=2")
+    q = run(query())
+    if dropped_by_watermark(q) == 0 and stale.limit(1).count():
+        raise RuntimeError("late rows were not dropped by the watermark")
+    return wall_time(spark.read.parquet(out)).select("symbol", "datetime", "close", "sma_20")
+
+
 def q_stream_fan_out(spark, sf):
     """The SMA stream written to two sinks by one query: one source read and
     one state feed both (each micro-batch persisted once).  Returns the
