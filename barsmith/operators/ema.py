@@ -67,8 +67,10 @@ def signal_terms(spans: list[int], signal_span: int) -> tuple[list[Recurrence],
 
 
 def _one_pass_signal(spans: list[int], signal_span: int) -> bool:
-    decs = {ema_decay(n) for n in (min(spans), max(spans))}
-    return abs(min(abs(d - ema_decay(signal_span)) for d in decs)) > 1e-3
+    """The split needs the signal's decay apart from both MACD decays
+    (1/(b_N - b9) scales rounding errors); otherwise run a second pass."""
+    b9 = ema_decay(signal_span)
+    return min(abs(ema_decay(n) - b9) for n in (min(spans), max(spans))) > 1e-3
 
 
 def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None = 200,
@@ -77,9 +79,11 @@ def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None =
                min_prior: int = 8, level_from: str = "current") -> DataFrame:
     """EMA of every span (+ the long span), MACD, signal and support/resistance.
 
-    Two passes over one sort: pass 1 computes the EMAs, the row index and the
-    high/low lags the pivot test needs; pass 2 runs the signal recurrence on
-    the MACD column.  Pass 2 reuses pass 1's (symbol, block) partitioning.
+    One scan over one sort: the EMAs, the signal (as first-order terms, see
+    ``signal_terms``), the row index and the high/low lags the pivot test
+    needs.  Only when the signal's decay nearly equals a MACD decay does a
+    second pass run the signal recurrence on the MACD column; it reuses the
+    (symbol, block) layout.
     """
     from barsmith.operators.levels import level_columns
 
