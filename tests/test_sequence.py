@@ -165,3 +165,15 @@ def test_empty_and_all_null_inputs(spark):
     assert ema(nulls, "close", [12]).count() == 0
     bars = empty.withColumn("high", F.col("close")).withColumn("low", F.col("close"))
     assert indicators(bars).count() == 0
+
+
+def test_signal_falls_back_to_two_passes_when_decays_coincide(spark):
+    df = series_df(spark, [150]).withColumnRenamed("t", "datetime")
+    out = macd(df, "close", [9, 30], signal_span=9).toPandas().sort_values("datetime")
+    x = out.close.to_numpy()
+    m = literal_ema(x, 9) - literal_ema(x, 30)
+    sig, s = [], m[0]
+    for v in m:
+        s = 0.2 * v + 0.8 * s
+        sig.append(s)
+    np.testing.assert_allclose(out.signal, sig, atol=1e-10)
