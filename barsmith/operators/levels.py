@@ -92,6 +92,6 @@ def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
     s = s.where(F.col("rn") >= width - 1)
     hs = F.array(*[_lag("high", k) for k in range(width - 1, -1, -1)])   # oldest first
     ls = F.array(*[_lag("low", k) for k in range(width - 1, -1, -1)])
-    s = s.withColumns({"max_pos": F.array_position(hs, F.array_max(hs)) - 1,
-                       "min_pos": F.array_position(ls, F.array_min(ls)) - 1})
+    s = s.withColumns({"max_pos": (F.array_position(hs, F.array_max(hs)) - 1).cast("int"),
+                       "min_pos": (F.array_position(ls, F.array_min(ls)) - 1).cast("int")})
     return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk", "_k")
