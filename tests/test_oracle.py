@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tools.check_oracle import TABLES, compare
+from tools.check_oracle import TABLES, compare, type_diff
 
 NAMES = sorted(E.queries())
 
@@ -28,9 +28,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    frame = E.queries()[name](spark, SF_SMALL)
+    got = frame.toPandas()
     want = duck.execute(E.oracle_sql()[name]).df()
     assert compare(got, want) is None
+    assert type_diff(frame, duck.sql(E.oracle_sql()[name])) == []
 
 
 def test_entry_smoke(spark):
