@@ -204,7 +204,14 @@ def q_indicator_state(spark, sf):
 # --- serving -----------------------------------------------------------------
 
 def q_range_scan(spark, sf):
-    return r6(range_scan(_enriched(spark, sf), AS_OF, 5), IND_COLS)
+    """The read path: enriched bars appended to the serving store (one folder
+    per symbol), then scanned with the time bound pushed into parquet."""
+    from barsmith.plans.enriched import served_columns
+    from barsmith.sources.files import scan, write_serving
+    path = scratch_path(spark, "store")
+    write_serving(_enriched(spark, sf), path, mode="overwrite")
+    stored = served_columns(scan(spark, path, as_of=AS_OF, days=5))
+    return r6(range_scan(stored, AS_OF, 5), IND_COLS)
 
 
 def q_candles(spark, sf):
