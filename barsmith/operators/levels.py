@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.operators.sequence import ScanSpec, order_blocks, scan_pass
+from barsmith.operators.sequence import MAX_BLOCK_LOG2, ScanSpec, order_blocks, scan_pass
 
 
 def _lag(c: str, k: int) -> Column:
@@ -59,7 +59,7 @@ def levels(bars: DataFrame, left: int = 4, right: int = 2, min_prior: int = 8,
     base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
     base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    lg = 12
+    lg = MAX_BLOCK_LOG2          # no recurrence: any block size is safe
     b = order_blocks(base, key, [time_col] + ([tie] if tie else []), lg)
     s = scan_pass(b, key, lg, ScanSpec([], ["high", "low"], width - 1, "_idx"))
     s = s.withColumns(level_columns(left, right, min_prior, level_from))
@@ -73,8 +73,8 @@ def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
     plus the row index; exact across block borders via the carried halo."""
     base = bars.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), 12)
-    s = scan_pass(b, key, 12, ScanSpec([], ["high", "low"], width - 1, "rn"))
+    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
+    s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))
     hs = [_lag("high", k) for k in range(width)]
     ls = [_lag("low", k) for k in range(width)]
     s = s.withColumns({"max_high": F.greatest(*hs), "min_low": F.least(*ls)})
@@ -87,8 +87,8 @@ def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
     trailing ``width`` bars, for bars that have a full slice."""
     base = bars.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), 12)
-    s = scan_pass(b, key, 12, ScanSpec([], ["high", "low"], width - 1, "rn"))
+    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
+    s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))
     s = s.where(F.col("rn") >= width - 1)
     hs = F.array(*[_lag("high", k) for k in range(width - 1, -1, -1)])   # oldest first
     ls = F.array(*[_lag("low", k) for k in range(width - 1, -1, -1)])

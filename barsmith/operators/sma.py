@@ -140,7 +140,8 @@ def _sma_range_scan(bars: DataFrame, W: int, how: str, key: str, time_col: str,
     ``exact_decimals`` integers are exact below 2^53; plain doubles lose
     about ``eps * prefix`` to cancellation.
     """
-    from barsmith.operators.sequence import ScanSpec, order_blocks, running_sum, scan_pass
+    from barsmith.operators.sequence import (MAX_BLOCK_LOG2, ScanSpec, order_blocks, running_sum,
+                                             scan_pass)
 
     ids = [key, time_col, *tie]
     base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
@@ -156,8 +157,9 @@ def _sma_range_scan(bars: DataFrame, W: int, how: str, key: str, time_col: str,
              for m, shift in ((1, 0), (2, W))]
     allrows = real.unionByName(marks[0]).unionByName(marks[1]).where(F.col("_v").isNotNull())
     tie_order = ["_us", "_kind", "_m"] + [f"_id{i}" for i in range(len(ids))]
-    b = order_blocks(allrows, "_sk", tie_order, 12)
-    sc = scan_pass(b, "_sk", 12, ScanSpec([running_sum("_ps", "_v"), running_sum("_pc", "_c")]))
+    b = order_blocks(allrows, "_sk", tie_order, MAX_BLOCK_LOG2)
+    sc = scan_pass(b, "_sk", MAX_BLOCK_LOG2,
+                   ScanSpec([running_sum("_ps", "_v"), running_sum("_pc", "_c")]))
     at = sc.where(F.col("_kind") == 0)
     sign = F.when(F.col("_m") == 1, 1.0).otherwise(-1.0)
     win = at.groupBy(*[f"_id{i}" for i in range(len(ids))]).agg(
