@@ -177,3 +177,27 @@ def test_signal_falls_back_to_two_passes_when_decays_coincide(spark):
         s = 0.2 * v + 0.8 * s
         sig.append(s)
     np.testing.assert_allclose(out.signal, sig, atol=1e-10)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lengths=st.lists(st.integers(1, 60), min_size=1, max_size=3),
+       block_log2=st.integers(0, 3), seed=st.integers(0, 10_000))
+def test_property_pivots_equal_first_index_rule(spark, lengths, block_log2, seed):
+    from barsmith.operators.levels import level_columns
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k, n in enumerate(lengths):
+        for i, h in enumerate(rng.integers(0, 5, n)):          # small range: many ties
+            rows.append((f"s{k}", i, float(h), float(h - rng.integers(0, 3))))
+    df = spark.createDataFrame(rows, "symbol string, t long, high double, low double")
+    b = sq.order_blocks(df, "symbol", ["t"], block_log2)
+    out = sq.scan_pass(b, "symbol", block_log2, sq.ScanSpec([], ["high", "low"], 6, "_idx"))
+    out = out.withColumns(level_columns()).toPandas()
+    for sym, g in df.toPandas().sort_values("t").groupby("symbol"):
+        o = out[out.symbol == sym].sort_values("t")
+        hs, ls = list(g.high), list(g.low)
+        want_r = [hs[i] if i >= 8 and hs[i - 6:i + 1].index(max(hs[i - 6:i + 1])) == 4 else 0.0
+                  for i in range(len(hs))]
+        want_s = [ls[i] if i >= 8 and ls[i - 6:i + 1].index(min(ls[i - 6:i + 1])) == 4 else 0.0
+                  for i in range(len(ls))]
+        assert list(o.resistance) == want_r and list(o.support) == want_s
