@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -72,17 +75,22 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster sets it.  Only
-    when nothing is configured (tests, a laptop) is a local folder chosen.
+    On a cluster this is ``spark.checkpoint.dir`` as the cluster sets it, with
+    its scheme kept.  Only a local master (tests, a laptop) falls back to a
+    folder of this machine, removed when the process ends; any other master
+    without the setting is an error, because its executors would not see it.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="barsmith-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
-    return path.removeprefix("file:")
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

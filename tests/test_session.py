@@ -2,17 +2,35 @@
 
 import os
 
+import pytest
+
 from barsmith import session
 
 
 def test_checkpoint_dir_is_read_from_the_session(spark):
     path = session.ensure_checkpoint_dir(spark)
-    assert path and spark.conf.get("spark.checkpoint.dir").removeprefix("file:") == path
+    assert path and spark.conf.get("spark.checkpoint.dir") == path
     assert session.ensure_checkpoint_dir(spark) == path          # stable, never replaced
     sp = session.scratch_path(spark, "x")
     assert sp.startswith(path.rstrip("/") + "/barsmith/x-") and sp != session.scratch_path(spark, "x")
 
 
+class _FakeSession:
+    """A session on a real cluster on which nobody set the shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "local-cluster[2,1,1024]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(_FakeSession)
+
+
 def test_package_is_shipped_once_and_importable_in_workers(spark):
     session.ship_package(spark)
     session.ship_package(spark)
