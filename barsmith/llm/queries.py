@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import lang_id, toxicity
+from barsmith.llm import bpe, lang_id, toxicity
 from barsmith.llm.common import fold, read
 
 
@@ -27,9 +27,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Byte-level BPE ids of every document and the digest of what they decode to."""
+    import public_tokenizers
+    got = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                     pattern or public_tokenizers.PATTERN, packed=True, round_trip=True)
+    return got.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }
 
