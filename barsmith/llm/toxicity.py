@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barsmith.llm.common import append, plus, prepare, slices
+from barsmith.llm.common import append, materialise, plus, prepare, slices
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 20
@@ -68,38 +68,33 @@ class FactorizationMachine:
         return np.where(ends > starts, out, self.w0)
 
 
-def _informative(docs: list[np.ndarray], y: np.ndarray, min_gain: float, max_features: int) -> np.ndarray:
-    """Buckets whose presence tells about the label: log-likelihood ratio of ``min_gain`` or more, the largest first."""
-    n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    flat = np.concatenate(docs)
-    weight = np.repeat(y, [len(d) for d in docs])
-    a = np.bincount(flat, weights=weight, minlength=BUCKETS)
-    df = np.bincount(flat, minlength=BUCKETS).astype(float)
-    keep = np.flatnonzero(df >= 2)
-    a, df = a[keep], df[keep]
+def informative(counts: DataFrame, n1: int, n0: int, min_gain: float, max_features: int) -> np.ndarray:
+    """Sorted buckets whose presence tells about the label: log-likelihood ratio of ``min_gain`` or more, the largest
+    first.  ``counts`` has a row (bucket, ones, n) for each bucket: texts of label 1 and all texts that hold it."""
+    n = float(n1 + n0)
 
-    def term(obs: np.ndarray, exp: np.ndarray) -> np.ndarray:
-        return obs * np.log(np.maximum(obs, 1e-12) / np.maximum(exp, 1e-12))
+    def term(seen: Column, share: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / share)).otherwise(F.lit(0.0))
 
-    n, b = n1 + n0, df - a
-    g = 2 * (term(a, df * n1 / n) + term(b, df * n0 / n)
-         + term(n1 - a, (n - df) * n1 / n) + term(n0 - b, (n - df) * n0 / n))
-    order = np.argsort(-g, kind="stable")[:max_features]
-    return np.sort(keep[order[g[order] >= min_gain]])
+    one, both = F.col("ones").cast("double"), F.col("n").cast("double")
+    gain = 2 * (term(one, both * n1 / n) + term(both - one, both * n0 / n)
+                + term(n1 - one, (n - both) * n1 / n) + term(n0 - (both - one), (n - both) * n0 / n))
+    best = (counts.where("n >= 2").select("bucket", gain.alias("gain")).where(F.col("gain") >= min_gain)
+            .orderBy(F.desc("gain"), "bucket").limit(max_features))
+    return np.array(sorted(r[0] for r in best.collect()), np.int64)
 
 
-def fit_machine(docs: list[np.ndarray], y: np.ndarray, factors: int = 4, epochs: int = 30, rate: float = 0.1,
-                decay: float = 1e-4, min_gain: float = 12.0, max_features: int = 16_384, seed: int = 7) -> FactorizationMachine:
-    """AdaGrad over mini-batches of the logistic loss, both classes weighted alike."""
+def fit_machine(lines: list[np.ndarray], y: np.ndarray, features: np.ndarray, factors: int = 4, epochs: int = 30,
+                rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> FactorizationMachine:
+    """AdaGrad over mini-batches of the logistic loss, both classes weighted alike.  ``lines`` are the texts' features
+    as places in ``features``, from 1."""
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return FactorizationMachine(np.zeros(BUCKETS, np.int32), odds, np.zeros(1), np.zeros((1, factors)))
     rng = np.random.default_rng(seed)
-    features = _informative(docs, y, min_gain, max_features)
     rows = np.zeros(BUCKETS, np.int32)
     rows[features] = np.arange(1, len(features) + 1)
-    lines = [(r := rows[d])[r > 0] for d in docs]
     m = FactorizationMachine(rows, 0.0, np.zeros(len(features) + 1), rng.normal(0, 0.01, (len(features) + 1, factors)))
     m.v[0] = 0
     sw, sv, s0 = np.full_like(m.w, 1e-8), np.full_like(m.v, 1e-8), 1e-8
@@ -133,30 +128,51 @@ def fit_machine(docs: list[np.ndarray], y: np.ndarray, factors: int = 4, epochs:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_rows_per_class: int = 8_000) -> FactorizationMachine:
+        max_rows_per_class: int = 8_000, min_gain: float = 12.0, max_features: int = 16_384) -> FactorizationMachine:
     """Fit on at most ``max_rows_per_class`` labelled documents of each class, taken by the hash of their id.
 
-    The bound makes the sample small enough to broadcast its ids and to fit on
-    the driver; the choice by hash does not depend on the order of rows.
+    The bound makes the sample's ids small enough to broadcast; the choice by
+    hash does not depend on the order of rows.  Features are counted and chosen
+    by Spark, so that the driver gets only the chosen ones of each sampled text.
     """
     spark = docs.sparkSession
     prepare(spark)
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")))
+             .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y")))
     first = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
     sample = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_rows_per_class).drop("n")
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(sample), "id").select("id", "y", "text"))
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = materialise(rows, "labelled")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                tally: dict[int, list[int]] = {}
+                for y, text in zip(part.column("y").to_pylist(), part.column("text").to_pylist()):
+                    for b in term_buckets(text):
+                        c = tally.setdefault(b, [0, 0])
+                        c[0] += y
+                        c[1] += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(tally), pa.int32()), pa.array([c[0] for c in tally.values()], pa.int64()),
+                     pa.array([c[1] for c in tally.values()], pa.int64())], names=["bucket", "ones", "n"])
+
+    size = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
+    counts = (rows.select("y", "text").mapInArrow(count, "bucket int, ones long, n long")
+              .groupBy("bucket").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n")))
+    features = informative(counts, size.get(1, 0), size.get(0, 0), min_gain, max_features)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                got = [sorted(term_buckets(t)) for t in part.column("text").to_pylist()]
+                got = [np.searchsorted(features, np.intersect1d(features, list(term_buckets(t)))) + 1 for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("y"), pa.array(got, pa.list_(pa.int32()))], names=["id", "y", "terms"])
+                    [part.column("id"), part.column("y"), pa.array(got, pa.list_(pa.int32()))], names=["id", "y", "lines"])
 
-    got = rows.mapInArrow(terms, "id long, y int, terms array<int>").toPandas().sort_values("id", kind="stable")
-    return fit_machine([np.asarray(t, np.int64) for t in got["terms"]], got["y"].to_numpy(float))
+    got = rows.mapInArrow(lines, "id long, y int, lines array<int>").toPandas().sort_values("id", kind="stable")
+    return fit_machine([np.asarray(x, np.int64) for x in got["lines"]], got["y"].to_numpy(float), features)
 
 
 def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text", out_col: str = "score") -> DataFrame:
