@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, toxicity
+from barsmith.llm import bpe, lang_id, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -27,6 +27,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to Zstandard WARC archives and read back from them."""
+    got = warc.read_archives(warc.write_archives(read(spark, sf_dir, "pages")))
+    return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """Byte-level BPE ids of every document and the digest of what they decode to."""
     import public_tokenizers
@@ -39,6 +45,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None,
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op4_warc": op4_warc,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }
