@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, toxicity, warc
+from barsmith.llm import bpe, lang_id, mixing, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -33,6 +33,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken when its source's share is tempered and the budget is all tokens."""
+    got = mixing.plan(read(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), "source", "n_tokens", "copies")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """Byte-level BPE ids of every document and the digest of what they decode to."""
     import public_tokenizers
@@ -46,10 +52,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op4_warc": op4_warc,
+        "op6_mixing": op6_mixing,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": mixing.oracle()}
