@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,19 @@ def fold(col: str, folds: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(folds)
 
 
+def first_by_hash(df: DataFrame, group: str, id_col: str, limit: int, salts: int = 64) -> DataFrame:
+    """At most ``limit`` rows of each group, those whose ids have the least hashes.
+
+    The first cut is by (group, salt), so that no task ranks a whole group; at
+    most ``limit * salts`` rows of a group are left for the second.
+    """
+    order = [F.xxhash64(id_col), F.col(id_col)]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(id_col, F.lit("salt")), F.lit(salts)))
+    for by in (Window.partitionBy(group, "_salt"), Window.partitionBy(group)):
+        salted = salted.withColumn("_n", F.row_number().over(by.orderBy(*order))).where(F.col("_n") <= limit).drop("_n")
+    return salted.drop("_salt")
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``limit`` bytes of text, one row at least."""
     import pyarrow.compute as pc

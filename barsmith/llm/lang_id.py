@@ -30,10 +30,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.common import append, materialise, plus, prepare, slices
+from barsmith.llm.common import append, first_by_hash, materialise, plus, prepare, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START, END = "\x02", "\x03"
@@ -224,8 +224,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= max_docs_per_lang)
+    chosen = (first_by_hash(rows, "lang", "id", max_docs_per_lang)
               .select("id", (F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(5)) == 0).alias("calibrate")).distinct())
     texts = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
              .where("lang is not null and text is not null").join(F.broadcast(chosen), "id"))

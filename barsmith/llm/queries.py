@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, mixing, toxicity, warc
+from barsmith.llm import bpe, lang_id, mixing, order_minhash, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -33,6 +33,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, and the links of its member."""
+    got = order_minhash.classes(read(spark, sf_dir, "documents"))
+    return got.withColumnRenamed("id", "doc_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken when its source's share is tempered and the budget is all tokens."""
     got = mixing.plan(read(spark, sf_dir, "documents"))
@@ -52,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op4_warc": op4_warc,
+        "op5_order_minhash": op5_order_minhash,
         "op6_mixing": op6_mixing,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,

@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.common import append, materialise, plus, prepare, slices
+from barsmith.llm.common import append, first_by_hash, materialise, plus, prepare, slices
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 20
@@ -139,8 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prepare(spark)
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y")))
-    first = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    sample = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_rows_per_class).drop("n")
+    sample = first_by_hash(known, "y", "id", max_rows_per_class)
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(sample), "id").select("id", "y", "text"))
 
