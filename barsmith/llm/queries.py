@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, mixing, order_minhash, toxicity, warc
+from barsmith.llm import bpe, lang_id, mixing, order_minhash, phrase_dedup, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -45,6 +45,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "source", "n_tokens", "copies")
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word passages that documents of smaller id hold."""
+    got = phrase_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """Byte-level BPE ids of every document and the digest of what they decode to."""
     import public_tokenizers
@@ -60,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_warc": op4_warc,
         "op5_order_minhash": op5_order_minhash,
         "op6_mixing": op6_mixing,
+        "op8_phrase_dedup": op8_phrase_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }
