@@ -23,9 +23,7 @@ as larger than all others; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -131,7 +129,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out["blob"].append(pack(one=hashes[0][s], two=hashes[1][s].astype(np.uint32), owner=own.astype(np.int32), ids=ids))
         return pa.table({"part": pa.array(out["part"], pa.int32()), "chunk": pa.array(out["chunk"], pa.int64()), "blob": pa.array(out["blob"], pa.binary())})
 
-    def remove(key: tuple, chunk_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
+    def remove(chunk_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
         flag_rows = answer_rows.filter(pc.equal(answer_rows.column("kind"), 0))
         answers = answer_rows.filter(pc.equal(answer_rows.column("kind"), 1))
         parts = []

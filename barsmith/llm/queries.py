@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, mixing, order_minhash, phrase_dedup, toxicity, warc
+from barsmith.llm import bpe, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -27,6 +27,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that documents of smaller id hold."""
+    got = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to Zstandard WARC archives and read back from them."""
     got = warc.read_archives(warc.write_archives(read(spark, sf_dir, "pages")))
@@ -63,6 +69,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None,
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_warc": op4_warc,
         "op5_order_minhash": op5_order_minhash,
         "op6_mixing": op6_mixing,
