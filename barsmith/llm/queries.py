@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
+from barsmith.llm import bpe, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -51,6 +51,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "source", "n_tokens", "copies")
 
 
+def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, and how alike they and the next document's are."""
+    got = iblt.compare(iblt.versions(read(spark, sf_dir, "documents")))
+    return got.withColumnRenamed("id", "doc_id")
+
+
 def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-word passages that documents of smaller id hold."""
     got = phrase_dedup.remove_repeats(read(spark, sf_dir, "documents"))
@@ -73,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_warc": op4_warc,
         "op5_order_minhash": op5_order_minhash,
         "op6_mixing": op6_mixing,
+        "op7_iblt_fingerprints": op7_iblt_fingerprints,
         "op8_phrase_dedup": op8_phrase_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
