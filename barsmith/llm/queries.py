@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
+from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
 from barsmith.llm.common import fold, read
 
 
@@ -27,6 +27,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found by inner product for every vector whose id is divisible by 20."""
+    return collision_ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings that documents of smaller id hold."""
     got = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
@@ -75,6 +80,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None,
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_collision_ann": op2_collision_ann,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_warc": op4_warc,
         "op5_order_minhash": op5_order_minhash,
