@@ -201,8 +201,9 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", packed: bool = False, round_trip: bool = False) -> DataFrame:
     """``docs`` without the text, with ``ids`` (array<int>; packed: binary of little-endian unsigned 32-bit
-    integers) and, for ``round_trip``, ``decoded``: the bytes that the ids decode to."""
+    integers) and, for ``round_trip``, ``decoded``: the bytes that the ids decode to; in place of columns of these names."""
     spark = docs.sparkSession
+    docs = docs.drop("ids", "decoded")
     prepare(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(rank_file))
     pieces = F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
@@ -246,6 +247,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFrame:
     """``tokens`` without the ids (array<int>; null: none), with ``decoded``: their bytes, by ordered aggregation."""
     spark = tokens.sparkSession
+    tokens = tokens.drop("decoded") if ids_col != "decoded" else tokens
     prepare(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(rank_file))
 

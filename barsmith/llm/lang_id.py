@@ -265,14 +265,16 @@ def calibrate(model: LanguageModel, held) -> LanguageModel:
         model.temperature = min((2.0 ** (k / 2) for k in range(0, 15)), key=loss)
         for i in range(len(model.langs)):
             own = np.sort(e[y == i, i])
-            if len(own) >= 20:
+            if len(own) >= 5:
                 model.limit[i] = np.quantile(own, 0.995) + 0.1
     return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """All rows of ``docs`` without the text, with lang_pred, score, accepted and entropy (of the language chosen)."""
+    """All rows of ``docs`` without the text, with lang_pred, score, accepted and entropy (of the language chosen), in
+    place of columns of these names."""
     spark = docs.sparkSession
+    docs = docs.drop("lang_pred", "score", "accepted", "entropy")
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
 

@@ -143,8 +143,10 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
 def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_col: str = "source", blocks: int = 64) -> DataFrame:
     """The rows of ``docs`` as often as planned, with ``mix_block`` and ``mix_order``.
 
-    Rows are looked up by (id, source); each such pair has one plan.
+    Rows are looked up by (id, source); each such pair has one plan.  The two
+    columns take the place of columns of these names.
     """
+    docs = docs.drop("mix_block", "mix_order")
     one = planned.groupBy("id", "source").agg(F.max("copies").alias("copies"), F.max("key").alias("key"))
     one = one.where("copies > 0").select(F.col("id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("key").alias("_mix_key"))
     got = docs.join(one, docs[id_col].eqNullSafe(F.col("_mix_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_mix_source")))

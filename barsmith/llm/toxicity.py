@@ -175,8 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """All rows of ``docs`` with the probability of label 1."""
+    """All rows of ``docs`` with the probability of label 1 in ``out_col``, in place of a column of that name."""
     spark = docs.sparkSession
+    docs = docs.drop(out_col)
     prepare(spark)
     shared = spark.sparkContext.broadcast(machine)
 
