@@ -223,6 +223,7 @@ WHERE isodow(datetime) <= 5 AND hour(datetime) * 60 + minute(datetime) >= 570
   sma_20 FROM sm
 WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 SECOND"""
     q["stream_enriched"] = _with(ENRICHED) + f"""SELECT * FROM enriched WHERE datetime <= {_wm()}"""
+    q["stream_live_enriched"] = q["stream_enriched"]
     live = """SELECT symbol, datetime, round(ema_12, 6) AS ema_12, round(ema_16, 6) AS ema_16,
   round(ema_30, 6) AS ema_30, round(ema_200, 6) AS ema_200, round(macd, 6) AS macd,
   round(signal, 6) AS signal, support, resistance FROM lv"""

@@ -47,13 +47,14 @@ def encode_for_kafka(df: DataFrame) -> DataFrame:
 
 
 def write_kafka(df: DataFrame, servers: str, checkpoint: str | None = None):
-    """Publish bars; batch frames are written, streaming frames start a query."""
+    """Publish bars; batch frames are written, streaming frames start a query,
+    which needs a checkpoint."""
     enc = encode_for_kafka(df)
     if df.isStreaming:
+        if not checkpoint:
+            raise ValueError("a streaming query needs a checkpoint folder")
         w = (enc.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-             .outputMode("append"))
-        if checkpoint:
-            w = w.option("checkpointLocation", checkpoint)
+             .outputMode("append").option("checkpointLocation", checkpoint))
         return w.start()
     enc.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     return None

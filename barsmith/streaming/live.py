@@ -1,18 +1,26 @@
-"""Live continuation of the recursive indicators, one bar at a time per symbol.
+"""Live continuation of the recursive indicators, in event-time order per symbol.
 
 A keyed ``transformWithStateInPandas`` processor holds, per symbol, the EMA of
 every span, the signal line, the bar count and the last ``left + right``
 highs/lows.  It can start from the end-of-history snapshot of the batch
 operators (``warm_state``), so batch history + live stream equals one batch
-run over the whole series.  Bars at or before the last processed bar of a
-symbol are dropped (a recursion cannot be rewound).
-
-Python here sees only *new* bars: the history is done by the batch block
-scan.  Within a micro-batch a symbol's new bars are processed with numpy
-(blocked closed-form EMA runs continuing from the state, sliding-window
-pivots over the carried tail), not row by row.  A hot symbol's work per
-batch is bounded by the trigger limits (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``).
+run over the whole series.
+
+A recursion cannot be rewound, so bars wait in keyed state until the watermark
+has passed them and are then processed in time order, however the input was
+split into files and micro-batches.  The watermark's delay is the disorder that
+is tolerated, and bounds what waits.  Only bars behind the watermark are
+dropped, and Spark counts them (``dropped_by_watermark``).  Of several bars of
+one symbol and time, the one with the largest volume is used, then the largest
+close, high, low and open; the choice does not depend on the split either.
+Bars at or before the last bar of a warm state are part of it already.
+
+A row without a symbol is a heartbeat: it only moves the watermark to its time,
+which releases the bars that wait at the end of a bounded stream.
+
+Python sees only *new* bars: the history is done by the batch block scan.  A
+symbol's released bars are processed with numpy (blocked closed-form EMA runs
+continuing from the state, sliding-window pivots over the carried tail).
 """
 
 from __future__ import annotations
@@ -28,8 +36,6 @@ from barsmith.operators.bars import indicator_state
 from barsmith.operators.sequence import ema_decay
 from barsmith.schema import EMA_SPANS, LONG_SPAN, MIN_PRIOR, PIVOT_LEFT, PIVOT_RIGHT, SIGNAL_SPAN
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 STATE_SCHEMA = T.StructType([
     T.StructField("ema", T.ArrayType(T.DoubleType())),
     T.StructField("signal", T.DoubleType()),
@@ -39,10 +45,18 @@ STATE_SCHEMA = T.StructType([
     T.StructField("tail_low", T.ArrayType(T.DoubleType())),
 ])
 
+#: A waiting bar: time in microseconds, then what decides between bars of one time, the most telling first.
+WAITING_SCHEMA = T.StructType([
+    T.StructField("us", T.LongType()), T.StructField("volume", T.LongType()),
+    *[T.StructField(c, T.DoubleType()) for c in ("close", "high", "low", "open")],
+])
+TIMER_SCHEMA = T.StructType([T.StructField("ms", T.LongType())])
+
 
 def output_schema(spans: list[int]) -> T.StructType:
     f = [T.StructField("symbol", T.StringType()), T.StructField("datetime", T.TimestampType()),
-         T.StructField("close", T.DoubleType())]
+         *[T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close")],
+         T.StructField("volume", T.LongType())]
     f += [T.StructField(f"ema_{n}", T.DoubleType()) for n in spans]
     f += [T.StructField(c, T.DoubleType()) for c in ("macd", "signal", "support", "resistance")]
     return T.StructType(f)
@@ -88,7 +102,10 @@ class IndicatorProcessor(StatefulProcessor):
         self.width = left + right + 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("indicators", STATE_SCHEMA)
+        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+        self.timer = handle.getValueState("timer", TIMER_SCHEMA)
 
     def _load(self):
         if self.state.exists():
@@ -96,24 +113,53 @@ class IndicatorProcessor(StatefulProcessor):
             return (list(s[0]), s[1], int(s[2]), int(s[3]), list(s[4] or []), list(s[5] or []))
         return None
 
+    def _wake_at(self, us: int) -> None:
+        """Wake up once the watermark has reached a time, unless an earlier call is due."""
+        ms = -(-us // 1000)
+        if not self.timer.exists() or self.timer.get()[0] > ms:
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
+
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf[pdf["close"].notna()]
-        if pdf.empty:
+        st = self._load()
+        for pdf in rows:
+            pdf = pdf[pdf["close"].notna() & pdf["datetime"].notna()]
+            if key[0] is None or pdf.empty:
+                continue
+            us = _micros(pdf["datetime"])
+            if st is not None:
+                pdf, us = pdf[us > st[3]], us[us > st[3]]
+            if len(us):
+                volume = pdf["volume"].fillna(0).astype("int64").tolist()
+                prices = [pdf[c].astype(float).tolist() for c in ("close", "high", "low", "open")]
+                self.waiting.appendList(list(zip(us.tolist(), volume, *prices)))
+                self._wake_at(int(us.min()))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        self.timer.clear()
+        due, later = [], []
+        for row in self.waiting.get():
+            (due if row[0] <= passed else later).append(tuple(row))
+        if later:
+            self.waiting.put(later)
+            self._wake_at(min(r[0] for r in later))
+        else:
+            self.waiting.clear()
+        if not due:
             return
-        us = _micros(pdf["datetime"])
-        order = np.argsort(us, kind="stable")
-        pdf, us = pdf.iloc[order].reset_index(drop=True), us[order]
+        lowest = float("-inf")
+        best: dict[int, tuple] = {}
+        for row in due:
+            rank = (row[1], *(lowest if v is None or v != v else v for v in row[2:]))
+            if row[0] not in best or rank > best[row[0]][0]:
+                best[row[0]] = (rank, row)
+        rows = [best[us][1] for us in sorted(best)]
+        us = np.array([r[0] for r in rows], dtype=np.int64)
+        close, high, low, open_ = (np.array([np.nan if r[c] is None else r[c] for r in rows], dtype=float) for c in (2, 3, 4, 5))
+        m = len(rows)
         st = self._load()
-        if st is not None:
-            keep = us > st[3]
-            pdf, us = pdf[keep].reset_index(drop=True), us[keep]
-            if pdf.empty:
-                return
-        close = pdf["close"].to_numpy(dtype=float)
-        high = pdf["high"].to_numpy(dtype=float)
-        low = pdf["low"].to_numpy(dtype=float)
-        m = len(pdf)
         if st is None:                      # first bar ever: every average starts at it
             ema0, sig0, n, th, tl = [close[0]] * len(self.spans), None, 0, [], []
         else:
@@ -125,7 +171,8 @@ class IndicatorProcessor(StatefulProcessor):
         sup_lvl, tl = self._pivots(low, tl, n, np.argmin)
         self.state.update(([float(e[-1]) for e in emas], float(sig[-1]), n + m, int(us[-1]),
                            th, tl))
-        out = {"symbol": [key[0]] * m, "datetime": pdf["datetime"], "close": close}
+        out = {"symbol": [key[0]] * m, "datetime": pd.to_datetime(us, unit="us"), "open": open_,
+               "high": high, "low": low, "close": close, "volume": [r[1] for r in rows]}
         for span, e in zip(self.spans, emas):
             out[f"ema_{span}"] = e
         out.update({"macd": macd, "signal": sig, "support": sup_lvl, "resistance": res_lvl})
@@ -140,7 +187,8 @@ class IndicatorProcessor(StatefulProcessor):
         t = len(tail)
         if len(allv) >= self.width:
             win = np.lib.stride_tricks.sliding_window_view(allv, self.width)
-            hit = pick(win, axis=1) == self.left            # first extreme, like list.index
+            # first extreme, like list.index; a window with a missing value has none
+            hit = (pick(win, axis=1) == self.left) & ~np.isnan(win).any(axis=1)
             idx = np.arange(len(win)) + self.width - 1 - t  # new-bar index of each window's end
             ok = (idx >= 0) & (n + idx >= self.min_prior) & hit
             lvl[idx[ok]] = v[idx[ok]]
@@ -176,7 +224,11 @@ def save_warm_state(state: DataFrame, path: str) -> DataFrame:
 
 def live_indicators(bars_stream: DataFrame, init_state: DataFrame | None = None,
                     processor: IndicatorProcessor | None = None) -> DataFrame:
-    """Streaming bars -> bars with indicators, keyed by symbol."""
+    """Watermarked streaming bars -> bars with indicators, keyed by symbol.
+
+    Give ``bars_stream`` a watermark on ``datetime``.  Start the result with
+    ``sinks.start``, which gives the query the state store it needs.
+    """
     import sys
 
     from pyspark import cloudpickle
@@ -189,11 +241,10 @@ def live_indicators(bars_stream: DataFrame, init_state: DataFrame | None = None,
     # stateful operator (its driver-side initialisation) do not receive the
     # shipped package, and a class pickled by reference would not import
     cloudpickle.register_pickle_by_value(sys.modules["barsmith"])
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     proc = processor or IndicatorProcessor()
-    src = bars_stream.select("symbol", "datetime", F.col("close").cast("double"),
-                             F.col("high").cast("double"), F.col("low").cast("double"))
+    src = bars_stream.select("symbol", "datetime", *[F.col(c).cast("double") for c in ("open", "high", "low", "close")],
+                             F.col("volume").cast("bigint"))
     init = init_state.groupBy("symbol") if init_state is not None else None
     return src.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=output_schema(proc.spans),
-        outputMode="Append", timeMode="None", initialState=init)
+        outputMode="Append", timeMode="EventTime", initialState=init)

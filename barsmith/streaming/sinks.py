@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,31 +21,51 @@ def _trigger(w, trigger):
     return w
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FILE_FORMATS = ("parquet", "json", "csv", "orc", "text")
+
+
+@contextmanager
+def state_settings(spark: SparkSession, state_partitions: int | None):
+    """Settings that a query copies when it starts: RocksDB for its state, and
+    the number of its state partitions, which is fixed for the life of the
+    checkpoint.  Without a number it is the session's
+    ``spark.barsmith.statePartitions``, else its shuffle partitions."""
+    count = state_partitions or spark.conf.get("spark.barsmith.statePartitions", None)
+    want = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if count:
+        want["spark.sql.shuffle.partitions"] = str(count)
+    old = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def start(df: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "parquet",
           trigger: str | None = "availableNow", output_mode: str = "append",
           partition_by: tuple[str, ...] = ("symbol",), query_name: str | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
+          state_partitions: int | None = None, options: dict[str, str] | None = None) -> StreamingQuery:
     """Start an append query with a mandatory checkpoint.
 
-    ``state_partitions`` fixes the shuffle partition count the state store
-    keeps for the life of the checkpoint (it cannot change on restart).
+    ``options`` go to the sink (a connector's address, database, collection);
+    only file formats are partitioned.
     """
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        w = df.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if not checkpoint:
+        raise ValueError("a streaming query needs a checkpoint folder")
+    with state_settings(df.sparkSession, state_partitions):
+        w = df.writeStream.format(fmt).outputMode(output_mode).options(**(options or {}))
+        w = w.option("checkpointLocation", checkpoint)
         if path and fmt not in ("memory", "console"):
             w = w.option("path", path)
-        if partition_by and fmt not in ("memory", "console"):
+        if partition_by and fmt in FILE_FORMATS:
             w = w.partitionBy(*partition_by)
         if query_name:
             w = w.queryName(query_name)
-        w = _trigger(w, trigger)
-        return w.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        return _trigger(w, trigger).start()
 
 
 def write_serving_stream(df: DataFrame, path: str, checkpoint: str,
@@ -51,17 +74,14 @@ def write_serving_stream(df: DataFrame, path: str, checkpoint: str,
     return start(df, checkpoint, path, "parquet", trigger)
 
 
-def write_console(df: DataFrame, checkpoint: str | None = None, truncate: bool = False,
+def write_console(df: DataFrame, checkpoint: str, truncate: bool = False,
                   trigger: str | None = None) -> StreamingQuery:
     """Debug sink: print each appended batch."""
-    w = df.writeStream.format("console").outputMode("append").option("truncate", str(truncate).lower())
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return start(df, checkpoint, fmt="console", trigger=trigger, options={"truncate": str(truncate).lower()})
 
 
 def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame, int], None]], checkpoint: str,
-            trigger: str | None = "availableNow") -> StreamingQuery:
+            trigger: str | None = "availableNow", state_partitions: int | None = None) -> StreamingQuery:
     """One read, one state, several sinks: each micro-batch is persisted once
     and handed to every sink (instead of one query per sink)."""
 
@@ -73,8 +93,9 @@ def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame, int], None]], checkp
         finally:
             batch.unpersist()
 
-    w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    with state_settings(df.sparkSession, state_partitions):
+        w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        return _trigger(w, trigger).start()
 
 
 def parquet_batch_sink(path: str, partition_by: tuple[str, ...] = ("symbol",)):
@@ -88,42 +109,83 @@ def parquet_batch_sink(path: str, partition_by: tuple[str, ...] = ("symbol",)):
     return sink
 
 
-def run(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for a bounded (``availableNow``) query and surface its failure."""
-    query.awaitTermination(timeout_s)
+class Meter:
+    """Counts over all micro-batches of a query's run.
+
+    ``recentProgress`` keeps the newest hundred only, so the meter reads it
+    again and again while the query runs and adds each batch once.
+    """
+
+    def __init__(self, query: StreamingQuery):
+        self.query = query
+        self.batches: dict[int, tuple[int, int]] = {}
+
+    def read(self) -> "Meter":
+        for p in self.query.recentProgress:
+            late = sum(int(op.get("numRowsDroppedByWatermark", 0) or 0) for op in p.get("stateOperators", []))
+            key = int(p["batchId"])
+            rows, dropped = self.batches.get(key, (0, 0))
+            self.batches[key] = (max(rows, int(p.get("numInputRows", 0))), max(dropped, late))
+        return self
+
+    @property
+    def with_data(self) -> int:
+        return sum(rows > 0 for rows, _ in self.batches.values())
+
+    @property
+    def dropped(self) -> int:
+        return sum(late for _, late in self.batches.values())
+
+
+_METERS: dict[str, Meter] = {}
+
+
+def meter(query: StreamingQuery) -> Meter:
+    """The meter of a query's run, read anew."""
+    return _METERS.setdefault(str(query.runId), Meter(query)).read()
+
+
+def _raise_failure(query: StreamingQuery) -> StreamingQuery:
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
 
 
+def run(query: StreamingQuery, timeout_s: float | None = None, poll_s: float = 0.5) -> StreamingQuery:
+    """Wait for a bounded (``availableNow``) query and surface its failure."""
+    end = None if timeout_s is None else time.time() + timeout_s
+    try:
+        while not query.awaitTermination(poll_s) and (end is None or time.time() < end):
+            meter(query)
+    except StreamingQueryException as e:
+        raise RuntimeError(str(e)) from e
+    meter(query)
+    return _raise_failure(query)
+
+
 def stop_after_batches(query: StreamingQuery, n_batches: int, poll_s: float = 0.5,
                        timeout_s: float | None = None) -> StreamingQuery:
     """Run a live (processing-time) query for ``n_batches`` micro-batches that
     carried data, then stop it gracefully (a bounded run of N samples)."""
-    import time
-
     t0 = time.time()
     while query.isActive:
-        done = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
-        if done >= n_batches or (timeout_s is not None and time.time() - t0 > timeout_s):
+        if meter(query).with_data >= n_batches or (timeout_s is not None and time.time() - t0 > timeout_s):
             break
         time.sleep(poll_s)
     query.stop()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return query
+    meter(query)
+    return _raise_failure(query)
 
 
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Block until any active query stops; a failure in any is raised."""
-    spark.streams.awaitAnyTermination(timeout_s)
+    """Block until any active query stops; a failure in any is raised.  Ended
+    queries are forgotten, so that the next call waits for the others."""
+    try:
+        spark.streams.awaitAnyTermination(timeout_s)
+    finally:
+        spark.streams.resetTerminated()
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows dropped as late by stateful operators, over the query's progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            d = op if isinstance(op, dict) else op.__dict__
-            total += int(d.get("numRowsDroppedByWatermark", 0) or 0)
-    return total
+    """Rows that stateful operators dropped as late, over all batches of the run."""
+    return meter(query).dropped

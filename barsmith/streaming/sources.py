@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from barsmith.functions.parse import parse_bars
 from barsmith.functions.timefns import to_ntz
+from barsmith.schema import BAR_SCHEMA
 
 
 def event_time(df: DataFrame, col: str = "datetime") -> DataFrame:
@@ -44,3 +45,12 @@ def wire_file_stream(spark: SparkSession, path: str, price_type: str = "double",
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bars = parse_bars(r.json(path), "value", price_type)
     return event_time(bars.where(F.col("datetime").isNotNull()))
+
+
+def heartbeat(spark: SparkSession, path: str, bars: DataFrame, delay: str) -> None:
+    """Write a row without a symbol whose time lies so far after ``bars`` that,
+    with the watermark's delay, all of them are behind the watermark."""
+    at = F.max("datetime") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 second")
+    bars.agg(at.alias("datetime")).where("datetime is not null").select(
+        *[F.col("datetime") if f.name == "datetime" else F.lit(None).cast(f.dataType).alias(f.name) for f in bars.select(*BAR_SCHEMA.names).schema]
+    ).write.parquet(path)

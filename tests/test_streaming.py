@@ -13,7 +13,7 @@ from barsmith.schema import BAR_SCHEMA
 from barsmith.sources.kafka import encode_for_kafka, kafka_reader_options
 from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
 from barsmith.streaming.sinks import dropped_by_watermark, fan_out, parquet_batch_sink, run, start
-from barsmith.streaming.sources import bar_file_stream, wall_time
+from barsmith.streaming.sources import bar_file_stream, heartbeat, wall_time
 from conftest import minute_bars
 
 T0 = dt.datetime(2024, 1, 2, 9, 30)
@@ -30,7 +30,7 @@ def rand_bars(spark, symbol, n, seed, start=T0):
 def write_parts(df, path, n_parts):
     """Write bars in time order as separate sub-folders (one trigger each)."""
     pdf = df.toPandas().sort_values("datetime")
-    for i, chunk in enumerate(np.array_split(pdf, n_parts)):
+    for i, chunk in enumerate((pdf.iloc[ix] for ix in np.array_split(np.arange(len(pdf)), n_parts))):
         df.sparkSession.createDataFrame(chunk, BAR_SCHEMA).coalesce(1).write.parquet(f"{path}/p{i:03d}")
 
 
@@ -79,18 +79,100 @@ def _compare(live: pd.DataFrame, batch: pd.DataFrame):
         np.testing.assert_allclose(m[f"{c}_l"], m[f"{c}_b"], rtol=1e-9, atol=1e-9)
 
 
-def test_live_indicators_do_not_depend_on_micro_batch_split(spark, tmp_path):
+def go_live(spark, tmp_path, src, bars, init=None, delay="2 hours"):
+    """Live indicators over the files below ``src``, one a micro-batch, then a heartbeat."""
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def query():
+        s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1).withWatermark("datetime", delay)
+        return start(live_indicators(s, init), ck, out, state_partitions=4)
+
+    first = run(query())
+    heartbeat(spark, f"{src}/zz", bars, delay)
+    second = run(query())
+    return wall_time(spark.read.parquet(out)).toPandas(), dropped_by_watermark(first) + dropped_by_watermark(second)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_live_indicators_do_not_depend_on_files_order_or_copies(spark, tmp_path, seed):
     bars = rand_bars(spark, "A", 90, 4).unionByName(rand_bars(spark, "B", 50, 5))
+    rng = np.random.default_rng(seed)
+    pdf = bars.toPandas()
+    stale = pdf.sample(20, random_state=seed)
+    stale = stale.assign(volume=1, close=1.0)                    # a fetch of an unfinished bar: the full one wins
+    pdf = pd.concat([pdf, stale, pdf.sample(15, random_state=seed)]).sample(frac=1, random_state=seed)
     src = str(tmp_path / "src")
-    write_parts(bars, src, 4)
-    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1)
-    run(start(live_indicators(s), str(tmp_path / "ck"), str(tmp_path / "out"), state_partitions=4))
-    live = wall_time(spark.read.parquet(str(tmp_path / "out"))).toPandas()
-    assert len(live) == 140
+    for i, chunk in enumerate((pdf.iloc[ix] for ix in np.split(np.arange(len(pdf)), np.sort(rng.choice(len(pdf), 3, replace=False))))):
+        spark.createDataFrame(chunk, BAR_SCHEMA).coalesce(1).write.parquet(f"{src}/p{i:03d}")
+    live, dropped = go_live(spark, tmp_path, src, bars)
+    assert len(live) == 140 and dropped == 0
     _compare(live, _batch_indicators(bars))
+    m = live.merge(bars.toPandas(), on=["symbol", "datetime"], suffixes=("", "_b"))
+    assert all((m[c] == m[f"{c}_b"]).all() for c in ("open", "high", "low", "close", "volume"))
     assert (live.resistance > 0).any() or (live.support > 0).any()
 
 
+def test_live_drops_and_counts_only_bars_behind_the_watermark(spark, tmp_path):
+    bars = rand_bars(spark, "A", 60, 14)
+    cut = T0 + dt.timedelta(minutes=20)
+    src = str(tmp_path / "src")
+    last = T0 + dt.timedelta(minutes=59)
+    bars.where(~F.col("datetime").isin(cut, last)).coalesce(1).write.parquet(f"{src}/p0")
+    bars.where(F.col("datetime") == last).coalesce(1).write.parquet(f"{src}/p1")
+    bars.where(F.col("datetime") == cut).coalesce(1).write.parquet(f"{src}/p2")
+    live, dropped = go_live(spark, tmp_path, src, bars, delay="5 minutes")
+    assert len(live) == 59 and dropped == 1
+
+
+def test_a_missing_high_makes_no_level():
+    from barsmith.streaming.live import IndicatorProcessor
+    p = IndicatorProcessor(min_prior=0)
+    v = np.array([1.0, 2, 3, 4, 9, 3, 2, 1, 1])
+    assert p._pivots(v, [], 0, np.argmax)[0][6] == 2.0
+    v[5] = np.nan
+    assert not p._pivots(v, [], 0, np.argmax)[0].any()
+
+
+def test_the_meter_counts_more_batches_than_progress_keeps():
+    from barsmith.streaming.sinks import Meter
+
+    class Query:
+        recentProgress: list = []
+
+    m = Meter(Query)
+    for end in range(0, 390, 60):
+        Query.recentProgress = [{"batchId": i, "numInputRows": i % 2, "stateOperators": [{"numRowsDroppedByWatermark": 1}]}
+                                for i in range(max(0, end - 100), end)]
+        m.read()
+    assert (len(m.batches), m.with_data, m.dropped) == (360, 180, 360)
+
+
+def test_await_any_raises_and_forgets_ended_queries(spark, tmp_path):
+    from barsmith.streaming.sinks import await_any
+    bars = rand_bars(spark, "A", 5, 15)
+    bars.coalesce(1).write.parquet(str(tmp_path / "src"))
+    s = bar_file_stream(spark, str(tmp_path / "src"), BAR_SCHEMA)
+    spark.streams.resetTerminated()
+    start(s.withColumn("close", F.raise_error(F.lit("broken")).cast("double")), str(tmp_path / "ck"), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="broken"):
+        await_any(spark, 60)
+    start(s, str(tmp_path / "ck2"), str(tmp_path / "out2"))
+    await_any(spark, 60)
+    assert spark.read.parquet(str(tmp_path / "out2")).count() == 5
+
+
+def test_sinks_take_options_and_need_checkpoints(spark, tmp_path):
+    bars = rand_bars(spark, "A", 6, 16)
+    bars.coalesce(1).write.parquet(str(tmp_path / "src"))
+    s = bar_file_stream(spark, str(tmp_path / "src"), BAR_SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run(start(s, str(tmp_path / "ck"), str(tmp_path / "out"), fmt="csv", options={"sep": ";"}, state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.read.csv(str(tmp_path / "out"), sep=";").count() == 6
+    with pytest.raises(ValueError, match="checkpoint"):
+        start(s, "", str(tmp_path / "out3"))
+
+
 def test_warm_state_then_live_equals_one_batch(spark, tmp_path):
     bars = rand_bars(spark, "A", 120, 6).unionByName(rand_bars(spark, "B", 70, 7))
     cut = T0 + dt.timedelta(minutes=40)
@@ -98,10 +180,7 @@ def test_warm_state_then_live_equals_one_batch(spark, tmp_path):
     state = save_warm_state(warm_state(warm), str(tmp_path / "state"))
     src = str(tmp_path / "src")
     write_parts(bars.where(F.col("datetime") >= cut), src, 2)
-    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1)
-    run(start(live_indicators(s, state), str(tmp_path / "ck"), str(tmp_path / "out"),
-              state_partitions=4))
-    live = wall_time(spark.read.parquet(str(tmp_path / "out"))).toPandas()
+    live, _ = go_live(spark, tmp_path, src, bars, state)
     assert len(live) == 80 + 30
     _compare(live, _batch_indicators(bars))
 
@@ -182,9 +261,6 @@ def test_live_drops_bars_already_in_the_warm_state(spark, tmp_path):
     live_in = bars.where(F.col("datetime") >= cut - dt.timedelta(minutes=3))
     src = str(tmp_path / "src")
     write_parts(live_in, src, 2)
-    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, max_files_per_trigger=1)
-    run(start(live_indicators(s, state), str(tmp_path / "ck"), str(tmp_path / "out"),
-              state_partitions=4))
-    live = wall_time(spark.read.parquet(str(tmp_path / "out"))).toPandas()
+    live, _ = go_live(spark, tmp_path, src, bars, state)
     assert len(live) == 20 and live.datetime.min() == cut
     _compare(live, _batch_indicators(bars))
