@@ -69,13 +69,28 @@ def latest_n_per_symbol(bars: DataFrame, n: int, symbols: list[str] | None = Non
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def dedup_bars(bars: DataFrame, key: str = "symbol", time_col: str = "datetime") -> DataFrame:
-    """One bar per (symbol, datetime); repeated fetches collapse to one row.
+def dedup_bars(bars: DataFrame, key: str = "symbol", time_col: str = "datetime",
+               prefer: tuple[str, ...] = ("volume", "close", "high", "low", "open")) -> DataFrame:
+    """One bar per (symbol, datetime).
 
-    ``dropDuplicates`` on the key plans as a hash aggregate with partial
-    aggregation, so repeated copies of a hot key are removed map-side.
+    Where fetches differ, the bar with the largest ``prefer`` columns, in their
+    order, stays: a bar fetched again after its interval has the larger volume.
+    An aggregate with partial aggregation, so copies are removed map-side.
     """
-    return bars.dropDuplicates([key, time_col])
+    first = [c for c in prefer if c in bars.columns and c not in (key, time_col)]
+    rest = [c for c in bars.columns if c not in (key, time_col, *first)]
+    best = F.max(F.struct(*first, *rest)).alias("_b")
+    return bars.groupBy(key, time_col).agg(best).select(
+        *[F.col(c) if c in (key, time_col) else F.col(f"_b.{c}").alias(c) for c in bars.columns])
+
+
+def dedup_stream(bars: DataFrame, key: str = "symbol", time_col: str = "datetime") -> DataFrame:
+    """The first arrival of each (symbol, datetime) of a watermarked stream.
+
+    An append stream cannot take a bar back, so a later copy never replaces it;
+    copies that come after the watermark has passed the bar are late rows.
+    """
+    return bars.dropDuplicatesWithinWatermark([key, time_col])
 
 
 def indicator_state(enriched: DataFrame, cols: list[str], key: str = "symbol",

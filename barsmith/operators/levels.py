@@ -70,8 +70,10 @@ def levels(bars: DataFrame, left: int = 4, right: int = 2, min_prior: int = 8,
 def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
                       time_col: str = "datetime", tie: str | None = None) -> DataFrame:
     """Max high and min low over the trailing ``width`` bars (fewer at the start),
-    plus the row index; exact across block borders via the carried halo."""
-    base = bars.withColumn("high", F.col("high").cast("double")).withColumn(
+    plus the row index; exact across block borders via the carried halo.  Rows
+    without a symbol or a time are left out."""
+    base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
+    base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
     b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
     s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))
@@ -84,8 +86,10 @@ def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
 def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
                    time_col: str = "datetime", tie: str | None = None) -> DataFrame:
     """0-based slice index of the first max high / first min low over the
-    trailing ``width`` bars, for bars that have a full slice."""
-    base = bars.withColumn("high", F.col("high").cast("double")).withColumn(
+    trailing ``width`` bars, for bars that have a full slice.  Rows without a
+    symbol or a time are left out."""
+    base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
+    base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
     b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
     s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))

@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HELPER_COLS = ["_mid", "_blk", "_k"]
-MAX_LAYOUT_PARTITIONS = 500_000
 MAX_BLOCK_LOG2 = 12          # at most 4096 rows per block
 SEG_LOG2 = 9                 # 512 blocks per segment
 _EXP_BUDGET = 500.0          # keep b^-i below e^500 (double max ~ e^709)
@@ -91,26 +90,14 @@ class ScanSpec:
 
 
 def layout_partitions(df: DataFrame) -> int:
-    """Partitions for the sort and the block layout.
+    """Partitions for the sort and the block layout: the session's
+    ``spark.barsmith.layoutPartitions``, else its shuffle partitions.
 
-    That job runs without adaptive coalescing (see ``order_blocks``), so the
-    count must follow the data: the optimizer's size estimate of the input
-    (no job is run) over the advisory partition size, and at least the
-    cluster's default parallelism.  Without an estimate (rows from Python,
-    RDDs) it is ``spark.sql.shuffle.partitions``.
+    That job runs without adaptive coalescing (see ``order_blocks``), so a
+    cluster sets the count for its data, as for any shuffle.
     """
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    try:
-        target_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- no estimate: use the setting
-        return max(configured, 1)
-    if est <= 0 or est >= 2**62:       # size unknown (RDD or Python rows): Long.MaxValue
-        return max(configured, 1)
-    by_size = -(-est // max(target_bytes, 1))
-    return int(max(spark.sparkContext.defaultParallelism, min(by_size, MAX_LAYOUT_PARTITIONS), 1))
+    conf = df.sparkSession.conf
+    return max(1, int(conf.get("spark.barsmith.layoutPartitions", None) or conf.get("spark.sql.shuffle.partitions")))
 
 
 def order_blocks(df: DataFrame, key: str, order: list[str], block_log2: int,
@@ -188,7 +175,8 @@ def _make_fold(spec: ScanSpec, seeded: bool, by_segment: bool):
              + [f"_halo{i}" for i in range(n_lag)])
 
     def run(batches):
-        cur = None
+        cur = start = object()              # no group yet (a key may be null)
+        cur_key = None
         cnt, acc, halo, first_x0, cur_seg = 0, [], [], [], 0
         for pdf in batches:
             rows = []
@@ -202,7 +190,7 @@ def _make_fold(spec: ScanSpec, seeded: bool, by_segment: bool):
             for j in range(len(key)):
                 g = (key[j], seg[j]) if by_segment else key[j]
                 if g != cur:
-                    if cur is not None:
+                    if cur is not start:
                         rows.append(_row(cur_key, -1, cur_seg, 1, cnt, acc, first_x0, halo))
                     cur, cur_key, cur_seg = g, key[j], seg[j]
                     first_x0 = [x0[i][j] for i in range(n_rec)]
@@ -220,7 +208,7 @@ def _make_fold(spec: ScanSpec, seeded: bool, by_segment: bool):
                 cnt += nj
             if rows:
                 yield pd.DataFrame(rows, columns=names)
-        if cur is not None:
+        if cur is not start:
             yield pd.DataFrame([_row(cur_key, -1, cur_seg, 1, cnt, acc, first_x0, halo)],
                                columns=names)
 

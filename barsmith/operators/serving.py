@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.timefns import open_interval
@@ -27,7 +27,7 @@ def candles(df: DataFrame) -> DataFrame:
 def trend_line(df: DataFrame, name: str | None) -> DataFrame:
     """The chosen trend column rounded to 2 places; nothing for 'none'/None."""
     if name is None or name == NONE_OPTION:
-        return df.select("symbol", "datetime").limit(0)
+        return df.select("symbol", "datetime", F.lit(None).cast("double").alias("value")).limit(0)
     return df.select("symbol", "datetime",
                      F.round(F.col(name).cast("double"), 2).alias("value"))
 
@@ -40,17 +40,16 @@ def macd_histogram(df: DataFrame) -> DataFrame:
 
 
 def level_options(df: DataFrame, level: str = "support", distinct: bool = False) -> DataFrame:
-    """'none' first, then the non-zero levels ascending (repeats kept unless
-    ``distinct``); ``rank`` gives the list order within a symbol."""
-    v = df.select("symbol", F.col(level).cast("double").alias("level")).where(F.col("level") != 0)
+    """(symbol, option, rank): 'none' first, then the non-zero levels ascending
+    (repeats kept unless ``distinct``); ``rank`` is the place in a symbol's list,
+    from 0.  Meant for a scan of a few days, as the lists of a chart are."""
+    v = df.select("symbol", F.col(level).cast("double").alias("_v")).where(F.col("_v") != 0)
     if distinct:
         v = v.distinct()
-    v = v.select("symbol", F.col("level").cast("string").alias("option"),
-                 F.col("level").alias("_v"), F.lit(1).alias("_grp"))
-    none = df.select("symbol").distinct().select(
-        "symbol", F.lit(NONE_OPTION).alias("option"), F.lit(None).cast("double").alias("_v"),
-        F.lit(0).alias("_grp"))
-    return none.unionByName(v)
+    none = df.select("symbol").distinct().withColumn("_v", F.lit(None).cast("double"))
+    place = Window.partitionBy("symbol").orderBy(F.col("_v").asc_nulls_first())
+    option = F.coalesce(F.col("_v").cast("string"), F.lit(NONE_OPTION))
+    return none.unionByName(v).select("symbol", option.alias("option"), (F.row_number().over(place) - 1).alias("rank"))
 
 
 def level_feed(df: DataFrame, level: str = "support") -> DataFrame:

@@ -1,6 +1,6 @@
 """Moving means of close over event time.
 
-Three plans with equal results on bars that sit on the slide grid:
+Two forms with equal results on bars that sit on the slide grid:
 
 * ``sma_windows`` (+ ``sma_join``): sliding windows ``[end - window, end)``
   aggregated by (symbol, window) and equi-joined back on ``datetime =
@@ -8,9 +8,12 @@ Three plans with equal results on bars that sit on the slide grid:
   (symbol, window), so a hot symbol spreads over many tasks; each bar feeds
   ``window/slide`` windows, absorbed by partial aggregation.
 * ``sma_range``: a time-range frame ``[t - window, t)`` for bars at any time.
-  Rows are bucketed by ``floor(t / window)`` and every bucket also receives
-  the previous bucket as halo, so each (symbol, bucket) group is exact and
-  bounded by two window lengths of data, not by a symbol's whole history.
+  The window is cut into parts; a bar's mean is made of the sums of the whole
+  parts before its own, its own part up to it, and what the oldest part holds
+  before the frame, taken off.  A group of rows is two parts of one symbol,
+  whatever the symbol's history or the number of symbols.
+
+``sma_range_scan`` gives the same means from prefix sums over whole series.
 """
 
 from __future__ import annotations
@@ -77,72 +80,72 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
     return bars.join(sma, cond, how).drop("_s2", "_wend")
 
 
-MAX_BUCKET_ROWS = 2_000_000     # beyond this a (symbol, bucket) group is split
+def _whole_parts(totals: DataFrame, key: str, parts: int, span: int = 64) -> DataFrame:
+    """(key, _p, _s, _n): sum and count of the ``parts`` parts before each part.
+
+    Parts are looked at in stretches of ``span * parts``, each with the last
+    ``parts`` parts of the stretch before, so no group holds a whole history.
+    """
+    size = span * parts
+    own = totals.withColumn("_g", F.floor(F.col("_p") / size)).withColumn("_own", F.lit(True))
+    halo = own.where(F.pmod("_p", F.lit(size)) >= size - parts).withColumn("_g", F.col("_g") + 1).withColumn("_own", F.lit(False))
+    w = Window.partitionBy(key, "_g").orderBy("_p").rangeBetween(-parts, -1)
+    both = own.unionByName(halo)
+    return both.select(key, "_p", "_own", F.sum("_s").over(w).alias("_s"), F.sum("_n").over(w).alias("_n")).where("_own").drop("_own")
 
 
 def sma_range(bars: DataFrame, window: str = "20 minutes", how: str = "inner",
               key: str = "symbol", time_col: str = "datetime", value: str = "close",
-              out: str = "sma_20", exact_decimals: int | None = None,
-              plan: str = "auto", tie: list[str] | None = None) -> DataFrame:
+              out: str = "sma_20", exact_decimals: int | None = None, parts: int = 16) -> DataFrame:
     """Mean of ``value`` over ``[t - window, t)`` for every bar (time based).
 
     ``how='inner'`` keeps bars whose frame is non-empty; ``'left'`` keeps all.
-    ``plan``: ``'bucket'`` (time buckets with a halo; a group holds two
-    window lengths of one symbol), ``'scan'`` (an as-of prefix scan that
-    splits any group), or ``'auto'``: count rows per (symbol, bucket) with
-    one partial aggregate and use ``'scan'`` only when a bucket exceeds
-    ``MAX_BUCKET_ROWS``.  ``tie`` names columns that, with (key, time), make
-    a row unique (needed by ``'scan'`` to join the means back).
+    Only sums within a window are ever formed: with ``exact_decimals`` they
+    are integers and exact below 2^63.  Denser data asks for more ``parts``
+    (the largest divisor of the window in microseconds up to it is used).
     """
     W = interval_micros(window)
-    if plan == "auto":
-        biggest = (bars.groupBy(key, F.floor(epoch_micros(time_col) / F.lit(W)))
-                       .count().agg(F.max("count")).first()[0]) or 0
-        plan = "scan" if biggest > MAX_BUCKET_ROWS else "bucket"
-    if plan == "scan":
-        return _sma_range_scan(bars, W, how, key, time_col, value, out, exact_decimals, tie or [])
-    cols = bars.columns
-    base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
-        "_bk", F.floor(F.col("_us") / F.lit(W)).cast("bigint")).withColumn(
-        "_v", _fixed(value, exact_decimals))
+    parts = max(d for d in range(1, parts + 1) if W % d == 0)
+    width = W // parts
+    v = _fixed(value, exact_decimals)
+    base = bars.withColumn("_us", epoch_micros(time_col)).withColumns({
+        "_p": F.floor(F.col("_us") / F.lit(width)).cast("bigint"),
+        "_s": F.coalesce(v, F.lit(0).cast("bigint" if exact_decimals is not None else "double")),
+        "_n": v.isNotNull().cast("bigint")})
     own = base.withColumn("_own", F.lit(True))
-    halo = base.select(key, (F.col("_bk") + 1).alias("_bk"), "_us", "_v").withColumn(
-        "_own", F.lit(False))
-    both = own.unionByName(halo, allowMissingColumns=True)
-    # [t - W, t) as the difference of two running prefixes, each an
-    # incremental unbounded-preceding frame (a sliding frame would re-sum its
-    # buffer per row).  A bucket holds at most two windows of rows, so the
-    # prefixes stay small; with exact_decimals they are exact integers.
-    o = Window.partitionBy(key, "_bk").orderBy("_us")
-    hi = o.rangeBetween(Window.unboundedPreceding, -1)
-    lo = o.rangeBetween(Window.unboundedPreceding, -W - 1)
-    zero = F.lit(0).cast(both.schema["_v"].dataType)
-    s_hi, s_lo = F.sum("_v").over(hi), F.coalesce(F.sum("_v").over(lo), zero)
-    cnt = F.count("_v").over(hi) - F.count("_v").over(lo)
-    res = both.withColumns({"_cnt": cnt, "_sum": s_hi - s_lo})
-    res = res.withColumn(out, F.when(F.col("_cnt") > 0,
-                                     _mean(F.col("_sum"), F.col("_cnt"), exact_decimals)))
-    res = res.where(F.col("_own"))
+    gone = base.select(key, (F.col("_p") + parts).alias("_p"), (F.col("_us") + W).alias("_us"),
+                       (-F.col("_s")).alias("_s"), (-F.col("_n")).alias("_n"), F.lit(False).alias("_own"))
+    totals = base.groupBy(key, "_p").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    before = _whole_parts(totals, key, parts).where(F.col("_n").isNotNull()).select(
+        key, "_p", (F.col("_p") * width - 1).alias("_us"), "_s", "_n", F.lit(False).alias("_own"))
+    rows = own.unionByName(gone, allowMissingColumns=True).unionByName(before, allowMissingColumns=True)
+    w = Window.partitionBy(key, "_p").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    res = rows.withColumns({"_sum": F.sum("_s").over(w), "_cnt": F.sum("_n").over(w)}).where("_own")
+    res = res.withColumn(out, F.when(F.col("_cnt") > 0, _mean(F.col("_sum"), F.col("_cnt"), exact_decimals)))
     if how == "inner":
         res = res.where(F.col("_cnt") > 0)
-    return res.select(*cols, out)
+    return res.select(*bars.columns, out)
 
 
-def _sma_range_scan(bars: DataFrame, W: int, how: str, key: str, time_col: str, value: str,
-                    out: str, exact_decimals: int | None, tie: list[str]) -> DataFrame:
+def sma_range_scan(bars: DataFrame, window: str = "20 minutes", tie: tuple[str, ...] = (), how: str = "inner",
+                   key: str = "symbol", time_col: str = "datetime", value: str = "close",
+                   out: str = "sma_20", exact_decimals: int | None = None) -> DataFrame:
     """Window sums as differences of exclusive prefix sums read at markers.
 
+    ``tie`` names columns that, with (key, time), make a row unique.
+
     Every bar adds two zero-valued markers, at ``t`` and at ``t - W``; a
     marker sorts before real rows of equal time, so the running sum of the
     real rows seen at a marker is the sum over times strictly before it.
-    The running sums come from the block scan (``sequence``), so a hot
-    symbol or a dense time range is split like any other series.  Sums of
-    ``exact_decimals`` integers are exact below 2^53; plain doubles lose
-    about ``eps * prefix`` to cancellation.
+    The running sums come from the block scan (``sequence``) and reach over
+    the whole series: ``exact_decimals`` integers are exact while the series
+    sums to less than 2^53, plain doubles lose about ``eps * prefix`` to
+    cancellation.  ``sma_range`` has neither limit.
     """
     from barsmith.operators.sequence import (MAX_BLOCK_LOG2, ScanSpec, order_blocks, running_sum,
                                              scan_pass)
 
+    W = interval_micros(window)
     ids = [key, time_col, *tie]
     base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
         "_v", _fixed(value, exact_decimals).cast("double"))

@@ -20,8 +20,8 @@ from barsmith.operators.ema import ema, indicators, macd
 from barsmith.operators.levels import levels, pivot_position, trailing_extremes
 from barsmith.operators.serving import (candles, default_symbol, level_feed, level_options,
                                         macd_histogram, range_scan, trend_line)
-from barsmith.operators.sma import sma_join, sma_range, sma_windows
-from barsmith.plans.enriched import enriched_bars
+from barsmith.operators.sma import sma_join, sma_range, sma_range_scan, sma_windows
+from barsmith.plans.enriched import enriched_bars, served_columns
 from barsmith.session import scratch_path
 from barsmith.sources import tables
 from barsmith.sources.files import explode_payload, list_symbols, trend_columns
@@ -30,11 +30,11 @@ from barsmith.sources.kafka import encode_for_kafka
 # --- fixed query parameters (scaled: 1 minute -> 1 hour) --------------------
 WINDOW = "20 hours"
 SLIDE = "1 hour"
-WATERMARK = "2 seconds"
 AS_OF = "2024-01-20 00:00:00"
 LATEST_N = 100
+ALLOWED = ["click", "view", "no such symbol"]
+SYMBOL = "purchase"
 PRICE_DECIMALS = 2          # input prices are cents: means are exact
-WARM_CUTOFF = "2024-01-20 00:00:00"
 # ----------------------------------------------------------------------------
 
 BAR_COLS = ["symbol", "datetime", "open", "high", "low", "close", "volume"]
@@ -53,6 +53,26 @@ def _enriched(spark, sf):
     return enriched_bars(_bars(spark, sf), WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS)
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _store(spark, sf) -> str:
+    """Path of the serving store of the enriched bars, written once in a session."""
+    from barsmith.sources.files import write_serving
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _STORES:
+        path = scratch_path(spark, "store")
+        write_serving(_enriched(spark, sf), path, mode="overwrite")
+        _STORES[at] = path
+    return _STORES[at]
+
+
+def _stored(spark, sf, days: float | None = None, symbol: str | None = None):
+    """The served bars as the read side gets them: from the store."""
+    from barsmith.sources.files import scan
+    return served_columns(scan(spark, _store(spark, sf), symbol, AS_OF if days else None, days))
+
+
 # --- bars and sources --------------------------------------------------------
 
 def q_resample_ohlcv(spark, sf):
@@ -67,6 +87,11 @@ def q_latest_n_per_symbol(spark, sf):
     return B.latest_n_per_symbol(_bars(spark, sf), LATEST_N)
 
 
+def q_allowed_latest(spark, sf):
+    """Newest bars of the allowed symbols only."""
+    return B.latest_n_per_symbol(_bars(spark, sf), LATEST_N, symbols=ALLOWED)
+
+
 def q_payload_explode(spark, sf):
     """Supplier payloads (one JSON document per symbol and day, newest bar
     first) built from the bars, then normalised back to bar rows."""
@@ -107,15 +132,15 @@ def q_topic_names(spark, sf):
 
 
 def q_list_symbols(spark, sf):
-    return list_symbols(_bars(spark, sf))
+    return list_symbols(_stored(spark, sf))
 
 
 def q_default_symbol(spark, sf):
-    return default_symbol(list_symbols(_bars(spark, sf)))
+    return default_symbol(list_symbols(_stored(spark, sf)))
 
 
 def q_trend_columns(spark, sf):
-    return trend_columns(_enriched(spark, sf))
+    return trend_columns(_stored(spark, sf))
 
 
 # --- sequence operators ------------------------------------------------------
@@ -161,9 +186,9 @@ def q_sma_range(spark, sf):
 
 
 def q_sma_range_scan(spark, sf):
-    """Same means by the as-of prefix scan (the plan for hot, dense keys)."""
+    """Same means by the as-of prefix scan over whole series."""
     s = tables.seq(spark, sf)
-    out = sma_range(s, WINDOW, exact_decimals=PRICE_DECIMALS, plan="scan", tie=["tick_id"])
+    out = sma_range_scan(s, WINDOW, tie=("tick_id",), exact_decimals=PRICE_DECIMALS)
     return out.select("symbol", "tick_id", "datetime", "sma_20")
 
 
@@ -205,44 +230,44 @@ def q_indicator_state(spark, sf):
 
 def q_range_scan(spark, sf):
     """The read path: enriched bars appended to the serving store (one folder
-    per symbol), then scanned with the time bound pushed into parquet."""
-    from barsmith.plans.enriched import served_columns
-    from barsmith.sources.files import scan, write_serving
-    path = scratch_path(spark, "store")
-    write_serving(_enriched(spark, sf), path, mode="overwrite")
-    stored = served_columns(scan(spark, path, as_of=AS_OF, days=5))
-    return r6(range_scan(stored, AS_OF, 5), IND_COLS)
+    per symbol and day), then scanned with the bound on both."""
+    return r6(range_scan(_stored(spark, sf, 5), AS_OF, 5), IND_COLS)
+
+
+def q_symbol_scan(spark, sf):
+    """The same for one symbol: one folder of symbols is read."""
+    return r6(range_scan(_stored(spark, sf, 5, SYMBOL), AS_OF, 5, SYMBOL, descending=True), IND_COLS)
 
 
 def q_candles(spark, sf):
-    return candles(range_scan(_enriched(spark, sf), AS_OF, 5))
+    return candles(range_scan(_stored(spark, sf, 5), AS_OF, 5))
 
 
 def q_trend_line(spark, sf):
-    return trend_line(range_scan(_enriched(spark, sf), AS_OF, 5), "ema_12")
+    return trend_line(range_scan(_stored(spark, sf, 5), AS_OF, 5), "ema_12")
 
 
 def q_macd_hist(spark, sf):
-    h = macd_histogram(range_scan(_enriched(spark, sf), AS_OF, 3, descending=True))
+    h = macd_histogram(range_scan(_stored(spark, sf, 3), AS_OF, 3, descending=True))
     return r6(h, ["macd", "signal", "hist"])
 
 
 def q_level_options(spark, sf):
-    o = level_options(range_scan(_enriched(spark, sf), AS_OF, 5), "support")
-    return o.select("symbol", "option")
+    o = level_options(range_scan(_stored(spark, sf, 5), AS_OF, 5), "support")
+    return o
 
 
 def q_resistance_options(spark, sf):
-    o = level_options(range_scan(_enriched(spark, sf), AS_OF, 5), "resistance", distinct=True)
-    return o.select("symbol", "option")
+    o = level_options(range_scan(_stored(spark, sf, 5), AS_OF, 5), "resistance", distinct=True)
+    return o
 
 
 def q_level_feed(spark, sf):
-    return level_feed(range_scan(_enriched(spark, sf), AS_OF, 5), "support")
+    return level_feed(range_scan(_stored(spark, sf, 5), AS_OF, 5), "support")
 
 
 def q_resistance_feed(spark, sf):
-    return level_feed(range_scan(_enriched(spark, sf), AS_OF, 5), "resistance")
+    return level_feed(range_scan(_stored(spark, sf, 5), AS_OF, 5), "resistance")
 
 
 def q_session_filter(spark, sf):
@@ -250,9 +275,10 @@ def q_session_filter(spark, sf):
 
 
 def q_dedup_bars(spark, sf):
-    """Warm history plus a live fetch that repeats its newest bars."""
+    """Warm history plus an earlier fetch of its newest bars, then unfinished."""
     b = _bars(spark, sf)
-    overlap = B.latest_n_per_symbol(b, 5)
+    # the first fetch saw the newest bars unfinished: less volume, another close
+    overlap = B.latest_n_per_symbol(b, 5).withColumns({"volume": F.col("volume") - 1, "close": F.col("close") + 1})
     return B.dedup_bars(b.unionByName(overlap)).select(*BAR_COLS)
 
 

@@ -127,6 +127,8 @@ def oracle_sql() -> dict[str, str]:
     q["coverage"] = bars_only + """SELECT symbol, min(datetime) AS first_datetime,
   max(datetime) AS last_datetime, count(*)::BIGINT AS n_bars FROM bars GROUP BY symbol"""
     q["latest_n_per_symbol"] = bars_only + """SELECT * FROM bars
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 100"""
+    q["allowed_latest"] = bars_only + """SELECT * FROM bars WHERE symbol IN ('click', 'view')
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 100"""
     q["payload_explode"] = bars_only + "SELECT * FROM bars"
     q["wire_encode"] = bars_only + """SELECT replace(lower(symbol), '/', '-') AS topic, symbol,
@@ -139,9 +141,10 @@ def oracle_sql() -> dict[str, str]:
   WHERE NOT ends_with(symbol, 'supports') AND NOT ends_with(symbol, 'resistances')"""
     q["default_symbol"] = bars_only + """SELECT min(symbol) AS symbol FROM bars
   WHERE NOT ends_with(symbol, 'supports') AND NOT ends_with(symbol, 'resistances')"""
-    q["trend_columns"] = _with(ENRICHED) + """SELECT trend, pos FROM (VALUES
-  ('ema_12', 0), ('ema_16', 1), ('ema_30', 2), ('ema_200', 3), ('sma_20', 4), ('none', 5)) t(trend, pos)
-  WHERE (SELECT count(*) FROM enriched) > 0"""
+    trends = ["ema_12", "ema_16", "ema_30", "ema_200", "sma_20"]
+    q["trend_columns"] = _with(ENRICHED) + " UNION ALL ".join(
+        f"SELECT '{c}' AS trend, {i} AS pos FROM enriched HAVING count({c}) > 0" for i, c in enumerate(trends)) + \
+        f" UNION ALL SELECT 'none' AS trend, {len(trends)} AS pos"
 
     q["ema_multi"] = _with(SEQ, ema_ctes("seqsrc", [12, 16, 30, 200], "datetime, tick_id")) + """
 SELECT symbol, tick_id, datetime, close, round(ema_12, 6) AS ema_12, round(ema_16, 6) AS ema_16,
@@ -183,6 +186,7 @@ SELECT symbol, round(arg_max(ema_12, datetime), 6) AS ema_12, round(arg_max(ema_
 FROM ind GROUP BY symbol"""
 
     q["range_scan"] = _with(ENRICHED, _scan(5)) + f"SELECT {_ROUNDED} FROM scanned"
+    q["symbol_scan"] = q["range_scan"] + " WHERE symbol = 'purchase'"
     q["candles"] = _with(ENRICHED, _scan(5)) + \
         "SELECT symbol, datetime, open, high, low, close FROM scanned"
     q["trend_line"] = _with(ENRICHED, _scan(5)) + \
@@ -191,11 +195,13 @@ FROM ind GROUP BY symbol"""
   round(signal, 6) AS signal, round(macd - signal, 6) AS hist,
   CASE WHEN macd - signal >= 0 THEN 'up' ELSE 'down' END AS side FROM scanned"""
     q["level_options"] = _with(ENRICHED, _scan(5)) + """
-SELECT symbol, 'none' AS option FROM (SELECT DISTINCT symbol FROM scanned)
-UNION ALL SELECT symbol, CAST(support AS VARCHAR) AS option FROM scanned WHERE support <> 0"""
+SELECT symbol, 'none' AS option, 0::INTEGER AS rank FROM (SELECT DISTINCT symbol FROM scanned)
+UNION ALL SELECT symbol, CAST(support AS VARCHAR) AS option, row_number() OVER (PARTITION BY symbol ORDER BY support)::INTEGER AS rank
+FROM scanned WHERE support <> 0"""
     q["resistance_options"] = _with(ENRICHED, _scan(5)) + """
-SELECT symbol, 'none' AS option FROM (SELECT DISTINCT symbol FROM scanned)
-UNION ALL SELECT DISTINCT symbol, CAST(resistance AS VARCHAR) AS option FROM scanned WHERE resistance <> 0"""
+SELECT symbol, 'none' AS option, 0::INTEGER AS rank FROM (SELECT DISTINCT symbol FROM scanned)
+UNION ALL SELECT symbol, CAST(v AS VARCHAR) AS option, row_number() OVER (PARTITION BY symbol ORDER BY v)::INTEGER AS rank
+FROM (SELECT DISTINCT symbol, resistance AS v FROM scanned WHERE resistance <> 0)"""
     q["level_feed"] = _with(ENRICHED, _scan(5)) + \
         "SELECT DISTINCT symbol, datetime, support FROM scanned WHERE support <> 0"
     q["resistance_feed"] = _with(ENRICHED, _scan(5)) + \

@@ -47,19 +47,28 @@ def explode_payload(df: DataFrame, col: str = "payload", symbol: str | None = No
 
 
 def write_serving(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Batch write of served bars, one directory per symbol (partition pruning)."""
-    df.write.mode(mode).partitionBy("symbol").parquet(path)
+    """Batch write of served bars, one directory per symbol and day, each written
+    by one task in time order."""
+    dated = df.withColumn("date", F.to_date("datetime")).repartition("symbol", "date")
+    dated.sortWithinPartitions("symbol", "date", "datetime").write.mode(mode).partitionBy("symbol", "date").parquet(path)
 
 
 def scan(spark: SparkSession, path: str, symbol: str | None = None, as_of=None,
          days: float | None = None) -> DataFrame:
-    """Serving-store scan: prunes to the symbol directory, pushes the time bound."""
+    """Serving-store scan: prunes to the directories of the symbol and the days,
+    pushes the time bound.  ``as_of`` and ``days`` go together."""
+    if (as_of is None) != (days is None):
+        raise ValueError("as_of and days go together")
     df = spark.read.parquet(path)
     if symbol is not None:
         df = df.where(F.col("symbol") == symbol)
-    if as_of is not None and days is not None:
+    if as_of is not None:
         df = df.where(open_interval("datetime", as_of, days))
-    return df
+        if "date" in df.columns:
+            last = F.lit(as_of).cast("timestamp_ntz")
+            first = last - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(days * 86400.0))
+            df = df.where((F.col("date") >= F.to_date(first)) & (F.col("date") <= F.to_date(last)))
+    return df.drop("date")
 
 
 def list_symbols(df: DataFrame) -> DataFrame:

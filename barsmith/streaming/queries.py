@@ -212,7 +212,7 @@ def q_stream_dedup(spark, sf):
 
     def query():
         s = bar_file_stream(spark, f"{base}/*", BAR_SCHEMA).withWatermark("datetime", WATERMARK)
-        d = s.dropDuplicatesWithinWatermark(["symbol", "datetime"])
+        d = B.dedup_stream(s)
         return start(d, ckpt, out)
 
     run(query())

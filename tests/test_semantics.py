@@ -139,7 +139,8 @@ def test_level_lists_and_feeds(spark):
     df = spark.createDataFrame([("A", T0, 0.0), ("A", T0, 0.0), ("A", T0 + dt.timedelta(minutes=1), 5.0),
                                 ("A", T0 + dt.timedelta(minutes=2), 5.0), ("A", T0 + dt.timedelta(minutes=2), 5.0)],
                                "symbol string, datetime timestamp_ntz, support double")
-    opts = [r.option for r in level_options(df).orderBy("_grp", "_v").collect()]
+    opts = [r.option for r in level_options(df).orderBy("rank").collect()]
+    assert trend_line(df, "none").columns == ["symbol", "datetime", "value"]
     assert opts == ["none", "5.0", "5.0", "5.0"]                 # not deduplicated
     assert level_options(df, distinct=True).count() == 2
     assert level_feed(df).count() == 2                           # (datetime, level) dedup
@@ -167,16 +168,57 @@ def test_sma_windows_cover_exclusive_end(spark):
     assert end.sma_20 == pytest.approx(9.5)
 
 
-def test_sma_range_scan_plan_equals_bucket_plan(spark):
+def test_sma_range_equals_the_prefix_scan_and_any_number_of_parts(spark):
+    from barsmith.operators.sma import sma_range_scan
     from barsmith.sources import tables
     s = tables.seq(spark, "/root/testdata/sf0.001")
-    a = sma_range(s, "20 hours", plan="bucket", exact_decimals=2).toPandas()
-    b = sma_range(s, "20 hours", plan="scan", exact_decimals=2, tie=["tick_id"]).toPandas()
-    m = a.merge(b, on=["symbol", "tick_id"])
-    assert len(a) == len(b) == len(m) > 0
-    assert (m.sma_20_x == m.sma_20_y).all()                    # exact integer sums: equal bits
-    left = sma_range(s, "20 hours", how="left", plan="scan", tie=["tick_id"])
-    assert left.count() == s.count()
+    a = sma_range(s, "20 hours", exact_decimals=2).toPandas()
+    for other in (sma_range_scan(s, "20 hours", ("tick_id",), exact_decimals=2), sma_range(s, "20 hours", exact_decimals=2, parts=1),
+                  sma_range(s, "20 hours", exact_decimals=2, parts=7)):
+        m = a.merge(other.toPandas(), on=["symbol", "tick_id"])
+        assert len(a) == len(m) > 0 and (m.sma_20_x == m.sma_20_y).all()        # exact integer sums: equal bits
+    assert sma_range(s, "20 hours", how="left").count() == s.count()
+
+
+def test_sma_range_is_exact_for_large_values_and_an_early_outlier(spark):
+    """Only sums within the window count: neither a long series nor an outlier before it shifts a mean."""
+    n = 600
+    rows = [("A", T0 + dt.timedelta(minutes=3 * i), 9.0e11 + 0.01 * i if i else 1.0e13, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, datetime timestamp_ntz, close double, tick_id long")
+    got = {r.tick_id: r.sma_20 for r in sma_range(df, "20 minutes", exact_decimals=2).collect()}
+    cents = [round(r[2] * 100.0) for r in rows]
+    for i in range(8, n):
+        part = cents[max(0, i - 6):i]
+        assert got[i] == sum(part) / len(part) / 100.0
+    assert 0 not in got
+
+
+def test_null_symbols_and_times_are_left_out(spark):
+    from barsmith.operators.levels import pivot_position, trailing_extremes
+    bars = minute_bars(spark, "A", T0, [float(k) for k in range(12)])
+    odd = bars.limit(2).withColumn("symbol", F.lit(None).cast("string")).unionByName(bars.limit(1).withColumn("datetime", F.lit(None).cast("timestamp_ntz")))
+    assert trailing_extremes(bars.unionByName(odd)).count() == 12
+    assert pivot_position(bars.unionByName(odd)).count() == 6
+
+
+def test_the_fuller_bar_stays_and_scan_bounds_go_together(spark, tmp_path):
+    from barsmith.sources.files import scan, write_serving
+    bars = minute_bars(spark, "A", T0, [5.0, 6.0, 7.0])
+    early = bars.withColumn("volume", F.lit(3).cast(bars.schema["volume"].dataType)).withColumn("close", F.lit(99.0))
+    assert sorted(dedup_bars(early.unionByName(bars)).collect()) == sorted(bars.collect())
+    write_serving(bars, str(tmp_path / "store"), mode="overwrite")
+    assert sorted(scan(spark, str(tmp_path / "store")).select(*bars.columns).collect()) == sorted(bars.collect())
+    with pytest.raises(ValueError, match="together"):
+        scan(spark, str(tmp_path / "store"), days=3)
+
+
+def test_scan_orders(spark):
+    from barsmith.operators.serving import range_scan
+    bars = minute_bars(spark, "A", T0, [float(k) for k in range(9)])
+    end = T0 + dt.timedelta(days=1)
+    up = [r.datetime for r in range_scan(bars, end, 5).collect()]
+    down = [r.datetime for r in range_scan(bars, end, 5, descending=True).collect()]
+    assert up == sorted(up) and down == up[::-1] and len(up) == 9
 
 
 def test_load_bars_allow_list_and_newest_n_from_files(spark, tmp_path):
