@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.common import materialise
-from barsmith.llm.repeats import (RANGE_ROWS, Powers, Runs, U, bits_of, by_range, chunks, covered, load, numbers, pack,
+from barsmith.llm.repeats import (RANGE_ROWS, Powers, Runs, U, bits_of, by_range, chunks, covered, load, pack,
                                   recurring, repeated_runs, split_ranges)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,8 +45,10 @@ class Chunk:
     """Words, runs and windows of a chunk."""
 
     def __init__(self, blob: bytes, window: int = WINDOW, phrase: int = PHRASE):
-        self.ids, self.null, texts = load(blob)
-        self.words = [WORD.findall(t) for t in texts.to_pylist()]
+        self.ids, self.null, sizes, data = load(blob)
+        ends = np.cumsum(sizes).tolist()
+        raw = data.tobytes()
+        self.words = [WORD.findall(raw[e - n:e].decode("utf-8", "surrogatepass")) for e, n in zip(ends, sizes.tolist())]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         known: dict[str, int] = {}
         self.codes = np.fromiter((known.setdefault(w, len(known)) for ws in self.words for w in ws), np.int64, int(self.sizes.sum()))
@@ -93,11 +95,11 @@ class Chunk:
         return index, line, np.stack([a[at], b[at]]), least
 
 
-def _decide(blobs: list[dict[str, pa.Array]]) -> list[np.ndarray]:
+def _decide(blobs: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
     """For each window of each chunk whether a smaller id than the chunk's least has it."""
-    a = np.concatenate([numbers(x["one"]) for x in blobs])
-    b = np.concatenate([numbers(x["two"]) for x in blobs])
-    least = np.concatenate([numbers(x["ids"])[numbers(x["owner"])] for x in blobs])
+    a = np.concatenate([x["one"] for x in blobs])
+    b = np.concatenate([x["two"] for x in blobs])
+    least = np.concatenate([x["ids"][x["owner"]] for x in blobs])
     order = np.lexsort((b, a))
     new = np.ones(len(order), bool)
     new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])

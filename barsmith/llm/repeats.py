@@ -40,29 +40,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def pack(**arrays: np.ndarray | pa.Array) -> bytes:
-    """Columns as compressed Arrow data; arrays may differ in length."""
-    sink = pa.BufferOutputStream()
-    lists = {k: pa.array(v) for k, v in arrays.items()}
-    n = max((len(v) for v in lists.values()), default=0)
-    sizes = [len(v) for v in lists.values()]
-    columns = [pa.concat_arrays([v, pa.nulls(n - len(v), v.type)]) for v in lists.values()]
-    batch = pa.RecordBatch.from_arrays([*columns], schema=pa.schema(
-        [pa.field(k, c.type) for k, c in zip(lists, columns)], metadata={"sizes": ",".join(map(str, sizes))}))
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def unpack(data: bytes) -> dict[str, pa.Array]:
-    with pa.ipc.open_stream(data) as source:
-        table = source.read_all()
-    sizes = map(int, table.schema.metadata[b"sizes"].split(b","))
-    return {k: table.column(k).combine_chunks().slice(0, n) for k, n in zip(table.schema.names, sizes)}
-
-
-def numbers(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False)
+def pack(**arrays: np.ndarray) -> bytes:
+    """Arrays as one short binary value: a line that names them, then their bytes, compressed."""
+    import zstandard
+    held = {k: np.ascontiguousarray(v) for k, v in arrays.items()}
+    head = " ".join(f"{k}:{v.dtype.str}:{len(v)}" for k, v in held.items()).encode() + b"\n"
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(v.tobytes() for v in held.values()))
+
+
+def unpack(data: bytes) -> dict[str, np.ndarray]:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    at = raw.index(b"\n") + 1
+    out = {}
+    for part in raw[:at - 1].decode().split():
+        name, kind, n = part.split(":")
+        out[name] = np.frombuffer(raw, kind, int(n), at)
+        at += out[name].nbytes
+    return out
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, limit: int = SLICE_BYTES) -> DataFrame:
@@ -71,8 +66,12 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, limit: int = SLICE_BYTES
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", limit):
-                blob = pack(id=part.column("id"), text=part.column("text").cast(pa.large_string()))
-                size = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                texts = part.column("text").fill_null("")
+                ids = part.column("id")
+                blob = pack(id=ids.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), null=ids.is_null().to_numpy(zero_copy_only=False).astype(bool),
+                            size=pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64),
+                            text=np.frombuffer("".join(texts.to_pylist()).encode("utf-8", "surrogatepass"), np.uint8))
+                size = pc.sum(pc.binary_length(texts)).as_py() or 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([size], pa.int64()), pa.array([blob], pa.binary())],
                     names=["chunk", "n_bytes", "blob"])
@@ -82,11 +81,10 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, limit: int = SLICE_BYTES
     return materialise(rows.mapInArrow(run, "chunk long, n_bytes long, blob binary"), "chunks", "uncompressed")
 
 
-def load(blob: bytes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Ids (null: NO_ID), which are null, and texts of a chunk."""
+def load(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids (null: NO_ID), which are null, bytes of each text, and the bytes of all texts in a row."""
     got = unpack(blob)
-    null = numbers(got["id"].is_null())
-    return numbers(got["id"].fill_null(NO_ID)).astype(np.int64), null.astype(bool), got["text"].fill_null("")
+    return got["id"], got["null"], got["size"], got["text"]
 
 
 class Powers:
@@ -111,14 +109,14 @@ def sliding_argmin(key: np.ndarray, width: int) -> np.ndarray:
     """Place of the least of each ``width`` consecutive hashes, the first of equals."""
     n = len(key)
     if n < width:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     packed = (key >> U(PLACE_BITS) << U(PLACE_BITS)) | np.arange(n, dtype=U)
     pad = -n % width
     blocks = np.concatenate([packed, np.full(pad, U(0xFFFFFFFFFFFFFFFF))]).reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(back[:n - width + 1], ahead[width - 1:n])
-    return (least & U((1 << PLACE_BITS) - 1)).astype(np.int64)
+    return (least & U((1 << PLACE_BITS) - 1)).astype(np.int32)
 
 
 class Runs:
@@ -132,8 +130,8 @@ class Runs:
         self.powers = Powers(units)
         starts = np.cumsum(sizes) - sizes
         windows = np.maximum(sizes - length + 1, 0)
-        self.doc = np.repeat(np.arange(len(sizes)), windows)
-        self.start = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
+        self.start = np.repeat((starts - (np.cumsum(windows) - windows)).astype(np.int32), windows) + np.arange(int(windows.sum()), dtype=np.int32)
         if not len(self.start):
             self.first = self.last = self.anchor = self.run_doc = np.zeros(0, np.int64)
             self.hash = np.zeros(0, U)
@@ -158,7 +156,7 @@ def split_ranges(hashes: np.ndarray, bits: int, ranges: int) -> tuple[np.ndarray
     return cuts, np.flatnonzero(np.diff(cuts))
 
 
-def by_range(sent: DataFrame, decide: Callable[[list[dict[str, pa.Array]]], list[np.ndarray]]) -> DataFrame:
+def by_range(sent: DataFrame, decide: Callable[[list[dict[str, np.ndarray]]], list[np.ndarray]]) -> DataFrame:
     """(chunk, part, bits): for each row (part, chunk, blob) the bits that ``decide`` makes of all blobs of its part."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -183,10 +181,10 @@ def recurring(chunk_table: DataFrame, runs_of: Callable[[bytes], tuple[np.ndarra
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()), pa.array(blobs, pa.binary())],
                                                  names=["part", "chunk", "blob"])
 
-    def decide(blobs: list[dict[str, pa.Array]]) -> list[np.ndarray]:
-        hashes = [numbers(b["hash"]) for b in blobs]
+    def decide(blobs: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
+        hashes = [b["hash"] for b in blobs]
         found, back, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        often = (counts > 1)[back] | np.concatenate([numbers(b["many"]).astype(bool) for b in blobs])
+        often = (counts > 1)[back] | np.concatenate([b["many"] for b in blobs])
         return np.split(often, np.cumsum([len(h) for h in hashes])[:-1])
 
     return materialise(by_range(chunk_table.select("chunk", "blob").mapInArrow(send, "part int, chunk long, blob binary"), decide), "recurring")

@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.common import materialise
-from barsmith.llm.repeats import (RANGE_ROWS, Powers, Runs, U, bits_of, by_range, chunks, covered, load, mix, numbers, pack,
+from barsmith.llm.repeats import (RANGE_ROWS, Powers, Runs, U, bits_of, by_range, chunks, covered, load, mix, pack,
                                   recurring, repeated_runs, split_ranges)
 
 WINDOW, PHRASE = 50, 20
 #: Names up to which the recursion induces by bucket; texts with more are sorted by doubling.
 MAX_BUCKETS = 2_048
+#: Bytes of text in a chunk, of all text for each shard, and of the contexts that one suffix array holds (an anchor's stay together).
+CHUNK_BYTES, SHARD_BYTES, ARRAY_BYTES = 2 << 20, 6 << 20, 1 << 20
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -204,17 +206,14 @@ class Chunk:
     """Bytes, runs and contexts of a chunk."""
 
     def __init__(self, blob: bytes, window: int = WINDOW, phrase: int = PHRASE):
-        self.ids, self.null, texts = load(blob)
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts.to_pylist()]
-        self.sizes = np.array([len(t) for t in raw], np.int64)
-        self.data = np.frombuffer(b"".join(raw), np.uint8)
+        self.ids, self.null, self.sizes, self.data = load(blob)
         table = mix(np.arange(256, dtype=U) + U(1))
         self.window = window
         self.runs = Runs(table[self.data], self.sizes, window, phrase)
 
-    def contexts(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def contexts(self, found: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of the runs found: their indexes, the line of each one's context, and of the distinct contexts, sorted by anchor:
-        the index of a run that has it, the anchor hash, the least id."""
+        the index of a run that has it, the anchor hash, the context's hash, the least id."""
         runs = self.runs
         index = np.flatnonzero(found)
         begin = runs.start[runs.first[index]]
@@ -228,7 +227,7 @@ class Chunk:
         line[order] = np.cumsum(new) - 1
         at = np.flatnonzero(new)
         least = np.minimum.reduceat(self.ids[runs.run_doc[index]][order], at) if len(at) else np.zeros(0, np.int64)
-        return index, line, index[order[at]], h[at], least
+        return index, line, index[order[at]], h[at], k[at], least
 
 
 def _gather(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -237,24 +236,40 @@ def _gather(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def _decide(window: int):
-    def run(blobs: list[dict[str, pa.Array]]) -> list[np.ndarray]:
-        """For each window of each context of each chunk whether a smaller id than the chunk's least has it."""
-        data = np.concatenate([numbers(b["data"]) for b in blobs])
-        sizes = np.concatenate([numbers(b["sizes"]) for b in blobs]).astype(np.int64)
-        least = np.concatenate([numbers(b["least"]) for b in blobs])
+    def run(blobs: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
+        """For each window of each context of each chunk whether a smaller id than the chunk's least has it.
+
+        Equal contexts are one.  An anchor with one context needs no more; the
+        contexts of the others go through suffix arrays, some anchors at a time.
+        """
+        data, sizes, least, key, anchor = (np.concatenate([b[c] for b in blobs]) for c in ("data", "sizes", "least", "key", "anchor"))
+        sizes = sizes.astype(np.int64)
         begin = np.cumsum(sizes) - sizes
-        sums = Powers(mix(np.arange(256, dtype=U) + U(1))[data])
-        key = sums.of(begin, begin + sizes) ^ mix(sizes.astype(U))
-        _, head, line = np.unique(key, return_index=True, return_inverse=True)
-        low = np.full(len(head), np.iinfo(np.int64).max)
-        np.minimum.at(low, line, least)
-        own = smaller_owner(_gather(data, begin[head], sizes[head]), sizes[head], low, window)
+        order = np.lexsort((key, anchor))
+        new = np.ones(len(order), bool)
+        new[1:] = (key[order][1:] != key[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
+        line = np.empty(len(order), np.int64)
+        line[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        head = order[at]                                                 # distinct contexts, sorted by anchor
+        low = np.minimum.reduceat(least[order], at)
         per = sizes[head] - window + 1
         first = np.cumsum(per) - per
+        own = np.repeat(low, per)
+        group = anchor[head]
+        edge = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        several = np.repeat(np.diff(np.append(edge, len(group))) > 1, np.diff(np.append(edge, len(group))))
+        pick = np.flatnonzero(several)
+        batch = np.cumsum(sizes[head[pick]]) // ARRAY_BYTES
+        # a batch ends with an anchor
+        batch = batch[np.searchsorted(group[pick], group[pick], side="left")] if len(pick) else batch
+        for i in np.unique(batch):
+            some = pick[batch == i]
+            got = smaller_owner(_gather(data, begin[head[some]], sizes[head[some]]), sizes[head[some]], low[some], window)
+            own[_gather(np.arange(len(own)), first[some], per[some])] = got
         counts = sizes - window + 1
-        top = _gather(own, first[line], counts)
-        smaller = top < np.repeat(least, counts)
-        ends = np.cumsum([int((numbers(b["sizes"]).astype(np.int64) - window + 1).sum()) for b in blobs])
+        smaller = _gather(own, first[line], counts) < np.repeat(least, counts)
+        ends = np.cumsum([int((b["sizes"].astype(np.int64) - window + 1).sum()) for b in blobs])
         return np.split(smaller, ends[:-1])
 
     return run
@@ -262,24 +277,26 @@ def _decide(window: int):
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): every document with the bytes that are kept."""
-    table = chunks(docs, id_col, text_col)
+    table = chunks(docs, id_col, text_col, CHUNK_BYTES)
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(12, int(total * 0.07 / RANGE_ROWS) + 1)
+    shards = max(12, total // SHARD_BYTES + 1)
     flags = recurring(table, lambda blob: (lambda c: (c.ids, c.runs))(Chunk(blob, window, phrase)), ranges)
 
     def send(chunk_rows: pa.Table, flag_rows: pa.Table) -> pa.Table:
         out: dict[str, list] = {"part": [], "chunk": [], "blob": []}
         for chunk, blob in zip(chunk_rows.column("chunk").to_pylist(), chunk_rows.column("blob")):
             c = Chunk(blob.as_py(), window, phrase)
-            _, _, run, hashes, least = c.contexts(repeated_runs(c.runs, c.ids, flag_rows, ranges))
-            cuts, used = split_ranges(hashes, 48, ranges)
+            _, _, run, hashes, keys, least = c.contexts(repeated_runs(c.runs, c.ids, flag_rows, ranges))
+            cuts, used = split_ranges(hashes, 48, shards)
             for r in used.tolist():
-                own = run[cuts[r]:cuts[r + 1]]
+                s = slice(cuts[r], cuts[r + 1])
+                own = run[s]
                 begin = c.runs.start[c.runs.first[own]]
                 sizes = c.runs.start[c.runs.last[own] - 1] + window - begin
                 out["part"].append(r)
                 out["chunk"].append(chunk)
-                out["blob"].append(pack(data=_gather(c.data, begin, sizes), sizes=sizes.astype(np.int32), least=least[cuts[r]:cuts[r + 1]]))
+                out["blob"].append(pack(data=_gather(c.data, begin, sizes), sizes=sizes.astype(np.int32), least=least[s], key=keys[s], anchor=hashes[s]))
         return pa.table({"part": pa.array(out["part"], pa.int32()), "chunk": pa.array(out["chunk"], pa.int64()), "blob": pa.array(out["blob"], pa.binary())})
 
     def remove(chunk_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
@@ -289,10 +306,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for blob in chunk_rows.column("blob"):
             c = Chunk(blob.as_py(), window, phrase)
             runs = c.runs
-            index, line, run, hashes, least = c.contexts(repeated_runs(runs, c.ids, flag_rows, ranges))
+            index, line, run, hashes, _, least = c.contexts(repeated_runs(runs, c.ids, flag_rows, ranges))
             per = runs.last[run] - runs.first[run]                       # windows of each distinct context
             first = np.cumsum(per) - per
-            cuts, _ = split_ranges(hashes, 48, ranges)
+            cuts, _ = split_ranges(hashes, 48, shards)
             window_cuts = np.append(first, per.sum())[cuts]
             smaller = bits_of(answers, window_cuts)
             counts = runs.last[index] - runs.first[index]
