@@ -13,10 +13,12 @@ are the connected components of the links.
 
 Copies (equal words) form one class member, of least id.  Buckets are narrow rows
 (id, key); a bucket is compared as a star around the member that occurs in most
-company, then every bucket whose members are still in different components is
-compared in full if it is small, or else cut by one more band that its members
-must agree in and gone through again.  No bucket is dropped and no group is
-collected; texts are joined to the pairs that need them.
+company.  A bucket whose members are then still in different components is
+compared in full: small ones as pairs, large ones as pairs of blocks of bounded
+size, each a group of its own that returns verified links only.  There, members
+that agree in a second band are compared, once, in the first band that they share,
+and not if they are known to be connected.  No bucket is dropped and no bucket is
+collected; texts are joined to the pairs and blocks that need them.
 
 Defined cases: texts without words (null, empty, blank) are linked to nothing;
 rows with a null id are left out; an id that occurs twice is one document with
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from barsmith.llm.common import materialise, prepare, slices
 
 SHINGLE, SIMILARITY, BANDS = 5, 0.8, 12
-#: Members up to which a bucket is compared in full; words remembered by a task.
-SMALL, MEMO = 32, 400_000
+#: Members up to which a bucket is compared as pairs, members of a block of a larger one; words remembered by a task.
+SMALL, BLOCK, MEMO = 32, 512, 400_000
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
 
@@ -235,63 +237,77 @@ def components(edges: DataFrame) -> DataFrame:
         labels = fresh.select("id", F.col("next").alias("comp"))
 
 
-def _labelled(buckets: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Buckets (bucket, id, company) with the component of each member."""
-    if links is None:
-        return buckets.withColumn("comp", F.col("id"))
-    return (buckets.join(components(links), "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-
-
-def link(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARITY, bands: int = BANDS) -> DataFrame:
-    """Verified links (a, b, similarity) between class members (id, keys)."""
+def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Verified links between members of large buckets (bucket, band, id, comp, n) that are in different components."""
+    mine = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    held = (large.select("bucket", "band", "id", "comp", mine.alias("mine"), F.ceil(F.col("n") / BLOCK).alias("blocks")).join(keys, "id").join(seqs, "id")
+            .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+            .select("bucket", "band", "id", "comp", "mine", "keys", "seq", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
+
+    def run(group: pa.Table) -> pa.Table:
+        band, i, j = (group.column(c)[0].as_py() for c in ("band", "i", "j"))
+        ids, mine = group.column("id").to_numpy(), group.column("mine").to_numpy()
+        own = group.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        texts = [np.frombuffer(x.as_py(), np.uint32).tolist() for x in group.column("seq")]
+        sizes = np.array([len(t) for t in texts])
+        root = {c: c for c in group.column("comp").to_pylist()}
+        comp = group.column("comp").to_pylist()
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        rows = []
+        right = np.arange(len(ids)) if i == j else np.flatnonzero(mine == j)
+        for x in range(len(ids)) if i == j else np.flatnonzero(mine == i).tolist():
+            ys = right[right > x] if i == j else right
+            same = own[ys] == own[x]
+            fit = (same.sum(1) >= 2) & (same.argmax(1) == band) & (np.minimum(sizes[ys], sizes[x]) >= least * np.maximum(sizes[ys], sizes[x]))
+            for y in ys[fit].tolist():
+                if find(comp[x]) != find(comp[y]) and (s := similarity(texts[x], texts[y], least)) >= least:
+                    rows.append((min(ids[x], ids[y]), max(ids[x], ids[y]), s))
+                    root[find(comp[x])] = find(comp[y])
+        return pa.table({"a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64()),
+                         "similarity": pa.array([r[2] for r in rows], pa.float64())})
+
+    return held.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long, similarity double")
+
+
+def link(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARITY) -> DataFrame:
+    """Verified links (a, b, similarity) between class members (id, keys): enough of them to connect every class."""
     rows = reps.select("id", F.posexplode("keys").alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialise(rows.select("bucket", "id").join(sizes, "bucket"), "buckets")
+    shared = materialise(rows.select("bucket", "band", "id").join(sizes, "bucket"), "buckets")
     company = shared.groupBy("id").agg(F.sum("n").alias("company"))
-    buckets = materialise(shared.drop("n").join(company, "id").withColumn("band", F.lit(-1)), "buckets")
+    buckets = materialise(shared.join(company, "id"), "buckets")
     seqs = materialise(sequences(docs, id_col, text_col, company), "kmers")
-    links: DataFrame | None = None
-    seen: DataFrame | None = None
-    keys = reps.select("id", "keys")
-    for level in range(bands + 1):
-        # a star around the member that is found in most company
-        leaders = buckets.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
-        pairs = buckets.join(leaders, "bucket").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        pairs, links, seen = _check(pairs, seqs, links, seen, least)
-        held = _labelled(buckets, links)
-        mixed = held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket", "n")
-        open_ = materialise(held.join(mixed, "bucket"), "open")
-        small = open_.where(F.col("n") <= SMALL)
-        other = small.select("bucket", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-        pairs = small.join(other, "bucket").where("id < id2 and comp <> comp2").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-        pairs, links, seen = _check(pairs, seqs, links, seen, least)
-        large = open_.where(F.col("n") > SMALL)
-        if level == bands or large.isEmpty():
-            break
-        # cut large buckets that are still in pieces: members must agree in one more band
-        finer = (large.select("bucket", "id", "company", "band").join(keys, "id")
-                 .select("bucket", "id", "company", F.col("band").alias("last"), F.posexplode("keys").alias("band", "key")).where("band > last")
-                 .withColumn("bucket", F.xxhash64("bucket", "band", "key")).select("bucket", "id", "company", "band"))
-        full = finer.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-        buckets = materialise(finer.join(full, "bucket"), "buckets")
-    return links
-
-
-def _check(pairs: DataFrame, seqs: DataFrame, links: DataFrame | None, seen: DataFrame | None, least: float):
-    """Verify the pairs that were not yet seen; returns them, all links and all pairs seen."""
-    new = materialise(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-    got = materialise(verify(new, seqs, least), "links")
-    return new, got if links is None else links.unionByName(got), new if seen is None else seen.unionByName(new)
+    # a star around the member that is found in most company
+    top = F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top")
+    leaders = buckets.groupBy("bucket").agg(top).select("bucket", (-F.col("top.minus")).alias("leader"))
+    stars = (buckets.join(leaders, "bucket").where("id <> leader")
+             .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+    links = materialise(verify(stars, seqs, least), "links")
+    held = buckets.join(components(links), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = held.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
+    apart = materialise(held.select("bucket", "band", "id", "comp", "n").join(mixed, "bucket"), "apart")
+    small = apart.where(F.col("n") <= SMALL)
+    other = small.select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp2"))
+    pairs = small.join(other, "bucket").where("id < b and comp <> comp2").select(F.col("id").alias("a"), "b").distinct()
+    more = verify(pairs, seqs, least)
+    blocks = compare_blocks(apart.where(F.col("n") > SMALL), reps.select("id", "keys"), seqs, least)
+    return links.unionByName(materialise(more, "links")).unionByName(materialise(blocks, "links")).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, bands: int = BANDS) -> DataFrame:
     """(id, class_id, rep_id, n_links): the least id of the document's class, the least id with the same
-    words, and that member's verified links.  Every non-null id has one row."""
+    words, and that member's links among those that connect the class.  Every non-null id has one row."""
     spark = docs.sparkSession
     prepare(spark)
     rows = materialise(sketch(docs, id_col, text_col, bands).groupBy("id").agg(F.min(F.struct("digest", "n", "keys")).alias("s")).select("id", "s.*"), "sketches")
     reps = materialise(rows.groupBy("digest", "n").agg(F.min("id").alias("id"), F.min("keys").alias("keys")), "members")
-    links = materialise(link(reps, docs, id_col, text_col, least, bands), "links")
+    links = materialise(link(reps, docs, id_col, text_col, least), "links")
     degree = (links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links")))
     members = (reps.select("id", "digest", "n").join(components(links), "id", "left").join(degree, "id", "left")
                .select(F.col("id").alias("rep_id"), "digest", "n", F.coalesce("comp", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
