@@ -38,7 +38,7 @@ def parse_bars(df: DataFrame, value_col: str = "value", price_type: str = "doubl
     v = parse_wire(value_col).alias("_v")
     kept = [c for c in keep if c in df.columns]
     p = df.select(*kept, v)
-    cols = [F.try_to_timestamp(F.col("_v.datetime")).cast("timestamp_ntz").alias("datetime")]
+    cols = [F.col("_v.datetime").try_cast("timestamp_ntz").alias("datetime")]
     for f in _PRICE_FIELDS:
         cols.append(F.col(f"_v.{f}").try_cast(price_type).alias(f))
     cols.append(F.col("_v.volume").try_cast("bigint").alias("volume"))

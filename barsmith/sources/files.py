@@ -41,7 +41,7 @@ def explode_payload(df: DataFrame, col: str = "payload", symbol: str | None = No
     e = e.select("symbol", F.inline("_bars"))
     return e.select(
         "symbol",
-        F.try_to_timestamp(F.col("datetime")).cast("timestamp_ntz").alias("datetime"),
+        F.col("datetime").try_cast("timestamp_ntz").alias("datetime"),
         *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close")],
         F.col("volume").try_cast("bigint").alias("volume"))
 

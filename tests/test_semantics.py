@@ -232,3 +232,15 @@ def test_load_bars_allow_list_and_newest_n_from_files(spark, tmp_path):
     assert got.datetime.min() == T0 + dt.timedelta(minutes=7)          # newest three
     js = load_bars(spark, str(tmp_path / "js"), output_size=2, fmt="json")
     assert js.count() == 4 and dict(js.dtypes)["close"] == "double"
+
+
+def test_wall_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 on the day clocks go forward stays 02:30; what is no time becomes null."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [("A", '{"datetime": "2024-03-10 02:30:00", "close": "1.5"}'), ("B", '{"datetime": "soon"}')]
+        got = {r.symbol: r.datetime for r in parse_bars(spark.createDataFrame(rows, "symbol string, value string"), "value").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {"A": dt.datetime(2024, 3, 10, 2, 30), "B": None}
