@@ -92,5 +92,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Base32 of a SHA-1 in hexadecimal: five bits at a time, out of three digits.
+_BASE32 = """list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + (((('0x' || substr(x || '00', (1 + 5 * i // 4)::BIGINT, 3))::INTEGER >> (7 - 5 * i % 4)::INTEGER) & 31))::BIGINT, 1)), 'string_agg', '')"""
+
+WARC_SQL = f"""
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS x,
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, n::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d"""
+
+
+PHRASE_SQL = f"""
+WITH d AS (SELECT doc_id, w, len(w) AS n FROM (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{mixing.TOKEN}') AS w FROM documents)),
+unit AS (SELECT doc_id, w, n, unnest(range(1, n + 1)) AS i FROM d),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM unit WHERE i + 49 <= n),
+low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM win JOIN low USING (k), range(0, 50) r(j) WHERE m < doc_id),
+s AS (SELECT u.doc_id, count(g.i) AS r, string_agg(u.w[u.i], ' ' ORDER BY u.i) FILTER (g.i IS NULL) AS kept
+      FROM unit u LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.i = u.i GROUP BY u.doc_id)
+SELECT d.doc_id, n::BIGINT AS n_words, coalesce(r, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.oracle()}
+    return {
+        "op4_warc": WARC_SQL,
+        "op6_mixing": mixing.oracle(),
+        "op8_phrase_dedup": PHRASE_SQL,
+    }
