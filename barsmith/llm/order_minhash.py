@@ -272,7 +272,9 @@ def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: fl
         return pa.table({"a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64()),
                          "similarity": pa.array([r[2] for r in rows], pa.float64())})
 
-    return held.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long, similarity double")
+    # few bytes, much work: a given number of partitions is not coalesced by size
+    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.repartition(parts, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long, similarity double")
 
 
 def link(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = SIMILARITY) -> DataFrame:

@@ -1,9 +1,9 @@
+"""Rows that the operators' tests share."""
+
 import random
 
 import pytest
 
-SENTENCES = ["the cat sat on the mat and looked at the moon above", "der hund lief schnell durch den wald nach hause", "le chat dort sur la table de la cuisine blanche"]
-
 
 def prose(rng, n):
     """``n`` invented words."""

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsmith.llm import iblt, mixing, order_minhash
+from llm_rows import docs, docs_rows, no_docs  # noqa: F401  fixtures
 
 
 def in_order(a, b):

@@ -2,8 +2,12 @@
 
 import hashlib
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from barsmith.llm import queries
+from tools.check_oracle import compare, type_diff
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -12,6 +16,16 @@ def test_names_and_sql():
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(queries.oracle_sql()) <= set(names)
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_whole_results_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    frame, sql = queries.queries()[name](spark, SF_SMALL), queries.oracle_sql()[name]
+    assert compare(frame.toPandas(), con.execute(sql).df()) is None
+    assert type_diff(frame, con.sql(sql)) == []
+
+
 def test_pipeline_stages_keep_the_columns_and_decide(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     before = docs

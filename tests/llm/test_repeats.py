@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from barsmith.llm import phrase_dedup, repeats, suffix_dedup
+from llm_rows import docs, docs_rows, no_docs  # noqa: F401  fixtures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = np.iinfo(np.int64).max
