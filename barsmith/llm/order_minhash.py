@@ -146,6 +146,26 @@ def common_in_order(a: list[int], b: list[int], width: int) -> int:
     return done + bits - v.bit_count()
 
 
+def bag(seq: list[int]) -> set[int]:
+    """k-mers of 32 bits with the number of their earlier occurrences above."""
+    out = set(seq)
+    if len(out) < len(seq):
+        seen: dict[int, int] = {}
+        for x in seq:
+            n = seen[x] = seen.get(x, -1) + 1
+            if n:
+                out.add(x + (n << 32))
+    return out
+
+
+def may_link(a: set[int], b: set[int], least: float = SIMILARITY) -> bool:
+    """Whether two bags share enough k-mers in any order, which is never fewer than in the same order."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    common = len(a & b)
+    return common >= least * (len(a) + len(b) - common) - 1e-9
+
+
 def similarity(a: list[int], b: list[int], least: float = SIMILARITY) -> float:
     """Shared k-mers in order by all k-mers; 0 if that is surely under ``least``."""
     n, m = len(a), len(b)
@@ -204,12 +224,13 @@ def verify(pairs: DataFrame, seqs: DataFrame, least: float = SIMILARITY) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            last, a = None, []
+            last, a, a_bag = None, [], set()
             for x, y, sa, sb in zip(*(batch.column(c) for c in ("a", "b", "sa", "sb"))):
                 if last != x.as_py():
                     last, a = x.as_py(), np.frombuffer(sa.as_py(), np.uint32).tolist()
-                s = similarity(a, np.frombuffer(sb.as_py(), np.uint32).tolist(), least)
-                if s >= least:
+                    a_bag = bag(a)
+                b = np.frombuffer(sb.as_py(), np.uint32).tolist()
+                if may_link(a_bag, bag(b), least) and (s := similarity(a, b, least)) >= least:
                     rows.append((last, y.as_py(), s))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))],
                                              names=["a", "b", "similarity"])
@@ -250,6 +271,7 @@ def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: fl
         own = group.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         texts = [np.frombuffer(x.as_py(), np.uint32).tolist() for x in group.column("seq")]
         sizes = np.array([len(t) for t in texts])
+        bags = [bag(t) for t in texts]
         root = {c: c for c in group.column("comp").to_pylist()}
         comp = group.column("comp").to_pylist()
 
@@ -266,7 +288,8 @@ def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: fl
             same = own[ys] == own[x]
             fit = (same.sum(1) >= 2) & (same.argmax(1) == band) & (np.minimum(sizes[ys], sizes[x]) >= least * np.maximum(sizes[ys], sizes[x]))
             for y in ys[fit].tolist():
-                if find(comp[x]) != find(comp[y]) and (s := similarity(texts[x], texts[y], least)) >= least:
+                if (find(comp[x]) != find(comp[y]) and may_link(bags[x], bags[y], least)
+                        and (s := similarity(texts[x], texts[y], least)) >= least):
                     rows.append((min(ids[x], ids[y]), max(ids[x], ids[y]), s))
                     root[find(comp[x])] = find(comp[y])
         return pa.table({"a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64()),
