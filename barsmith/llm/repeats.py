@@ -113,9 +113,11 @@ def sliding_argmin(key: np.ndarray, width: int) -> np.ndarray:
     packed = (key >> U(PLACE_BITS) << U(PLACE_BITS)) | np.arange(n, dtype=U)
     pad = -n % width
     blocks = np.concatenate([packed, np.full(pad, U(0xFFFFFFFFFFFFFFFF))]).reshape(-1, width)
+    del packed
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(back[:n - width + 1], ahead[width - 1:n])
+    del ahead, back, blocks
     return (least & U((1 << PLACE_BITS) - 1)).astype(np.int32)
 
 
