@@ -10,8 +10,8 @@ Two sketches are subtracted cell by cell, so common paragraphs vanish, and what
 is left is peeled: a cell with one digest whose check agrees gives that digest
 away, which is taken out of its other cells, until all cells are empty.  Then the
 digests found are exactly the difference.  Where cells remain, both sketches are
-made anew with four times as many strips and other bits of the digests, and so on
-until one peels: a later one has more strips than there are digests.
+made anew, larger and with other hashes: a strip for four digests, then four times
+as many strips each time, until one peels.
 
 The fingerprint of a text is its sketch of one strip.  The likeness of two
 fingerprints is the number of common paragraphs by that of all, which follows from
@@ -32,6 +32,8 @@ from barsmith.llm.common import materialise
 
 PARAGRAPH = r"[^\n]{160,}?[.!?](?=\s|$)|[^\n]+"
 ROWS, WIDTH, ROUNDS = 3, 8, 12
+#: Sizes tried; the last ones have far more strips than there are digests.
+TURNS = 8
 #: Documents in a stretch of the order of ids, and quantiles that place the stretches.
 STRETCH, CELLS = 2_048, 64
 
@@ -48,17 +50,18 @@ def digests_sql(text: str) -> str:
                 "transform(ps, (h, i) -> xxhash64(h, i + 1 - array_position(ps, h)))")
 
 
-def _cell(key: str, row: str, turn: str) -> str:
-    """Cell of a digest in a row; every turn uses other bits."""
-    return f"(shiftright(xxhash64({key}, {turn}), 3 * {row}) & {WIDTH - 1})"
+def _cell(h: str, row: str) -> str:
+    """Cell of a digest in a row, from the digest's hash in a turn; every turn hashes anew."""
+    return f"(shiftright({h}, 3 * {row}) & {WIDTH - 1})"
 
 
 def sketch_sql(keys: str, strips: str, turn: str) -> str:
     """Array of strips, each an array of ROWS * WIDTH cells (n, x, c)."""
-    cell = (f"aggregate(filter(own, k -> {_cell('k', f'(at div {WIDTH})', turn)} = at % {WIDTH}), "
-            "named_struct('n', 0, 'x', 0L, 'c', 0L), (a, k) -> named_struct('n', a.n + 1, 'x', a.x ^ k, 'c', a.c ^ xxhash64(k, 'check')))")
-    strip = _let("own", f"filter({keys}, k -> pmod(xxhash64(k, {turn}, 'strip'), {strips}) = s)", f"transform(sequence(0, {ROWS * WIDTH - 1}), at -> {cell})")
-    return f"transform(sequence(0, {strips} - 1), s -> {strip})"
+    hashed = f"transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k, {turn}), 'c', xxhash64(k, 'check')))"
+    cell = (f"aggregate(filter(own, e -> {_cell('e.h', f'(at div {WIDTH})')} = at % {WIDTH}), "
+            "named_struct('n', 0, 'x', 0L, 'c', 0L), (a, e) -> named_struct('n', a.n + 1, 'x', a.x ^ e.k, 'c', a.c ^ e.c))")
+    strip = _let("own", f"filter(es, e -> pmod(shiftright(e.h, 20), {strips}) = s)", f"transform(sequence(0, {ROWS * WIDTH - 1}), at -> {cell})")
+    return _let("es", hashed, f"transform(sequence(0, {strips} - 1), s -> {strip})")
 
 
 def subtract_sql(a: str, b: str) -> str:
@@ -69,22 +72,22 @@ def subtract_sql(a: str, b: str) -> str:
 def peel_sql(strip: str, turn: str) -> str:
     """Number of digests that a strip of a difference holds; -1 if it does not peel."""
     pure = "array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.x, 'check')), c -> named_struct('n', c.n, 'x', c.x)))"
-    # a digest that two cells give away with different signs would be a false one: it is never taken
-    out = (f"transform(st.cells, (c, at) -> aggregate(filter(found, k -> {_cell('k.x', f'(at div {WIDTH})', turn)} = at % {WIDTH}), c, "
-           "(a, k) -> named_struct('n', a.n - k.n, 'x', a.x ^ k.x, 'c', a.c ^ xxhash64(k.x, 'check'))))")
-    step = _let("found", pure, f"if(size(found) = 0, named_struct('cells', st.cells, 'n', st.n, 'over', true), named_struct('cells', {out}, 'n', st.n + size(found), 'over', false))")
+    hashed = f"transform({pure}, k -> named_struct('n', k.n, 'x', k.x, 'h', xxhash64(k.x, {turn}), 'c', xxhash64(k.x, 'check')))"
+    out = (f"transform(st.cells, (c, at) -> aggregate(filter(found, k -> {_cell('k.h', f'(at div {WIDTH})')} = at % {WIDTH}), c, "
+           "(a, k) -> named_struct('n', a.n - k.n, 'x', a.x ^ k.x, 'c', a.c ^ k.c)))")
+    step = _let("found", hashed, f"if(size(found) = 0, named_struct('cells', st.cells, 'n', st.n, 'over', true), named_struct('cells', {out}, 'n', st.n + size(found), 'over', false))")
     loop = (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {strip}, 'n', 0, 'over', false), "
             f"(st, i) -> if(st.over, st, {step}), st -> if(exists(st.cells, c -> c.n <> 0 OR c.x <> 0L OR c.c <> 0L), -1, st.n))")
     return loop
 
 
 def difference_sql(a: str, b: str) -> str:
-    """Number of digests in one of two sets only, from sketches of 1, 4, 16 ... strips: the first that peels."""
+    """Number of digests in one of two sets only, from sketches of one strip, then of a strip for four digests of
+    either set, then of four times as many and so on: the first that peels."""
     counts = f"transform({subtract_sql(sketch_sql(a, 'g', 't'), sketch_sql(b, 'g', 't'))}, d -> {peel_sql('d', 't')})"
     total = _let("cs", counts, "if(exists(cs, c -> c < 0), -1, aggregate(cs, 0, (u, c) -> u + c))")
-    last = f"8 + cast(log2(size({a}) + size({b}) + 1) / 2 AS int)"
-    return (f"aggregate(sequence(0, {last}), -1, (done, t) -> if(done >= 0, done, "
-            + _let("g", "cast(shiftleft(1, 2 * least(t, 9)) AS int)", total) + "))")
+    strips = f"if(t = 0, 1, cast(greatest(4, (size({a}) + size({b})) div 4) * shiftleft(1, 2 * (t - 1)) AS int))"
+    return f"aggregate(sequence(0, {TURNS - 1}), -1, (done, t) -> if(done >= 0, done, " + _let("g", strips, total) + "))"
 
 
 def likeness(a: str, b: str) -> Column:
