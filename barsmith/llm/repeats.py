@@ -30,7 +30,7 @@ BASE = U(0x9E3779B97F4A7C15)
 #: What a null document id counts as: larger than all others.
 NO_ID = np.iinfo(np.int64).max
 #: Bits of a place in a chunk within a minimum's key, and hashes that one range gets at most on average.
-PLACE_BITS, RANGE_ROWS = 28, 1_000_000
+PLACE_BITS, RANGE_ROWS = 28, 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ WINDOW, PHRASE = 50, 20
 #: Names up to which the recursion induces by bucket; texts with more are sorted by doubling.
 MAX_BUCKETS = 2_048
 #: Bytes of text in a chunk, of all text for each shard, and of the contexts that one suffix array holds (an anchor's stay together).
-CHUNK_BYTES, SHARD_BYTES, ARRAY_BYTES = 2 << 20, 2 << 20, 256 << 10
+CHUNK_BYTES, SHARD_BYTES, ARRAY_BYTES = 1 << 20, 2 << 20, 256 << 10
 
 
 def _types(text: np.ndarray) -> np.ndarray:
