@@ -15,10 +15,11 @@ Copies (equal words) form one class member, of least id.  Buckets are narrow row
 (id, key); a bucket is compared as a star around the member that occurs in most
 company.  A bucket whose members are then still in different components is
 compared in full: small ones as pairs, large ones as pairs of blocks of bounded
-size, each a group of its own that returns verified links only.  There, members
-that agree in a second band are compared, once, in the first band that they share,
-and not if they are known to be connected.  No bucket is dropped and no bucket is
-collected; texts are joined to the pairs and blocks that need them.
+size, each a group of its own that returns verified links only.  There, two members
+are compared once, in the first band that they share, and not if they are known to
+be connected; their shared k-mers, counted for many members at once, reject most.
+No bucket is dropped and no bucket is collected; texts are joined to the pairs and
+blocks that need them.
 
 Defined cases: texts without words (null, empty, blank) are linked to nothing;
 rows with a null id are left out; an id that occurs twice is one document with
@@ -40,6 +41,8 @@ from barsmith.llm.common import materialise, prepare, slices
 SHINGLE, SIMILARITY, BANDS = 5, 0.8, 12
 #: Members up to which a bucket is compared as pairs, members of a block of a larger one; words remembered by a task.
 SMALL, BLOCK, MEMO = 32, 512, 400_000
+#: k-mers looked up at a time when one member of a block is compared with the others.
+COUNTED = 1 << 18
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
 
@@ -269,11 +272,15 @@ def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: fl
         band, i, j = (group.column(c)[0].as_py() for c in ("band", "i", "j"))
         ids, mine = group.column("id").to_numpy(), group.column("mine").to_numpy()
         own = group.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        texts = [np.frombuffer(x.as_py(), np.uint32).tolist() for x in group.column("seq")]
+        texts = [np.frombuffer(x.as_py(), np.uint32) for x in group.column("seq")]
         sizes = np.array([len(t) for t in texts])
-        bags = [bag(t) for t in texts]
-        root = {c: c for c in group.column("comp").to_pylist()}
+        starts = np.cumsum(sizes) - sizes
+        # the k-mers of all bags, one bag after the other, as places in a mark of all distinct ones
+        kinds, held_kmers = np.unique(np.concatenate([np.fromiter(bag(t.tolist()), np.int64, len(t)) for t in texts]), return_inverse=True)
+        mark = np.zeros(len(kinds), np.int32)
         comp = group.column("comp").to_pylist()
+        known = np.array(comp)
+        root = {c: c for c in comp}
 
         def find(c: int) -> int:
             while root[c] != c:
@@ -281,15 +288,30 @@ def compare_blocks(large: DataFrame, keys: DataFrame, seqs: DataFrame, least: fl
                 c = root[c]
             return c
 
+        def may_link_to(x: int, ys: np.ndarray) -> np.ndarray:
+            """Those of ``ys`` whose bags share enough k-mers with that of ``x``."""
+            own_kmers = held_kmers[starts[x]:starts[x] + sizes[x]]
+            mark[own_kmers] = 1
+            out = []
+            for some in np.array_split(ys, 1 + int(sizes[ys].sum()) // COUNTED):
+                if len(some):
+                    n = sizes[some]
+                    first = np.cumsum(n) - n
+                    common = np.add.reduceat(mark[held_kmers[np.repeat(starts[some] - first, n) + np.arange(int(n.sum()))]], first)
+                    out.append(some[common >= least * (sizes[x] + n - common) - 1e-9])
+            mark[own_kmers] = 0
+            return np.concatenate(out)
+
         rows = []
         right = np.arange(len(ids)) if i == j else np.flatnonzero(mine == j)
         for x in range(len(ids)) if i == j else np.flatnonzero(mine == i).tolist():
             ys = right[right > x] if i == j else right
-            same = own[ys] == own[x]
-            fit = (same.sum(1) >= 2) & (same.argmax(1) == band) & (np.minimum(sizes[ys], sizes[x]) >= least * np.maximum(sizes[ys], sizes[x]))
-            for y in ys[fit].tolist():
-                if (find(comp[x]) != find(comp[y]) and may_link(bags[x], bags[y], least)
-                        and (s := similarity(texts[x], texts[y], least)) >= least):
+            ys = ys[(known[ys] != known[x]) & (sizes[x] > 0) & (np.minimum(sizes[ys], sizes[x]) >= least * np.maximum(sizes[ys], sizes[x]))]
+            ys = ys[(own[ys] == own[x]).argmax(1) == band]               # all share this band; is it the first?
+            if not len(ys):
+                continue
+            for y in may_link_to(x, ys).tolist():
+                if find(comp[x]) != find(comp[y]) and (s := similarity(texts[x].tolist(), texts[y].tolist(), least)) >= least:
                     rows.append((min(ids[x], ids[y]), max(ids[x], ids[y]), s))
                     root[find(comp[x])] = find(comp[y])
         return pa.table({"a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64()),

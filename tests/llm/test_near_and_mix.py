@@ -72,6 +72,25 @@ def test_a_family_around_a_later_document_and_a_hot_bucket(spark):
     assert all(got[100 + i] == 100 + i for i in range(80))
 
 
+@pytest.mark.parametrize("block", [16, 512])
+def test_pairs_that_share_only_a_large_bucket(spark, monkeypatch, block):
+    """With one band no pair shares a second one; near copies in a bucket of more than SMALL members are linked all the same."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    line = [f"line{k}" for k in range(50)]
+    rows = []
+    for i in range(120):
+        own = [f"y{i}-{k}" for k in range(12)]
+        rows += [(2 * i, " ".join(line + own)), (2 * i + 1, " ".join(line + own[:-1] + ["end"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = {r.id: r["keys"][0] for r in order_minhash.sketch(df, "doc_id", "text", 1).collect()}
+    hot = collections.Counter(key.values()).most_common(1)[0]
+    assert hot[1] > 2 * order_minhash.SMALL
+    got = {r.id: r.class_id for r in order_minhash.classes(df, bands=1).collect()}
+    pairs = [i for i in range(0, 240, 2) if key[i] == key[i + 1]]
+    assert sum(key[i] == hot[0] for i in pairs) > 20
+    assert got == {i: i - 1 if i % 2 and i - 1 in pairs else i for i in range(240)}
+
+
 def test_no_documents(no_docs):
     assert order_minhash.classes(no_docs).collect() == [] and mixing.plan(no_docs).collect() == [] and iblt.versions(no_docs).collect() == []
 
