@@ -170,8 +170,13 @@ def by_range(sent: DataFrame, decide: Callable[[list[dict[str, np.ndarray]]], li
     return sent.groupBy("part").applyInArrow(run, "chunk long, part int, bits binary")
 
 
-def recurring(chunk_table: DataFrame, runs_of: Callable[[bytes], tuple[np.ndarray, Runs]], ranges: int) -> DataFrame:
-    """(chunk, part, bits): which of a chunk's distinct anchor hashes, sorted, are in two documents or more."""
+def recurring(chunk_table: DataFrame, runs_of: Callable[[bytes], tuple[np.ndarray, Runs]], ranges: int,
+              weigh: Callable[[Runs], np.ndarray] | None = None, limit: int = 0) -> DataFrame:
+    """(chunk, part, bits): which of a chunk's distinct anchor hashes, sorted, are in two documents or more.
+
+    With ``weigh``, which gives each of them a weight, the bits of a part are followed
+    by as many others: whose weights in all chunks come to more than ``limit``.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +184,8 @@ def recurring(chunk_table: DataFrame, runs_of: Callable[[bytes], tuple[np.ndarra
                 ids, runs = runs_of(blob.as_py())
                 hashes, many = distinct_anchors(runs, ids)
                 cuts, used = split_ranges(hashes, 48, ranges)
-                blobs = [pack(hash=hashes[cuts[r]:cuts[r + 1]], many=many[cuts[r]:cuts[r + 1]]) for r in used]
+                weight = {} if weigh is None else {"weight": weigh(runs).astype(np.int32)}
+                blobs = [pack(hash=hashes[cuts[r]:cuts[r + 1]], many=many[cuts[r]:cuts[r + 1]], **{k: v[cuts[r]:cuts[r + 1]] for k, v in weight.items()}) for r in used]
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()), pa.array(blobs, pa.binary())],
                                                  names=["part", "chunk", "blob"])
 
@@ -187,7 +193,11 @@ def recurring(chunk_table: DataFrame, runs_of: Callable[[bytes], tuple[np.ndarra
         hashes = [b["hash"] for b in blobs]
         found, back, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
         often = (counts > 1)[back] | np.concatenate([b["many"] for b in blobs])
-        return np.split(often, np.cumsum([len(h) for h in hashes])[:-1])
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
+        if weigh is None:
+            return np.split(often, ends)
+        heavy = (np.bincount(back, np.concatenate([b["weight"] for b in blobs]), len(found)) > limit)[back]
+        return [np.concatenate(x) for x in zip(np.split(often, ends), np.split(heavy, ends))]
 
     return materialise(by_range(chunk_table.select("chunk", "blob").mapInArrow(send, "part int, chunk long, blob binary"), decide), "recurring")
 
@@ -204,20 +214,21 @@ def distinct_anchors(runs: Runs, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h[at], np.minimum.reduceat(owner, at) != np.maximum.reduceat(owner, at)
 
 
-def bits_of(flags: pa.Table, cuts: np.ndarray) -> np.ndarray:
-    """The bits of a chunk's rows (part, bits) one after the other; ``cuts`` are the borders of the parts."""
+def bits_of(flags: pa.Table, cuts: np.ndarray, after: bool = False) -> np.ndarray:
+    """The bits of a chunk's rows (part, bits) one after the other; ``cuts`` are the borders of the parts.
+    ``after``: the second half of bits that come in two halves."""
     out = np.zeros(int(cuts[-1]), bool)
     for part, bits in zip(flags.column("part").to_pylist(), flags.column("bits").to_pylist()):
         n = int(cuts[part + 1] - cuts[part])
-        out[cuts[part]:cuts[part + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
+        out[cuts[part]:cuts[part + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=2 * n if after else n)[n if after else 0:]
     return out
 
 
-def repeated_runs(runs: Runs, ids: np.ndarray, flags: pa.Table, ranges: int) -> np.ndarray:
-    """Which runs have an anchor that recurs."""
+def repeated_runs(runs: Runs, ids: np.ndarray, flags: pa.Table, ranges: int, heavy: bool = False) -> np.ndarray:
+    """Which runs have an anchor that recurs; ``heavy``: one whose weights exceed the limit."""
     hashes, _ = distinct_anchors(runs, ids)
     cuts, _ = split_ranges(hashes, 48, ranges)
-    often = bits_of(flags, cuts)
+    often = bits_of(flags, cuts, heavy)
     return often[np.searchsorted(hashes, runs.hash)] if len(hashes) else np.zeros(0, bool)
 
 

@@ -14,6 +14,11 @@ induced from it in two passes over the buckets.  Permuted common prefixes with
 the predecessor show which windows are equal; each window learns whether a
 smaller id holds it, and one bit for each goes back to the chunks.
 
+An anchor with more than ``HOT`` contexts (a common line in ever different
+surroundings) would make one shard and array grow with the corpus.  Its windows
+part: each goes by its own 64-bit hash to any of the shards, which tell equal ones
+by it.  Which anchors are hot is counted over all chunks, so all chunks agree.
+
 Defined cases: a null text is empty; a document's own repeats stay; equal ids do
 not remove each other; a null id counts as larger than all others; an empty
 table gives an empty result.
@@ -36,6 +41,8 @@ WINDOW, PHRASE = 50, 20
 MAX_BUCKETS = 2_048
 #: Bytes of text in a chunk, of all text for each shard, and of the contexts that one suffix array holds (an anchor's stay together).
 CHUNK_BYTES, SHARD_BYTES, ARRAY_BYTES = 1 << 20, 2 << 20, 256 << 10
+#: Contexts, each chunk's distinct ones, up to which an anchor's go to one array.
+HOT = 3_000
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -211,14 +218,31 @@ class Chunk:
         self.window = window
         self.runs = Runs(table[self.data], self.sizes, window, phrase)
 
+    def keys(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of runs the borders and the hash of their contexts."""
+        runs = self.runs
+        begin = runs.start[runs.first[index]]
+        end = runs.start[runs.last[index] - 1] + self.window
+        return begin, end, runs.powers.of(begin, end) ^ mix((end - begin).astype(U)) if len(index) else np.zeros(0, U)
+
+    def weights(self) -> np.ndarray:
+        """How many distinct contexts each of the sorted distinct anchor hashes has."""
+        hashes, back, counts = np.unique(self.runs.hash, return_inverse=True, return_counts=True)
+        index = np.flatnonzero(counts[back] > 1)
+        if len(index):
+            key, anchor = self.keys(index)[2], back[index]
+            order = np.lexsort((key, anchor))
+            k, h = key[order], anchor[order]
+            new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
+            counts = np.where(counts > 1, np.bincount(h[new], minlength=len(hashes)), counts)
+        return counts
+
     def contexts(self, found: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of the runs found: their indexes, the line of each one's context, and of the distinct contexts, sorted by anchor:
         the index of a run that has it, the anchor hash, the context's hash, the least id."""
         runs = self.runs
         index = np.flatnonzero(found)
-        begin = runs.start[runs.first[index]]
-        end = runs.start[runs.last[index] - 1] + self.window
-        key = runs.powers.of(begin, end) ^ mix((end - begin).astype(U)) if len(index) else np.zeros(0, U)
+        key = self.keys(index)[2]
         order = np.lexsort((key, runs.hash[index]))
         k, h = key[order], runs.hash[index][order]
         new = np.ones(len(order), bool)
@@ -229,6 +253,17 @@ class Chunk:
         least = np.minimum.reduceat(self.ids[runs.run_doc[index]][order], at) if len(at) else np.zeros(0, np.int64)
         return index, line, index[order[at]], h[at], k[at], least
 
+    def lone(self, found: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the windows of the runs found: their indexes, the line of each one's hash, and the sorted distinct hashes with
+        the least id."""
+        runs = self.runs
+        index = np.flatnonzero(np.repeat(found, runs.last - runs.first))
+        start = runs.start[index]
+        hashes, line = np.unique(runs.powers.of(start, start + self.window), return_inverse=True) if len(index) else (np.zeros(0, U), index)
+        least = np.full(len(hashes), np.iinfo(np.int64).max)
+        np.minimum.at(least, line, self.ids[runs.doc[index]])
+        return index, line, hashes, least
+
 
 def _gather(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
@@ -241,9 +276,22 @@ def _decide(window: int):
 
         Equal contexts are one.  An anchor with one context needs no more; the
         contexts of the others go through suffix arrays, some anchors at a time.
+        Then the same for each lone window of each chunk.
         """
+        return [np.concatenate(x) for x in zip(of_contexts(blobs), of_lone(blobs))]
+
+    def of_lone(blobs: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
+        least = np.concatenate([b["lone_least"] for b in blobs])
+        hashes, line = np.unique(np.concatenate([b["lone"] for b in blobs]), return_inverse=True)
+        low = np.full(len(hashes), np.iinfo(np.int64).max)
+        np.minimum.at(low, line, least)
+        return np.split(low[line] < least, np.cumsum([len(b["lone"]) for b in blobs])[:-1])
+
+    def of_contexts(blobs: list[dict[str, np.ndarray]]) -> list[np.ndarray]:
         data, sizes, least, key, anchor = (np.concatenate([b[c] for b in blobs]) for c in ("data", "sizes", "least", "key", "anchor"))
         sizes = sizes.astype(np.int64)
+        if not len(sizes):
+            return [np.zeros(0, bool) for _ in blobs]
         begin = np.cumsum(sizes) - sizes
         order = np.lexsort((key, anchor))
         new = np.ones(len(order), bool)
@@ -281,22 +329,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(12, int(total * 0.07 / RANGE_ROWS) + 1)
     shards = max(12, total // SHARD_BYTES + 1)
-    flags = recurring(table, lambda blob: (lambda c: (c.ids, c.runs))(Chunk(blob, window, phrase)), ranges)
+
+    def opened(blob: bytes) -> tuple[np.ndarray, Runs]:
+        c = Chunk(blob, window, phrase)
+        c.runs.weights = c.weights()
+        return c.ids, c.runs
+
+    hot = HOT
+    flags = recurring(table, opened, ranges, lambda runs: runs.weights, hot)
+
+    def pieces(c: Chunk, flag_rows: pa.Table) -> tuple[tuple, tuple]:
+        """What a chunk asks about: contexts, and the lone windows of hot anchors."""
+        often, heavy = (repeated_runs(c.runs, c.ids, flag_rows, ranges, x) for x in (False, True))
+        return c.contexts(often & ~heavy), c.lone(often & heavy)
 
     def send(chunk_rows: pa.Table, flag_rows: pa.Table) -> pa.Table:
         out: dict[str, list] = {"part": [], "chunk": [], "blob": []}
         for chunk, blob in zip(chunk_rows.column("chunk").to_pylist(), chunk_rows.column("blob")):
             c = Chunk(blob.as_py(), window, phrase)
-            _, _, run, hashes, keys, least = c.contexts(repeated_runs(c.runs, c.ids, flag_rows, ranges))
-            cuts, used = split_ranges(hashes, 48, shards)
-            for r in used.tolist():
-                s = slice(cuts[r], cuts[r + 1])
+            (_, _, run, hashes, keys, least), (_, _, lone, lone_least) = pieces(c, flag_rows)
+            (cuts, used), (lone_cuts, lone_used) = split_ranges(hashes, 48, shards), split_ranges(lone, 64, shards)
+            for r in np.union1d(used, lone_used).tolist():
+                s, alone = slice(cuts[r], cuts[r + 1]), slice(lone_cuts[r], lone_cuts[r + 1])
                 own = run[s]
                 begin = c.runs.start[c.runs.first[own]]
                 sizes = c.runs.start[c.runs.last[own] - 1] + window - begin
                 out["part"].append(r)
                 out["chunk"].append(chunk)
-                out["blob"].append(pack(data=_gather(c.data, begin, sizes), sizes=sizes.astype(np.int32), least=least[s], key=keys[s], anchor=hashes[s]))
+                out["blob"].append(pack(data=_gather(c.data, begin, sizes), sizes=sizes.astype(np.int32), least=least[s], key=keys[s], anchor=hashes[s],
+                                        lone=lone[alone], lone_least=lone_least[alone]))
         return pa.table({"part": pa.array(out["part"], pa.int32()), "chunk": pa.array(out["chunk"], pa.int64()), "blob": pa.array(out["blob"], pa.binary())})
 
     def remove(chunk_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
@@ -306,15 +367,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for blob in chunk_rows.column("blob"):
             c = Chunk(blob.as_py(), window, phrase)
             runs = c.runs
-            index, line, run, hashes, _, least = c.contexts(repeated_runs(runs, c.ids, flag_rows, ranges))
+            (index, line, run, hashes, _, least), (lone_index, lone_line, lone, lone_least) = pieces(c, flag_rows)
             per = runs.last[run] - runs.first[run]                       # windows of each distinct context
             first = np.cumsum(per) - per
             cuts, _ = split_ranges(hashes, 48, shards)
             window_cuts = np.append(first, per.sum())[cuts]
-            smaller = bits_of(answers, window_cuts)
+            lone_cuts, _ = split_ranges(lone, 64, shards)
+            bits = bits_of(answers, window_cuts + lone_cuts)             # of each shard: contexts' windows, then lone ones
+            smaller = bits[np.arange(window_cuts[-1]) + np.repeat(lone_cuts[:-1], np.diff(window_cuts))]
+            lone_smaller = bits[np.arange(len(lone)) + np.repeat(window_cuts[1:], np.diff(lone_cuts))]
             counts = runs.last[index] - runs.first[index]
             gone = _gather(smaller, first[line], counts) | np.repeat(c.ids[runs.run_doc[index]] > least[line], counts)
             starts = runs.start[_gather(np.arange(len(runs.start)), runs.first[index], counts)][gone]
+            lone_gone = lone_smaller[lone_line] | (c.ids[runs.doc[lone_index]] > lone_least[lone_line])
+            starts = np.concatenate([starts, runs.start[lone_index[lone_gone]]])
             out = covered(starts, window, len(c.data))
             ends = np.cumsum(c.sizes)
             edges = np.diff(out.astype(np.int8), prepend=0) == 1

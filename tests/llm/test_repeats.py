@@ -89,3 +89,29 @@ def test_sliding_argmin_takes_the_first_of_equals():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 5, 200).astype(np.uint64) << np.uint64(40)
     assert repeats.sliding_argmin(x, 7).tolist() == [i + int(np.argmin(x[i:i + 7])) for i in range(194)]
+
+
+def test_contexts_of_a_hot_anchor_part(spark, monkeypatch):
+    """A phrase in ever different surroundings: no shard gets all of its contexts, and the result stays exact."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, tails = text(45), [text(12) for _ in range(6)]
+    rows = [(i, text(60) + common + rng.choice(tails) + text(60)) for i in range(300)] + [(None, text(9) + common + tails[0]), (1, common + tails[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    most = []
+    for hot in (3_000, 40):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        groups, exchange = [], suffix_dedup.by_range
+
+        def spied(sent, decide):
+            for r in sent.collect():
+                groups.extend(repeats.unpack(bytes(r.blob))["anchor"].tolist())
+            return exchange(sent, decide)
+
+        monkeypatch.setattr(suffix_dedup, "by_range", spied)
+        got = [(LAST if r.id is None else r.id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect()]
+        monkeypatch.setattr(suffix_dedup, "by_range", exchange)
+        want = [(i, len(u), sum(g), bytes(b for b, x in zip(u, g) if not x)) for i, u, g in brute(rows, raw, 50)]
+        assert key(got) == key(want) and sum(r[2] for r in want) > 10_000
+        most.append(max((groups.count(a) for a in set(groups)), default=0))
+    assert most[0] > 200 and most[1] <= 40
