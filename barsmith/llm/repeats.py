@@ -143,11 +143,12 @@ class Runs:
         least = sliding_argmin(phrase, length - k + 1)[self.start]
         new = np.ones(len(least), bool)
         new[1:] = (least[1:] != least[:-1]) | (self.doc[1:] != self.doc[:-1])
-        #: indexes of the first window of each run, and after its last; the anchor's place and 48-bit hash
+        #: indexes of the first window of each run, and after its last; the anchor's place and 48-bit hash,
+        #: mixed anew: the least of many hashes are near 0, and ranges of them would be very uneven
         self.first = np.flatnonzero(new)
         self.last = np.append(self.first[1:], len(least))
         self.anchor = least[self.first]
-        self.hash = phrase[self.anchor] >> U(16)
+        self.hash = mix(phrase[self.anchor] ^ BASE) >> U(16)
         self.run_doc = self.doc[self.first]
 
 

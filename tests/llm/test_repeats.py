@@ -115,3 +115,11 @@ def test_contexts_of_a_hot_anchor_part(spark, monkeypatch):
         assert key(got) == key(want) and sum(r[2] for r in want) > 10_000
         most.append(max((groups.count(a) for a in set(groups)), default=0))
     assert most[0] > 200 and most[1] <= 40
+
+
+@pytest.mark.parametrize("length, k", [(50, 20), (50, 8)])
+def test_anchors_are_dealt_evenly(length, k):
+    units = repeats.mix(np.random.default_rng(3).integers(1, 1 << 40, 200_000).astype(np.uint64))
+    hashes = np.unique(repeats.Runs(units, np.array([len(units)]), length, k).hash)
+    cuts, used = repeats.split_ranges(hashes, 48, 34)
+    assert len(used) == 34 and np.diff(cuts).max() < 1.5 * len(hashes) / 34
