@@ -12,8 +12,9 @@ documents that come first in a permutation of its documents, as many as fit the
 rest of the quota.  The permutation orders documents by a hash, and the place of
 the cut is found by digits of that hash: sums by digit, never an order of a whole
 source, so a source with any share of the rows is split over all tasks.  Copies
-are dealt to blocks that each hold the weights, by pass and hash; documents of a
-block are in the order of a second hash.
+are dealt to blocks that each hold the weights: a source's passes, the last one up
+to its cut, are one line by pass and hash, and each block gets an equal part of it;
+documents of a block are in the order of a second hash.
 
 Defined cases: a null text has no tokens; a null source is a source of its own;
 a source without tokens takes no part in the weights and keeps every document
@@ -34,6 +35,8 @@ from barsmith.llm.common import materialise
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: Digits of the permutation's hash (60 bits), bits of each, halvings by one job, jobs.
 DIGITS, BITS, HALVINGS, ROUNDS = 5, 12, 5, 6
+#: Blocks that each hold the weights.
+BLOCKS = 64
 
 
 def tokens(text: str) -> Column:
@@ -123,7 +126,10 @@ def cut_keys(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget: int | None = None,
          target_entropy: float | None = 0.95, max_repeats: float | None = 4.0, seed: str = "mix") -> DataFrame:
-    """(id, source, n_tokens, key, weight, copies) for every row; ``budget`` is in tokens (null: as many as there are)."""
+    """(id, source, n_tokens, key, weight, copies, span) for every row; ``budget`` is in tokens (null: as many as there are).
+
+    ``span`` is how many passes the source gets, the last one as the part of its keys before the cut.
+    """
     keyed = materialise(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                                     tokens(text_col).alias("n_tokens"), order_key(seed, source_col, id_col).alias("key")), "mix-keys")
     sources = materialise(shares(keyed), "mix-sources")
@@ -136,25 +142,38 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
             .select(F.col("source").alias("s"), "weight", "passes", "cut", "rest"))
     more = (F.col("rest") > 0) & (F.col("cut").isNull() | (F.col("key") < F.col("cut")))
     copies = F.when(F.col("weight").isNull(), F.lit(1)).otherwise(F.col("passes") + more.cast("long"))
+    last = F.when(F.col("rest") > 0, F.coalesce(F.col("cut") / F.lit(float(1 << (BITS * DIGITS))), F.lit(1.0))).otherwise(F.lit(0.0))
+    span = F.when(F.col("weight").isNull(), F.lit(1.0)).otherwise(F.col("passes").cast("double") + last)
     return (keyed.join(rule, F.col("source").eqNullSafe(F.col("s")), "left")
-            .select("id", "source", "n_tokens", "key", F.coalesce("weight", F.lit(0.0)).alias("weight"), copies.cast("long").alias("copies")))
+            .select("id", "source", "n_tokens", "key", F.coalesce("weight", F.lit(0.0)).alias("weight"), copies.cast("long").alias("copies"), span.alias("span")))
 
 
-def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_col: str = "source", blocks: int = 64) -> DataFrame:
-    """The rows of ``docs`` as often as planned, with ``mix_block`` and ``mix_order``.
+def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_col: str = "source", blocks: int = BLOCKS, pass_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` as often as planned, with ``mix_block`` and ``mix_order`` and, if named, the pass.
 
-    Rows are looked up by (id, source); each such pair has one plan.  The two
+    Rows are looked up by (id, source); each such pair has one plan.  The new
     columns take the place of columns of these names.
     """
-    docs = docs.drop("mix_block", "mix_order")
-    one = planned.groupBy("id", "source").agg(F.max("copies").alias("copies"), F.max("key").alias("key"))
-    one = one.where("copies > 0").select(F.col("id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("key").alias("_mix_key"))
+    docs = docs.drop("mix_block", "mix_order", *([pass_col] if pass_col else []))
+    one = planned.groupBy("id", "source").agg(*(F.max(c).alias(f"_mix_{c}") for c in ("copies", "key", "span")))
+    one = one.where("_mix_copies > 0").withColumnsRenamed({"id": "_mix_id", "source": "_mix_source"})
     got = docs.join(one, docs[id_col].eqNullSafe(F.col("_mix_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_mix_source")))
     each = got.withColumn("_mix_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_copies") - 1)))
-    place = (F.col("_mix_pass") + F.col("_mix_key") / F.lit(float(1 << (BITS * DIGITS)))) / F.col("_mix_copies")
-    return (each.withColumn("mix_block", F.least(F.floor(place * blocks), F.lit(blocks - 1)).cast("int"))
-            .withColumn("mix_order", F.xxhash64("_mix_key", "_mix_pass"))
-            .drop("_mix_id", "_mix_source", "_mix_copies", "_mix_key", "_mix_pass"))
+    place = (F.col("_mix_pass") + F.col("_mix_key") / F.lit(float(1 << (BITS * DIGITS)))) / F.col("_mix_span")
+    second = F.md5(F.concat_ws("|", F.col("_mix_key").cast("string"), F.col("_mix_pass").cast("string")))
+    out = (each.withColumn("mix_block", F.least(F.floor(place * blocks), F.lit(blocks - 1)).cast("int"))
+           .withColumn("mix_order", F.conv(F.substring(second, 1, 15), 16, 10).cast("long")))
+    if pass_col:
+        out = out.withColumn(pass_col, F.col("_mix_pass"))
+    return out.drop("_mix_id", "_mix_source", "_mix_copies", "_mix_key", "_mix_span", "_mix_pass")
+
+
+def in_order(mixed: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """Realised rows by block and order: partition after partition, each a stretch of the orders of one block."""
+    parts = -(-int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    stretch = F.floor(F.col("mix_order") / F.lit(float(1 << (BITS * DIGITS))) * parts)
+    place = (F.col("mix_block") * parts + F.least(stretch, F.lit(parts - 1))).cast("int")
+    return mixed.repartitionById(blocks * parts, place).sortWithinPartitions("mix_block", "mix_order")
 
 
 def oracle(target_entropy: float = 0.95, max_repeats: float = 4.0, seed: str = "mix") -> str:
@@ -178,3 +197,19 @@ def oracle(target_entropy: float = 0.95, max_repeats: float = 4.0, seed: str = "
 SELECT o.doc_id, o.source, o.n_tokens,
   CASE WHEN q.weight IS NULL THEN 1 ELSE q.quota // q.n_tokens + (CASE WHEN q.quota % q.n_tokens > 0 AND o.upto <= q.quota % q.n_tokens THEN 1 ELSE 0 END) END::BIGINT AS copies
 FROM o LEFT JOIN q ON o.source IS NOT DISTINCT FROM q.source""")
+
+
+def realised_oracle() -> str:
+    """DuckDB SQL for the realised rows of ``documents``: that of the plan, with its last part replaced."""
+    ctes = oracle().rpartition("\nSELECT o.doc_id")[0]
+    keys = f"{1 << (BITS * DIGITS)}.0::DOUBLE"
+    return ctes + f""",
+u AS (SELECT o.source, min(o.key) FILTER (o.upto > q.quota % q.n_tokens) AS cut FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source GROUP BY o.source),
+p AS (SELECT o.doc_id, o.source, o.key,
+  CASE WHEN q.weight IS NULL THEN 1 ELSE q.quota // q.n_tokens + (CASE WHEN q.quota % q.n_tokens > 0 AND o.upto <= q.quota % q.n_tokens THEN 1 ELSE 0 END) END::BIGINT AS copies,
+  CASE WHEN q.weight IS NULL THEN 1 ELSE (q.quota // q.n_tokens)::DOUBLE + (CASE WHEN q.quota % q.n_tokens > 0 THEN u.cut::DOUBLE / {keys} ELSE 0 END) END::DOUBLE AS span
+  FROM o LEFT JOIN q ON o.source IS NOT DISTINCT FROM q.source LEFT JOIN u ON o.source IS NOT DISTINCT FROM u.source),
+c AS (SELECT *, unnest(range(0, copies)) AS pass FROM p)
+SELECT doc_id, source, pass, least(floor((pass::DOUBLE + key::DOUBLE / {keys}) / span * {BLOCKS}), {BLOCKS - 1})::INTEGER AS mix_block,
+  ('0x' || substr(md5(concat_ws('|', key::VARCHAR, pass::VARCHAR)), 1, 15))::BIGINT AS mix_order
+FROM c"""

@@ -56,6 +56,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "source", "n_tokens", "copies")
 
 
+def op6_mixing_realised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of every document with its pass, its block, and its place in the order of the block."""
+    docs = read(spark, sf_dir, "documents")
+    got = mixing.realise(docs.select("doc_id", "source"), mixing.plan(docs), pass_col="pass")
+    return got.select("doc_id", "source", "pass", "mix_block", "mix_order")
+
+
 def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited text, and how alike they and the next document's are."""
     got = iblt.compare(iblt.versions(read(spark, sf_dir, "documents")))
@@ -124,3 +131,12 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.oracle(),
         "op8_phrase_dedup": PHRASE_SQL,
     }
+
+
+def more_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Further results of a numbered operator, registered beside it."""
+    return {"op6_mixing_realised": op6_mixing_realised}
+
+
+def more_sql() -> dict[str, str]:
+    return {"op6_mixing_realised": mixing.realised_oracle()}

@@ -43,9 +43,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the tempered weights of their sources ask for, with a budget of all tokens."""
+    """Documents as often as the tempered weights of their sources ask for, with a budget of all tokens; written by block and order."""
     docs = docs.select(*COLUMNS)
-    return mixing.realise(docs, mixing.plan(docs)).select(*COLUMNS)
+    return mixing.in_order(mixing.realise(docs, mixing.plan(docs))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,23 @@ def test_mixing_equals_its_sql_and_keeps_the_budget(spark):
     assert set(real.columns) == {"doc_id", "text", "source", "mix_block", "mix_order"}
 
 
+def test_each_block_holds_the_weights(spark):
+    """Of a source that is cut, of one taken more than once and of one between, every block has its share of tokens."""
+    rng = random.Random(10)
+    rows = [(i, " ".join("w" * rng.randint(20, 30)), "a" if i % 20 < 15 else "b" if i % 20 < 19 else "c") for i in range(12_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan(df)
+    weight = {r.source: r.weight for r in plan.select("source", "weight").distinct().collect()}
+    assert len({r.copies for r in plan.select("copies").distinct().collect()}) > 2
+    size = {i: len(t.split()) for i, t, _ in rows}
+    held = collections.defaultdict(collections.Counter)
+    for r in mixing.realise(df.drop("text"), plan, blocks=8, pass_col="pass").collect():
+        held[r.mix_block][r.source] += size[r.doc_id]
+    assert sorted(held) == list(range(8))
+    for by in held.values():
+        assert all(abs(by[s] / sum(by.values()) - w) < 0.04 for s, w in weight.items())
+
+
 def test_repetition_limit_wins(spark):
     sources = spark.createDataFrame([("a", 9900, 0.99), ("b", 100, 0.01)], "source string, n_tokens long, share double")
     alpha = mixing.bisect_alpha(sources, 1.0, 1.0, 5.0)

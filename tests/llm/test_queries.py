@@ -47,3 +47,18 @@ def test_operators_answer_for_every_document(spark):
         assert sorted(r.doc_id for r in queries.queries()[name](spark, SF_SMALL).collect()) == sorted(docs)
     got = {r.doc_id: r.decoded_sha256 for r in queries.op9_byte_bpe(spark, SF_SMALL).collect()}
     assert got == {i: hashlib.sha256(b).hexdigest() for i, b in docs.items()}
+
+
+def test_realised_rows_equal_their_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for name, query in queries.more_queries().items():
+        frame, sql = query(spark, SF_SMALL), queries.more_sql()[name]
+        assert compare(frame.toPandas(), con.execute(sql).df()) is None
+        assert type_diff(frame, con.sql(sql)) == []
+
+
+def test_mixed_documents_are_written_by_block_and_order(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = sorted((r.mix_block, r.mix_order, r.doc_id) for r in queries.op6_mixing_realised(spark, SF_SMALL).collect())
+    assert [r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SF_SMALL).collect()] == [r[2] for r in rows] and len({r[0] for r in rows}) > 32
