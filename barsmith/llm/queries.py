@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc
+from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc, whitening
 from barsmith.llm.common import fold, read
 
 
@@ -84,6 +84,15 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None,
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight whitened components of all vectors."""
+    vectors = read(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    got = whitening.whiten(vectors, model, k=8)
+    return got.select(F.col("id").alias("vec_id"), "component", F.lit(model.n).cast("long").alias("n"), F.col("deviation").cast("long").alias("deviation"),
+                      "whitened", "explained", F.lit(whitening.identity_error(vectors, model, k=8)).alias("identity_error"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -96,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_phrase_dedup": op8_phrase_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
+        "op11_whitening": op11_whitening,
     }
 
 
