@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, phrase_dedup, suffix_dedup, toxicity, warc, whitening
+from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, packing, phrase_dedup, suffix_dedup, toxicity, warc, whitening
 from barsmith.llm.common import fold, read
 
 
@@ -93,6 +93,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "whitened", "explained", F.lit(whitening.identity_error(vectors, model, k=8)).alias("identity_error"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, cut and packed into sequences of 4096."""
+    import public_tokenizers
+    got = packing.pack(packing.pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096), capacity=4096)
+    return got.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -106,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
         "op11_whitening": op11_whitening,
+        "op13_packing": op13_packing,
     }
 
 
