@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import bpe, collision_ann, iblt, lang_id, mixing, order_minhash, packing, phrase_dedup, suffix_dedup, toxicity, warc, whitening
+from barsmith.llm import bpe, collision_ann, conversation_repair, iblt, lang_id, mixing, order_minhash, packing, phrase_dedup, suffix_dedup, toxicity, warc, whitening
 from barsmith.llm.common import fold, read
 
 
@@ -93,6 +93,19 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "whitened", "explained", F.lit(whitening.identity_error(vectors, model, k=8)).alias("identity_error"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the repaired text of every conversation, damaged by the hash of its turns."""
+    chats = read(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(chats)
+    lists = conversation_repair.audits(rows)
+    hashes = conversation_repair.digests(conversation_repair.repaired(rows, lists))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    out = chats.select("conv_id").distinct().join(lists, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    return out.join(hashes, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *[zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, cut and packed into sequences of 4096."""
     import public_tokenizers
@@ -113,6 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_toxicity": op10_toxicity,
         "op11_whitening": op11_whitening,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_packing": op13_packing,
     }
 
