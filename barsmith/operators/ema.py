@@ -1,12 +1,11 @@
-"""Exponential moving averages and MACD on keyed series (block scan, §sequence)."""
+"""Exponential moving averages and MACD on keyed series (see ``sequence``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.operators.sequence import (Recurrence, ScanSpec, block_log2_for, ema_decay,
-                                         order_blocks, scan_pass)
+from barsmith.operators.sequence import DEFAULT_BUCKET, Frame, Recurrence, ScanSpec, ema_decay, scan
 from barsmith.schema import EMA_SPANS, SIGNAL_SPAN
 
 
@@ -15,20 +14,20 @@ def _order(time_col: str, tie: str | None) -> list[str]:
 
 
 def ema(df: DataFrame, col: str = "close", spans=(12, 16, 30), key: str = "symbol",
-        time_col: str = "datetime", tie: str | None = None, prefix: str = "ema_") -> DataFrame:
+        time_col: str = "datetime", tie: str | None = None, prefix: str = "ema_",
+        bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``{prefix}{N}`` = EMA of ``col`` for each span N.
 
     alpha = 2/(N+1); the first value seeds the average and the update is also
     applied to it, so the first EMA equals the first input (``ewm(span=N,
     adjust=False)``).  Rows with a null key, time or input are dropped first.
+    ``bucket`` is the time that a task holds of a series (see ``sequence``).
     """
     spans = list(spans)
     base = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull() & F.col(col).isNotNull())
     base = base.withColumn("_src", F.col(col).cast("double"))
     recs = [Recurrence(f"{prefix}{n}", "_src", ema_decay(n)) for n in spans]
-    lg = block_log2_for([r.decay for r in recs])
-    b = order_blocks(base, key, _order(time_col, tie), lg)
-    return scan_pass(b, key, lg, ScanSpec(recs)).drop("_mid", "_blk", "_k", "_src")
+    return scan(base, key, _order(time_col, tie), ScanSpec(recs), bucket).drop("_src")
 
 
 def signal_terms(spans: list[int], signal_span: int) -> tuple[list[Recurrence], object]:
@@ -76,14 +75,15 @@ def _one_pass_signal(spans: list[int], signal_span: int) -> bool:
 def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None = 200,
                signal_span: int = SIGNAL_SPAN, key: str = "symbol", time_col: str = "datetime",
                tie: str | None = None, levels: bool = True, left: int = 4, right: int = 2,
-               min_prior: int = 8, level_from: str = "current") -> DataFrame:
+               min_prior: int = 8, level_from: str = "current", bucket: str | int = DEFAULT_BUCKET,
+               frames: tuple[Frame, ...] = ()) -> DataFrame:
     """EMA of every span (+ the long span), MACD, signal and support/resistance.
 
-    One scan over one sort: the EMAs, the signal (as first-order terms, see
+    One scan over one exchange: the EMAs, the signal (as first-order terms, see
     ``signal_terms``), the row index and the high/low lags the pivot test
     needs.  Only when the signal's decay nearly equals a MACD decay does a
-    second pass run the signal recurrence on the MACD column; it reuses the
-    (symbol, block) layout.
+    second scan run the signal recurrence on the MACD column.  ``frames`` adds
+    time-range sums out of the same layout.
     """
     from barsmith.operators.levels import level_columns
 
@@ -97,24 +97,23 @@ def indicators(bars: DataFrame, spans=tuple(EMA_SPANS), long_span: int | None =
     sig = Recurrence("signal", "macd", ema_decay(signal_span))
     one_pass = _one_pass_signal(spans, signal_span)
     extra, sig_col = signal_terms(spans, signal_span) if one_pass else ([], None)
-    lg = block_log2_for([r.decay for r in recs] + [sig.decay])
     width = left + right + 1
     spec1 = ScanSpec(recs + extra, ["high", "low"] if levels else [], width - 1 if levels else 0,
-                     "_idx" if levels else None)
-    b = order_blocks(base, key, _order(time_col, tie), lg)
-    p1 = scan_pass(b, key, lg, spec1).withColumn("macd", F.col(short) - F.col(long_))
+                     "_idx" if levels else None, list(frames))
+    p1 = scan(base, key, _order(time_col, tie), spec1, bucket).withColumn("macd", F.col(short) - F.col(long_))
     if one_pass:
         p2 = p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0")
     else:
-        p2 = scan_pass(p1, key, lg, ScanSpec([sig]))
+        p2 = scan(p1, key, _order(time_col, tie), ScanSpec([sig]), bucket)
     if levels:
         p2 = p2.withColumns(level_columns(left, right, min_prior, level_from))
         p2 = p2.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_idx")
-    return p2.drop("_mid", "_blk", "_k", "_src")
+    return p2.drop("_src")
 
 
 def macd(df: DataFrame, col: str = "close", spans=tuple(EMA_SPANS), signal_span: int = SIGNAL_SPAN,
-         key: str = "symbol", time_col: str = "datetime", tie: str | None = None) -> DataFrame:
+         key: str = "symbol", time_col: str = "datetime", tie: str | None = None,
+         bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """EMA of each span, ``macd = ema_min - ema_max`` and ``signal`` = EMA(macd)."""
     spans = list(spans)
     base = df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull() & F.col(col).isNotNull())
@@ -123,10 +122,8 @@ def macd(df: DataFrame, col: str = "close", spans=tuple(EMA_SPANS), signal_span:
     sig = Recurrence("signal", "macd", ema_decay(signal_span))
     one_pass = _one_pass_signal(spans, signal_span)
     extra, sig_col = signal_terms(spans, signal_span) if one_pass else ([], None)
-    lg = block_log2_for([r.decay for r in recs] + [sig.decay])
-    b = order_blocks(base, key, _order(time_col, tie), lg)
-    p1 = scan_pass(b, key, lg, ScanSpec(recs + extra)).withColumn(
+    p1 = scan(base, key, _order(time_col, tie), ScanSpec(recs + extra), bucket).withColumn(
         "macd", F.col(f"ema_{min(spans)}") - F.col(f"ema_{max(spans)}"))
     if one_pass:
-        return p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0", "_mid", "_blk", "_k", "_src")
-    return scan_pass(p1, key, lg, ScanSpec([sig])).drop("_mid", "_blk", "_k", "_src")
+        return p1.withColumn("signal", sig_col()).drop("_e_sig", "_e_sig0", "_src")
+    return scan(p1, key, _order(time_col, tie), ScanSpec([sig]), bucket).drop("_src")

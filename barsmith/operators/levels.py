@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.operators.sequence import MAX_BLOCK_LOG2, ScanSpec, order_blocks, scan_pass
+from barsmith.operators.sequence import DEFAULT_BUCKET, ScanSpec, scan
 
 
 def _lag(c: str, k: int) -> Column:
@@ -53,49 +53,45 @@ def level_columns(left: int = 4, right: int = 2, min_prior: int = 8,
 
 def levels(bars: DataFrame, left: int = 4, right: int = 2, min_prior: int = 8,
            level_from: str = "current", key: str = "symbol", time_col: str = "datetime",
-           tie: str | None = None) -> DataFrame:
+           tie: str | None = None, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``support`` and ``resistance`` (0.0 = none) to bars."""
     width = left + right + 1
     base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
     base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    lg = MAX_BLOCK_LOG2          # no recurrence: any block size is safe
-    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), lg)
-    s = scan_pass(b, key, lg, ScanSpec([], ["high", "low"], width - 1, "_idx"))
+    s = scan(base, key, [time_col] + ([tie] if tie else []), ScanSpec([], ["high", "low"], width - 1, "_idx"), bucket)
     s = s.withColumns(level_columns(left, right, min_prior, level_from))
     return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)],
-                  "_idx", "_mid", "_blk", "_k")
+                  "_idx")
 
 
 def trailing_extremes(bars: DataFrame, width: int = 7, key: str = "symbol",
-                      time_col: str = "datetime", tie: str | None = None) -> DataFrame:
+                      time_col: str = "datetime", tie: str | None = None, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """Max high and min low over the trailing ``width`` bars (fewer at the start),
-    plus the row index; exact across block borders via the carried halo.  Rows
+    plus the row index; exact across bucket borders via the carried halo.  Rows
     without a symbol or a time are left out."""
     base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
     base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
-    s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))
+    s = scan(base, key, [time_col] + ([tie] if tie else []), ScanSpec([], ["high", "low"], width - 1, "rn"), bucket)
     hs = [_lag("high", k) for k in range(width)]
     ls = [_lag("low", k) for k in range(width)]
     s = s.withColumns({"max_high": F.greatest(*hs), "min_low": F.least(*ls)})
-    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk", "_k")
+    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)])
 
 
 def pivot_position(bars: DataFrame, width: int = 7, key: str = "symbol",
-                   time_col: str = "datetime", tie: str | None = None) -> DataFrame:
+                   time_col: str = "datetime", tie: str | None = None, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """0-based slice index of the first max high / first min low over the
     trailing ``width`` bars, for bars that have a full slice.  Rows without a
     symbol or a time are left out."""
     base = bars.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
     base = base.withColumn("high", F.col("high").cast("double")).withColumn(
         "low", F.col("low").cast("double"))
-    b = order_blocks(base, key, [time_col] + ([tie] if tie else []), MAX_BLOCK_LOG2)
-    s = scan_pass(b, key, MAX_BLOCK_LOG2, ScanSpec([], ["high", "low"], width - 1, "rn"))
+    s = scan(base, key, [time_col] + ([tie] if tie else []), ScanSpec([], ["high", "low"], width - 1, "rn"), bucket)
     s = s.where(F.col("rn") >= width - 1)
     hs = F.array(*[_lag("high", k) for k in range(width - 1, -1, -1)])   # oldest first
     ls = F.array(*[_lag("low", k) for k in range(width - 1, -1, -1)])
     s = s.withColumns({"max_pos": (F.array_position(hs, F.array_max(hs)) - 1).cast("int"),
                        "min_pos": (F.array_position(ls, F.array_min(ls)) - 1).cast("int")})
-    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)], "_mid", "_blk", "_k")
+    return s.drop(*[f"{c}_lag{k}" for c in ("high", "low") for k in range(1, width)])

@@ -2,11 +2,12 @@
 
 Two forms with equal results on bars that sit on the slide grid:
 
-* ``sma_windows`` (+ ``sma_join``): sliding windows ``[end - window, end)``
-  aggregated by (symbol, window) and equi-joined back on ``datetime =
-  window.end``.  Works unchanged on a stream (watermark + append).  Keyed by
-  (symbol, window), so a hot symbol spreads over many tasks; each bar feeds
-  ``window/slide`` windows, absorbed by partial aggregation.
+* ``sma_windows`` (+ ``sma_join``): sliding windows ``[end - window, end)``.
+  On a stream they are aggregated by (symbol, window) and equi-joined back on
+  ``datetime = window.end`` (watermark + append).  In a batch ``sma_join`` reads
+  them as time frames of the layout by (symbol, bucket) of ``sequence``: one
+  exchange of the bars and of the stretch before each bucket, no expansion, no
+  join.  Frames that hold very many bars are better served by ``sma_range``.
 * ``sma_range``: a time-range frame ``[t - window, t)`` for bars at any time.
   The window is cut into parts; a bar's mean is made of the sums of the whole
   parts before its own, its own part up to it, and what the oldest part holds
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.timefns import epoch_micros, interval_micros
+from barsmith.operators.sequence import DEFAULT_BUCKET, Frame, ScanSpec, running_sum, scan
 
 
 def _fixed(value: str, exact_decimals: int | None):
@@ -61,18 +63,21 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
              value: str = "close", out: str = "sma_20",
              exact_decimals: int | None = None,
              means_from: DataFrame | None = None,
-             window_col: str | None = None) -> DataFrame:
+             window_col: str | None = None, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """Each bar with the mean of the window that *ends* at it (bar excluded).
 
     ``how='inner'`` drops bars with no earlier bar inside the window and bars
     off the slide grid; ``'left'`` keeps them with a null mean.  On a stream,
     give ``bars`` one watermark first; both join sides inherit it.
+    ``bucket`` is the time that a task holds of a symbol in a batch.
     ``means_from`` computes the means from another frame holding the same
     bars (e.g. the raw bars when ``bars`` carries costly derived columns),
     so the aggregate side does not recompute them.  ``window_col`` assigns
     windows by another event-time column (e.g. ``event_time`` of a streamed
     resample, which carries the watermark to this second stateful step).
     """
+    if not bars.isStreaming and means_from is None and window_col is None:
+        return _frame_join(bars, window, slide, how, key, time_col, value, out, exact_decimals, bucket)
     src = means_from if means_from is not None else bars
     sma = sma_windows(src, window, slide, key, window_col or time_col, value, out, exact_decimals)
     sma = sma.select(F.col(key).alias("_s2"), F.col("window_end").alias("_wend"), out)
@@ -80,6 +85,29 @@ def sma_join(bars: DataFrame, window: str = "20 minutes", slide: str = "1 minute
     return bars.join(sma, cond, how).drop("_s2", "_wend")
 
 
+def mean_frame(df: DataFrame, window: str, value: str, exact_decimals: int | None) -> tuple[DataFrame, Frame]:
+    """``df`` with the values to average as ``_fx``, and the frame that adds them up (for ``sequence.scan``)."""
+    return df.withColumn("_fx", _fixed(value, exact_decimals)), Frame("_fm", "_fx", interval_micros(window))
+
+
+def frame_mean(df: DataFrame, window: str, slide: str, how: str, time_col: str, out: str, exact_decimals: int | None) -> DataFrame:
+    """The mean out of the sums of ``mean_frame``, for rows on the slide grid that have a bar in the window; others are
+    dropped (``inner``) or have none."""
+    on_grid = F.pmod(epoch_micros(time_col) - interval_micros(window), F.lit(interval_micros(slide))) == 0
+    has = on_grid & (F.col("_fm_count") > 0)
+    rows = df.where(has) if how == "inner" else df
+    return rows.withColumn(out, F.when(has, _mean(F.col("_fm_sum"), F.col("_fm_count"), exact_decimals))).drop("_fx", "_fm_sum", "_fm_count")
+
+
+def _frame_join(bars, window, slide, how, key, time_col, value, out, exact_decimals, bucket) -> DataFrame:
+    rows, frame = mean_frame(bars, window, value, exact_decimals)
+    got = frame_mean(scan(rows, key, [time_col], ScanSpec(frames=[frame]), bucket), window, slide, how, time_col, out, exact_decimals)
+    if how != "inner":
+        outside = bars.where(F.col(key).isNull() | F.col(time_col).isNull())
+        got = got.unionByName(outside, allowMissingColumns=True)
+    return got.select(*bars.columns, out)
+
+
 def _whole_parts(totals: DataFrame, key: str, parts: int, span: int = 64) -> DataFrame:
     """(key, _p, _s, _n): sum and count of the ``parts`` parts before each part.
 
@@ -129,7 +157,7 @@ def sma_range(bars: DataFrame, window: str = "20 minutes", how: str = "inner",
 
 def sma_range_scan(bars: DataFrame, window: str = "20 minutes", tie: tuple[str, ...] = (), how: str = "inner",
                    key: str = "symbol", time_col: str = "datetime", value: str = "close",
-                   out: str = "sma_20", exact_decimals: int | None = None) -> DataFrame:
+                   out: str = "sma_20", exact_decimals: int | None = None, bucket: str | int = "7 days") -> DataFrame:
     """Window sums as differences of exclusive prefix sums read at markers.
 
     ``tie`` names columns that, with (key, time), make a row unique.
@@ -137,14 +165,11 @@ def sma_range_scan(bars: DataFrame, window: str = "20 minutes", tie: tuple[str,
     Every bar adds two zero-valued markers, at ``t`` and at ``t - W``; a
     marker sorts before real rows of equal time, so the running sum of the
     real rows seen at a marker is the sum over times strictly before it.
-    The running sums come from the block scan (``sequence``) and reach over
+    The running sums come from the scan (``sequence``) and reach over
     the whole series: ``exact_decimals`` integers are exact while the series
     sums to less than 2^53, plain doubles lose about ``eps * prefix`` to
     cancellation.  ``sma_range`` has neither limit.
     """
-    from barsmith.operators.sequence import (MAX_BLOCK_LOG2, ScanSpec, order_blocks, running_sum,
-                                             scan_pass)
-
     W = interval_micros(window)
     ids = [key, time_col, *tie]
     base = bars.withColumn("_us", epoch_micros(time_col)).withColumn(
@@ -160,9 +185,8 @@ def sma_range_scan(bars: DataFrame, window: str = "20 minutes", tie: tuple[str,
              for m, shift in ((1, 0), (2, W))]
     allrows = real.unionByName(marks[0]).unionByName(marks[1]).where(F.col("_v").isNotNull())
     tie_order = ["_us", "_kind", "_m"] + [f"_id{i}" for i in range(len(ids))]
-    b = order_blocks(allrows, "_sk", tie_order, MAX_BLOCK_LOG2)
-    sc = scan_pass(b, "_sk", MAX_BLOCK_LOG2,
-                   ScanSpec([running_sum("_ps", "_v"), running_sum("_pc", "_c")]))
+    sc = scan(allrows, "_sk", tie_order, ScanSpec([running_sum("_ps", "_v"), running_sum("_pc", "_c")]),
+              bucket if isinstance(bucket, int) else interval_micros(bucket))
     at = sc.where(F.col("_kind") == 0)
     sign = F.when(F.col("_m") == 1, 1.0).otherwise(-1.0)
     win = at.groupBy(*[f"_id{i}" for i in range(len(ids))]).agg(

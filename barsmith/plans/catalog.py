@@ -35,6 +35,7 @@ LATEST_N = 100
 ALLOWED = ["click", "view", "no such symbol"]
 SYMBOL = "purchase"
 PRICE_DECIMALS = 2          # input prices are cents: means are exact
+ORDERS_BUCKET = "3650 days"  # a customer's orders: some rows in years
 # ----------------------------------------------------------------------------
 
 BAR_COLS = ["symbol", "datetime", "open", "high", "low", "close", "volume"]
@@ -153,7 +154,7 @@ def q_ema_multi(spark, sf):
 
 
 def q_ema_orders(spark, sf):
-    out = ema(tables.short_series(spark, sf), "close", [12, 30], tie="tick_id")
+    out = ema(tables.short_series(spark, sf), "close", [12, 30], tie="tick_id", bucket=ORDERS_BUCKET)
     # totals are ~1e5: keep ~9 significant digits
     return out.select("symbol", "tick_id", *[F.round(c, 3).alias(c) for c in ("ema_12", "ema_30")])
 

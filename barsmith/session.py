@@ -42,13 +42,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 _SHIPPED: set[str] = set()
+#: Local folders of sessions without a shared one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``barsmith`` importable in the Python workers (executors).
 
-    Operators that run Python in tasks (the carry fold, the live state
-    processor) are pickled by reference, so the workers must import this
+    Operators that run Python in tasks (the live state processor) are pickled by reference, so the workers must import this
     package.  Once per application it is zipped and added with
     ``addPyFile``, which distributes it to every executor; a cluster that
     installs the package anyway loses nothing.
@@ -81,13 +82,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     without the setting is an error, because its executors would not see it.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    local = bool(re.match(r"local(\[|$)", sc.master))
+    path = spark.conf.get("spark.checkpoint.dir", None) or (local and _LOCAL_DIRS.get(sc.applicationId)) or sc.getCheckpointDir()
     if not path:
-        if not re.match(r"local(\[|$)", sc.master):
+        if not local:
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="barsmith-ckpt-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
+        _LOCAL_DIRS[sc.applicationId] = path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.functions.timefns import open_interval
 from barsmith.operators.bars import latest_n_per_symbol
@@ -53,13 +54,24 @@ def write_serving(df: DataFrame, path: str, mode: str = "append") -> None:
     dated.sortWithinPartitions("symbol", "date", "datetime").write.mode(mode).partitionBy("symbol", "date").parquet(path)
 
 
+#: Types of the columns that are folder names; Spark would guess them from the names ("0700" a number).
+_FOLDER_TYPES = {"symbol": T.StringType(), "date": T.DateType(), "_epoch": T.LongType()}
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """A store of bars with its symbols as text, however they look."""
+    found = spark.read.parquet(path).schema
+    typed = T.StructType([T.StructField(f.name, _FOLDER_TYPES.get(f.name, f.dataType), f.nullable) for f in found.fields])
+    return spark.read.schema(typed).parquet(path)
+
+
 def scan(spark: SparkSession, path: str, symbol: str | None = None, as_of=None,
          days: float | None = None) -> DataFrame:
     """Serving-store scan: prunes to the directories of the symbol and the days,
     pushes the time bound.  ``as_of`` and ``days`` go together."""
     if (as_of is None) != (days is None):
         raise ValueError("as_of and days go together")
-    df = spark.read.parquet(path)
+    df = read_store(spark, path)
     if symbol is not None:
         df = df.where(F.col("symbol") == symbol)
     if as_of is not None:

@@ -19,6 +19,7 @@ from barsmith.plans.enriched import served_columns
 from barsmith.schema import BAR_SCHEMA, WIRE_FIELDS
 from barsmith.session import scratch_path
 from barsmith.sources import tables
+from barsmith.sources.files import read_store
 from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
 from barsmith.streaming.sinks import fan_out, parquet_batch_sink, run, start
 from barsmith.streaming.sources import bar_file_stream, heartbeat, wall_time, wire_file_stream
@@ -52,7 +53,7 @@ def _finish(spark: SparkSession, stream: DataFrame, name: str,
     out, ckpt = _sink(spark, name)
     run(start(stream, ckpt, out, partition_by=partition_by,
               query_name=name.replace("-", "_")))
-    return spark.read.parquet(out)
+    return read_store(spark, out)
 
 
 def q_stream_sma_windows(spark, sf):
@@ -111,7 +112,7 @@ def q_stream_sma_late(spark, sf):
                  .where(F.col("datetime") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")))
     stale.select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=2")
     run(query())
-    return wall_time(spark.read.parquet(out)).select("symbol", "datetime", "close", "sma_20")
+    return wall_time(read_store(spark, out)).select("symbol", "datetime", "close", "sma_20")
 
 
 def q_stream_fan_out(spark, sf):
@@ -125,7 +126,7 @@ def q_stream_fan_out(spark, sf):
     base = scratch_path(spark, "stream-fan-out")
     run(fan_out(j, [parquet_batch_sink(f"{base}/store"), parquet_batch_sink(f"{base}/copy")],
                 f"{base}/_checkpoint"))
-    store = spark.read.parquet(f"{base}/store").drop("_epoch")
+    store = read_store(spark, f"{base}/store").drop("_epoch")
     return wall_time(store).select("symbol", "datetime", "close", "sma_20")
 
 
@@ -179,7 +180,7 @@ def _live(spark, bars, name: str, init=None, to_wire: bool = False) -> DataFrame
 
 def q_stream_indicators(spark, sf):
     """Keyed live recursion over the whole bar stream (no warm state)."""
-    return _live_out(spark.read.parquet(_live(spark, tables.bars_1h(spark, sf), "stream-indicators")))
+    return _live_out(read_store(spark, _live(spark, tables.bars_1h(spark, sf), "stream-indicators")))
 
 
 def q_stream_warm_start(spark, sf):
@@ -188,7 +189,7 @@ def q_stream_warm_start(spark, sf):
     cut = F.lit(WARM_CUTOFF).cast("timestamp_ntz")
     warm = indicators(bars.where(F.col("datetime") < cut), levels=False)
     state = save_warm_state(warm_state(warm), scratch_path(spark, "warm-state"))
-    return _live_out(spark.read.parquet(_live(spark, bars.where(F.col("datetime") >= cut), "stream-warm", state)))
+    return _live_out(read_store(spark, _live(spark, bars.where(F.col("datetime") >= cut), "stream-warm", state)))
 
 
 def q_stream_live_enriched(spark, sf):
@@ -218,7 +219,7 @@ def q_stream_dedup(spark, sf):
     run(query())
     B.latest_n_per_symbol(bars, 5).select(*BAR_COLS).write.mode("overwrite").parquet(f"{base}/part=2")
     run(query())                       # restart: same checkpoint, new file only
-    return wall_time(spark.read.parquet(out)).select(*BAR_COLS)
+    return wall_time(read_store(spark, out)).select(*BAR_COLS)
 
 
 def catalog():

@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 from barsmith.operators.bars import latest_n_per_symbol
-from barsmith.operators.ema import ema, indicators
+from barsmith.plans import catalog
 from barsmith.sources import tables
 from barsmith.sources.files import scan, write_serving
 from conftest import SF_SMALL
@@ -14,23 +14,43 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_block_window_runs_on_the_checkpoint_layout_without_exchange(spark):
-    out = ema(tables.seq(spark, SF_SMALL), "close", [12, 200], tie="tick_id")
-    p = plan(out)
-    assert "Window" in p
-    # the ordered blocks are stored hash partitioned by (_k, _blk): nothing
-    # re-shuffles the rows on those keys
-    assert re.search(r"hashpartitioning\(_k#", p) is None
-    assert "rangepartitioning" not in p              # the sort ran once, before the checkpoint
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
 
 
-def test_indicators_are_one_pass(spark):
-    bars = tables.bars_1h(spark, SF_SMALL)
-    p = plan(indicators(bars))
-    # one block window on the rows, and the summary branch's window, which
-    # feeds both fold levels (same exchange, reused at run time); a second
-    # scan over the MACD column would double this
-    assert p.count("Window [") <= 3
+def own_exchanges(p: str, keys: str) -> list[str]:
+    return [line for line in p.splitlines() if re.search(rf"Exchange hashpartitioning\({keys}", line) and "Reused" not in line]
+
+
+def test_scan_plans_have_no_python_and_no_job_while_they_are_built(spark):
+    sc = spark.sparkContext
+    for name in ("ema_multi", "ema_orders", "macd", "levels", "trailing_extremes", "pivot_position", "sma_range_scan", "sma_window_join", "enriched_bars"):
+        sc.setJobGroup(f"build-{name}", name)
+        settings = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+        df = catalog.catalog()[name](spark, SF_SMALL)
+        jobs = sc.statusTracker().getJobIdsForGroup(f"build-{name}")
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs) <= 1, name      # Spark's own job that reads the schema of the file
+        assert settings == {k: spark.conf.get(k) for k in settings}
+        p = plan(df)
+        assert "MapInPandas" not in p and "ArrowEvalPython" not in p and "InMemoryTableScan" not in p, name
+        assert "rangepartitioning" not in p, name
+
+
+def test_rows_are_exchanged_once_and_events_are_read_once(spark):
+    for name in ("ema_multi", "macd", "enriched_bars"):
+        p = final_plan(catalog.catalog()[name](spark, SF_SMALL))
+        assert p.count("FileScan") == 1, name
+        assert "ReusedExchange" in p and "Expand" not in p, name
+        # the rows go once by (symbol, bucket); the summaries use the same exchange
+        assert len(own_exchanges(p, r"_k#\d+, _b#")) == 1, name
+
+
+def test_window_means_are_frames_of_one_layout(spark):
+    p = final_plan(catalog.catalog()["sma_window_join"](spark, SF_SMALL))
+    assert "Join" not in p and "Expand" not in p
+    assert p.count("FileScan") == 1 and len(own_exchanges(p, "_k#")) == 1
 
 
 def test_newest_n_is_a_group_limit_before_the_shuffle(spark):

@@ -244,3 +244,17 @@ def test_wall_times_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == {"A": dt.datetime(2024, 3, 10, 2, 30), "B": None}
+
+
+def test_symbols_that_look_like_numbers_stay_text(spark, tmp_path):
+    from barsmith.sources.files import list_symbols, read_store, scan, write_serving
+    from conftest import minute_bars
+    start = dt.datetime(2024, 1, 5, 10)
+    bars = minute_bars(spark, "0700", start, [5, 6, 7]).unionByName(minute_bars(spark, "0005", start, [8])).unionByName(minute_bars(spark, "2024-01-01", start, [9]))
+    write_serving(bars, str(tmp_path / "store"), mode="overwrite")
+    got = scan(spark, str(tmp_path / "store"))
+    assert dict(got.dtypes)["symbol"] == "string"
+    assert sorted(r.symbol for r in list_symbols(got).collect()) == ["0005", "0700", "2024-01-01"]
+    assert sorted(got.select(*bars.columns).collect()) == sorted(bars.collect())
+    assert scan(spark, str(tmp_path / "store"), "0700", dt.datetime(2024, 1, 6), 2).count() == 3
+    assert dict(read_store(spark, str(tmp_path / "store")).dtypes)["date"] == "date"

@@ -1,4 +1,4 @@
-"""Block scan: EMA, row index and lags equal the literal recursion at every border."""
+"""The scan: EMA, row index and lags equal the literal recursion at every border."""
 
 import numpy as np
 import pandas as pd
@@ -28,18 +28,22 @@ def series_df(spark, lengths, seed=7):
     return spark.createDataFrame(rows, "symbol string, t long, close double")
 
 
-@pytest.mark.parametrize("block_log2,seg_log2", [(3, 1), (0, 1), (12, 9)])
-def test_ema_matches_recursion_at_block_borders(spark, monkeypatch, block_log2, seg_log2):
+def small_tree(monkeypatch, fan_log2, span):
+    """Nodes of few children, and levels for a short time axis."""
+    monkeypatch.setattr(sq, "FAN_LOG2", fan_log2)
+    monkeypatch.setattr(sq, "_SPAN_INTEGERS", span)
+
+
+@pytest.mark.parametrize("bucket,block_log2,fan_log2,span", [(8, 1, 1, 64), (5, 0, 1, 40), (3, 3, 2, 1000), (1 << 20, 12, 8, 1 << 40), (16, 2, 8, 1 << 40)])
+def test_ema_matches_recursion_at_block_and_bucket_borders(spark, monkeypatch, bucket, block_log2, fan_log2, span):
     spans = [1, 2, 12, 200]
     recs = [sq.Recurrence(f"e{n}", "close", sq.ema_decay(n)) for n in spans]
-    block_log2 = min(block_log2, sq.block_log2_for([r.decay for r in recs]))
-    B = 1 << block_log2
-    lengths = [1, max(B - 1, 1), B, B + 1, 3 * B + 2]
-    monkeypatch.setattr(sq, "SEG_LOG2", seg_log2)
-    df = series_df(spark, lengths)
-    b = sq.order_blocks(df, "symbol", ["t"], block_log2)
-    out = sq.scan_pass(b, "symbol", block_log2, sq.ScanSpec(recs, ["close"], 3, "rn")).toPandas()
+    block_log2 = min(block_log2, sq.block_log2_for([r.decay for r in recs if r.decay > 0]))
+    small_tree(monkeypatch, fan_log2, span)
+    df = series_df(spark, [1, 7, 8, 9, 26, 41])
+    out = sq.scan(df, "symbol", ["t"], sq.ScanSpec(recs, ["close"], 3, "rn"), bucket, block_log2).toPandas()
     pdf = df.toPandas().sort_values(["symbol", "t"])
+    assert len(out) == len(pdf)
     for sym, g in pdf.groupby("symbol"):
         o = out[out.symbol == sym].sort_values("t")
         assert len(o) == len(g)
@@ -53,16 +57,35 @@ def test_ema_matches_recursion_at_block_borders(spark, monkeypatch, block_log2,
         np.testing.assert_array_equal(got[~np.isnan(lag3)], lag3[~np.isnan(lag3)])
 
 
-def test_ema_aggregate_summary_path_small_blocks(spark, monkeypatch):
-    """EMA without lags takes block summaries from a plain aggregate."""
-    monkeypatch.setattr(sq, "SEG_LOG2", 1)
-    df = series_df(spark, [1, 5, 17, 40])
-    recs = [sq.Recurrence("e9", "close", sq.ema_decay(9))]
-    b = sq.order_blocks(df, "symbol", ["t"], 2)
-    out = sq.scan_pass(b, "symbol", 2, sq.ScanSpec(recs)).toPandas()
+def test_gaps_negative_times_and_ties(spark, monkeypatch):
+    """Empty buckets between rows, times before the epoch, and rows of one time told apart by the tie column."""
+    small_tree(monkeypatch, 2, 1 << 12)
+    rng = np.random.default_rng(3)
+    times = sorted(rng.choice(np.arange(-3000, 3000), 60, replace=False).tolist() + [7] * 9)
+    rows = [("a", int(t), i, float(v)) for i, (t, v) in enumerate(zip(times, rng.normal(50, 5, len(times))))]
+    df = spark.createDataFrame(rows, "symbol string, t long, tie long, close double").repartition(5)
+    out = sq.scan(df, "symbol", ["t", "tie"], sq.ScanSpec([sq.Recurrence("e", "close", sq.ema_decay(9)), sq.running_sum("ps", "close")], ["close"], 4, "rn"), 10, 1)
+    got = out.orderBy("tie").toPandas()
+    x = np.array([r[3] for r in rows])
+    np.testing.assert_allclose(got.e, literal_ema(x, 9), rtol=1e-12)
+    np.testing.assert_allclose(got.ps, np.cumsum(x), rtol=1e-12)
+    assert list(got.rn) == list(range(len(x)))
+    np.testing.assert_array_equal(got.close_lag4.to_numpy()[4:], x[:-4])
+
+
+def test_frames_look_back_over_buckets(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"s{k}", int(t), float(v)) for k in range(3) for t, v in zip(rng.choice(200, 70, replace=False), rng.integers(1, 99, 70))]
+    df = spark.createDataFrame(rows, "symbol string, t long, close double")
+    out = sq.scan(df, "symbol", ["t"], sq.ScanSpec([sq.Recurrence("e", "close", sq.ema_decay(5))], ["close"], 2, "rn", [sq.Frame("m", "close", 25)]), 10, 1).toPandas()
+    assert len(out) == len(rows)
     for sym, g in df.toPandas().sort_values("t").groupby("symbol"):
         o = out[out.symbol == sym].sort_values("t")
-        np.testing.assert_allclose(o.e9.to_numpy(), literal_ema(g.close.to_numpy(), 9), rtol=1e-12)
+        np.testing.assert_allclose(o.e, literal_ema(g.close.to_numpy(), 5), rtol=1e-12)
+        assert list(o.rn) == list(range(len(g)))
+        want = [g.close[(g.t >= t - 25) & (g.t < t)] for t in g.t]
+        assert list(o.m_count) == [len(v) for v in want]
+        assert [0.0 if pd.isna(v) else v for v in o.m_sum] == [v.sum() for v in want]
 
 
 def test_ema_matches_pandas_ewm_and_first_value_seed(spark):
@@ -90,15 +113,13 @@ def test_macd_uses_min_and_max_span_and_signal_starts_at_zero(spark):
 
 def test_one_pass_signal_equals_two_pass(spark):
     """The partial-fraction signal equals a second scan over the MACD column."""
-    from barsmith.operators.sequence import Recurrence, ScanSpec, order_blocks, scan_pass
+    from barsmith.operators.sequence import Recurrence, ScanSpec, scan
     df = series_df(spark, [700, 33]).withColumnRenamed("t", "datetime")
     one = macd(df).select("symbol", "datetime", "signal").toPandas()
     base = df.withColumn("_src", F.col("close"))
-    b = order_blocks(base, "symbol", ["datetime"], 11)
-    p1 = scan_pass(b, "symbol", 11, ScanSpec([Recurrence(f"ema_{n}", "_src", sq.ema_decay(n))
-                                               for n in (12, 30)]))
+    p1 = scan(base, "symbol", ["datetime"], ScanSpec([Recurrence(f"ema_{n}", "_src", sq.ema_decay(n)) for n in (12, 30)]), 100)
     p1 = p1.withColumn("macd", F.col("ema_12") - F.col("ema_30"))
-    two = scan_pass(p1, "symbol", 11, ScanSpec([Recurrence("signal", "macd", sq.ema_decay(9))]))
+    two = scan(p1, "symbol", ["datetime"], ScanSpec([Recurrence("signal", "macd", sq.ema_decay(9))]), 100)
     two = two.select("symbol", "datetime", F.col("signal").alias("s2")).toPandas()
     m = one.merge(two, on=["symbol", "datetime"])
     assert len(m) == 733
@@ -125,9 +146,8 @@ def test_indicators_many_short_series(spark):
 
 def test_unsafe_block_size_is_refused(spark):
     df = series_df(spark, [3])
-    b = sq.order_blocks(df, "symbol", ["t"], 12)
     with pytest.raises(ValueError):
-        sq.scan_pass(b, "symbol", 12, sq.ScanSpec([sq.Recurrence("e", "close", sq.ema_decay(2))]))
+        sq.scan(df, "symbol", ["t"], sq.ScanSpec([sq.Recurrence("e", "close", sq.ema_decay(2))]), block_log2=12)
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -137,20 +157,15 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(lengths=st.lists(st.integers(1, 90), min_size=1, max_size=4),
        span=st.sampled_from([1, 2, 3, 9, 26, 200]),
-       block_log2=st.integers(0, 5), seg_log2=st.integers(1, 3),
+       block_log2=st.integers(0, 5), bucket=st.integers(1, 40), fan_log2=st.integers(1, 3),
        seed=st.integers(0, 10_000))
-def test_property_ema_equals_recursion(spark, lengths, span, block_log2, seg_log2, seed):
-    import barsmith.operators.sequence as seqmod
-    old = seqmod.SEG_LOG2
-    seqmod.SEG_LOG2 = seg_log2
-    try:
+def test_property_ema_equals_recursion(spark, lengths, span, block_log2, bucket, fan_log2, seed):
+    with pytest.MonkeyPatch.context() as patch:
+        small_tree(patch, fan_log2, 90)
         rec = sq.Recurrence("e", "close", sq.ema_decay(span))
         lg = min(block_log2, sq.block_log2_for([rec.decay]))
         df = series_df(spark, lengths, seed)
-        b = sq.order_blocks(df, "symbol", ["t"], lg)
-        out = sq.scan_pass(b, "symbol", lg, sq.ScanSpec([rec], ["close"], 2, "rn")).toPandas()
-    finally:
-        seqmod.SEG_LOG2 = old
+        out = sq.scan(df, "symbol", ["t"], sq.ScanSpec([rec], ["close"], 2, "rn"), bucket, lg).toPandas()
     for sym, g in df.toPandas().sort_values("t").groupby("symbol"):
         o = out[out.symbol == sym].sort_values("t")
         np.testing.assert_allclose(o.e, literal_ema(g.close.to_numpy(), span), rtol=1e-10)
@@ -181,8 +196,8 @@ def test_signal_falls_back_to_two_passes_when_decays_coincide(spark):
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(lengths=st.lists(st.integers(1, 60), min_size=1, max_size=3),
-       block_log2=st.integers(0, 3), seed=st.integers(0, 10_000))
-def test_property_pivots_equal_first_index_rule(spark, lengths, block_log2, seed):
+       bucket=st.integers(1, 30), seed=st.integers(0, 10_000))
+def test_property_pivots_equal_first_index_rule(spark, lengths, bucket, seed):
     from barsmith.operators.levels import level_columns
     rng = np.random.default_rng(seed)
     rows = []
@@ -190,8 +205,7 @@ def test_property_pivots_equal_first_index_rule(spark, lengths, block_log2, seed
         for i, h in enumerate(rng.integers(0, 5, n)):          # small range: many ties
             rows.append((f"s{k}", i, float(h), float(h - rng.integers(0, 3))))
     df = spark.createDataFrame(rows, "symbol string, t long, high double, low double")
-    b = sq.order_blocks(df, "symbol", ["t"], block_log2)
-    out = sq.scan_pass(b, "symbol", block_log2, sq.ScanSpec([], ["high", "low"], 6, "_idx"))
+    out = sq.scan(df, "symbol", ["t"], sq.ScanSpec([], ["high", "low"], 6, "_idx"), bucket)
     out = out.withColumns(level_columns()).toPandas()
     for sym, g in df.toPandas().sort_values("t").groupby("symbol"):
         o = out[out.symbol == sym].sort_values("t")
