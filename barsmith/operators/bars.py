@@ -93,6 +93,17 @@ def dedup_stream(bars: DataFrame, key: str = "symbol", time_col: str = "datetime
     return bars.dropDuplicatesWithinWatermark([key, time_col])
 
 
+def best_of_stream(bars: DataFrame, key: str = "symbol", time_col: str = "datetime",
+                   prefer: tuple[str, ...] = ("volume", "close", "high", "low", "open")) -> DataFrame:
+    """One bar per (symbol, datetime) of a stream watermarked on its time: the copy that ``dedup_bars`` keeps.
+
+    The time is a grouping column, so append mode holds a bar's best copy in state
+    until the watermark has passed it and then emits it once; copies that come later
+    are late rows.  ``dedup_stream`` emits at once, but keeps the first arrival.
+    """
+    return dedup_bars(bars, key, time_col, prefer)
+
+
 def indicator_state(enriched: DataFrame, cols: list[str], key: str = "symbol",
                     time_col: str = "datetime", tail: int = 0) -> DataFrame:
     """End-of-series snapshot per symbol: the newest value of each column.

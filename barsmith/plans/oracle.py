@@ -238,6 +238,11 @@ WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 SE
     q["stream_indicators"] = ind_lv + live
     q["stream_warm_start"] = ind_lv + live + f" WHERE datetime >= {WARM_CUTOFF}"
     q["stream_dedup"] = bars_only + "SELECT * FROM bars"
+    # of two copies the one with the larger volume stays
+    q["stream_dedup_best"] = bars_only + """SELECT * EXCLUDE rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, datetime ORDER BY volume DESC) AS rn
+  FROM (SELECT * FROM bars UNION ALL SELECT * REPLACE (close + 1 AS close, volume - 1 AS volume) FROM bars))
+WHERE rn = 1"""
     bars_1m = BARS.replace("bars AS (", "bars1m AS (").replace("date_trunc('hour', ts)",
                                                               "date_trunc('minute', ts)")
     hist = """hist AS (SELECT * FROM bars1m

@@ -8,7 +8,9 @@ run over the whole series.
 
 A recursion cannot be rewound, so bars wait in keyed state until the watermark
 has passed them and are then processed in time order, however the input was
-split into files and micro-batches.  The watermark's delay is the disorder that
+split into files and micro-batches.  They wait in buckets of time: an arrival
+rewrites its own bucket, a release reads the buckets that the watermark has
+reached, so the cost does not grow with all that waits.  The watermark's delay is the disorder that
 is tolerated, and bounds what waits.  Only bars behind the watermark are
 dropped, and Spark counts them (``dropped_by_watermark``).  Of several bars of
 one symbol and time, the one with the largest volume is used, then the largest
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from barsmith.functions.timefns import interval_micros
 from barsmith.operators.bars import indicator_state
 from barsmith.operators.sequence import ema_decay
 from barsmith.schema import EMA_SPANS, LONG_SPAN, MIN_PRIOR, PIVOT_LEFT, PIVOT_RIGHT, SIGNAL_SPAN
@@ -45,11 +48,17 @@ STATE_SCHEMA = T.StructType([
     T.StructField("tail_low", T.ArrayType(T.DoubleType())),
 ])
 
-#: A waiting bar: time in microseconds, then what decides between bars of one time, the most telling first.
+#: What decides between bars of one time, the most telling first.
+DECIDES = ("volume", "close", "high", "low", "open")
+BUCKET_SCHEMA = T.StructType([T.StructField("bucket", T.LongType())])
+#: The waiting bars of a bucket, column by column.
 WAITING_SCHEMA = T.StructType([
-    T.StructField("us", T.LongType()), T.StructField("volume", T.LongType()),
-    *[T.StructField(c, T.DoubleType()) for c in ("close", "high", "low", "open")],
+    T.StructField("us", T.ArrayType(T.LongType())), T.StructField("volume", T.ArrayType(T.LongType())),
+    *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in DECIDES[1:]],
 ])
+FIRST_SCHEMA = T.StructType([T.StructField("us", T.LongType())])
+#: Bars that are released at a time; one bucket at least.
+RELEASE_ROWS = 20_000
 TIMER_SCHEMA = T.StructType([T.StructField("ms", T.LongType())])
 
 
@@ -91,7 +100,8 @@ class IndicatorProcessor(StatefulProcessor):
     """EMA / MACD / signal / support-resistance, continued bar by bar."""
 
     def __init__(self, spans=tuple(EMA_SPANS), long_span=LONG_SPAN, signal_span=SIGNAL_SPAN,
-                 left=PIVOT_LEFT, right=PIVOT_RIGHT, min_prior=MIN_PRIOR):
+                 left=PIVOT_LEFT, right=PIVOT_RIGHT, min_prior=MIN_PRIOR, bucket: str = "1 day"):
+        self.bucket = interval_micros(bucket)
         self.macd_spans = list(spans)
         self.spans = list(spans) + ([long_span] if long_span else [])
         self.alpha = [1.0 - ema_decay(n) for n in self.spans]
@@ -104,7 +114,8 @@ class IndicatorProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("indicators", STATE_SCHEMA)
-        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+        self.waiting = handle.getMapState("waiting", BUCKET_SCHEMA, WAITING_SCHEMA)
+        self.first = handle.getMapState("first", BUCKET_SCHEMA, FIRST_SCHEMA)
         self.timer = handle.getValueState("timer", TIMER_SCHEMA)
 
     def _load(self):
@@ -130,25 +141,47 @@ class IndicatorProcessor(StatefulProcessor):
             if st is not None:
                 pdf, us = pdf[us > st[3]], us[us > st[3]]
             if len(us):
-                volume = pdf["volume"].fillna(0).astype("int64").tolist()
-                prices = [pdf[c].astype(float).tolist() for c in ("close", "high", "low", "open")]
-                self.waiting.appendList(list(zip(us.tolist(), volume, *prices)))
-                self._wake_at(int(us.min()))
+                volume = pdf["volume"].fillna(0).astype("int64")
+                cols = [us, volume.to_numpy(), *[pdf[c].astype(float).to_numpy() for c in DECIDES[1:]]]
+                bucket = us // self.bucket
+                for b in np.unique(bucket).tolist():
+                    self._wait(b, [c[bucket == b].tolist() for c in cols])
         return iter([])
 
+    def _wait(self, b: int, cols: list[list]) -> None:
+        """Add bars to a bucket."""
+        least = min(cols[0])
+        if self.first.containsKey((b,)):
+            least = min(least, self.first.getValue((b,))[0])
+            cols = [list(old) + new for old, new in zip(self.waiting.getValue((b,)), cols)]
+        self.waiting.updateValue((b,), tuple(cols))
+        self.first.updateValue((b,), (least,))
+        self._wake_at(least)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = int(timerValues.getCurrentWatermarkInMs()) * 1000
         self.timer.clear()
-        due, later = [], []
-        for row in self.waiting.get():
-            (due if row[0] <= passed else later).append(tuple(row))
-        if later:
-            self.waiting.put(later)
-            self._wake_at(min(r[0] for r in later))
-        else:
-            self.waiting.clear()
-        if not due:
-            return
+        first = sorted((row[0], b[0]) for b, row in self.first.iterator())
+        due: list[tuple] = []
+        for least, b in first:
+            if least > passed:
+                self._wake_at(least)
+                break
+            rows = list(zip(*self.waiting.getValue((b,))))
+            later = [r for r in rows if r[0] > passed]
+            self.waiting.removeKey((b,))
+            self.first.removeKey((b,))
+            if later:
+                self._wait(b, [list(c) for c in zip(*later)])
+            due += [r for r in rows if r[0] <= passed]
+            if len(due) >= RELEASE_ROWS:
+                yield self._release(key, due)
+                due = []
+        if due:
+            yield self._release(key, due)
+
+    def _release(self, key, due: list[tuple]) -> pd.DataFrame:
+        """The bars that are due, in time order, with their indicators; moves the state on."""
         lowest = float("-inf")
         best: dict[int, tuple] = {}
         for row in due:
@@ -176,7 +209,7 @@ class IndicatorProcessor(StatefulProcessor):
         for span, e in zip(self.spans, emas):
             out[f"ema_{span}"] = e
         out.update({"macd": macd, "signal": sig, "support": sup_lvl, "resistance": res_lvl})
-        yield pd.DataFrame(out)
+        return pd.DataFrame(out)
 
     def _pivots(self, v: np.ndarray, tail: list, n: int, pick):
         """Level (the bar's own value) where the first extreme of the trailing

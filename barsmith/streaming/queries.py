@@ -222,6 +222,30 @@ def q_stream_dedup(spark, sf):
     return wall_time(read_store(spark, out)).select(*BAR_COLS)
 
 
+def q_stream_dedup_best(spark, sf):
+    """Copies with differing content, an earlier fetch after the fuller one and
+    the other way round, over several files and a restart: the stream keeps the
+    copies that the batch keeps, up to the watermark."""
+    bars = tables.bars_1h(spark, sf).select(*BAR_COLS)
+    less = bars.withColumns({"volume": F.col("volume") - 1, "close": F.col("close") + 1})
+    early = F.pmod(F.xxhash64("symbol", "datetime"), F.lit(2)) == 0
+    base = scratch_path(spark, "best-src")
+    bars.where(early).unionByName(less.where(~early)).write.parquet(f"{base}/part=1")
+    out, ckpt = _sink(spark, "stream-dedup-best")
+
+    def query():
+        # the second fetch comes as late as the whole first one
+        s = bar_file_stream(spark, f"{base}/*", BAR_SCHEMA).withWatermark("datetime", DISORDER)
+        return start(B.best_of_stream(s), ckpt, out)
+
+    run(query())
+    bars.where(~early).unionByName(less.where(early)).write.parquet(f"{base}/part=2")
+    run(query())
+    heartbeat(spark, f"{base}/part=3", bars, DISORDER)
+    run(query())                       # the watermark passes all bars
+    return wall_time(read_store(spark, out)).where("symbol is not null").select(*BAR_COLS)
+
+
 def catalog():
     return {name[2:]: fn for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def _trigger(w, trigger):
@@ -56,6 +57,7 @@ def start(df: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "p
     """
     if not checkpoint:
         raise ValueError("a streaming query needs a checkpoint folder")
+    listen(df.sparkSession)
     with state_settings(df.sparkSession, state_partitions):
         w = df.writeStream.format(fmt).outputMode(output_mode).options(**(options or {}))
         w = w.option("checkpointLocation", checkpoint)
@@ -93,6 +95,7 @@ def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame, int], None]], checkp
         finally:
             batch.unpersist()
 
+    listen(df.sparkSession)
     with state_settings(df.sparkSession, state_partitions):
         w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
         return _trigger(w, trigger).start()
@@ -110,10 +113,10 @@ def parquet_batch_sink(path: str, partition_by: tuple[str, ...] = ("symbol",)):
 
 
 class Meter:
-    """Counts over all micro-batches of a query's run.
+    """Counts over the micro-batches of a query that was not started here.
 
-    ``recentProgress`` keeps the newest hundred only, so the meter reads it
-    again and again while the query runs and adds each batch once.
+    ``recentProgress`` keeps the newest hundred only, so the meter must be read
+    again and again while the query runs; it adds each batch once.
     """
 
     def __init__(self, query: StreamingQuery):
@@ -137,11 +140,73 @@ class Meter:
         return sum(late for _, late in self.batches.values())
 
 
+class Counts:
+    """Running counts of one run: closed batches, and the newest one, which may be reported again."""
+
+    def __init__(self):
+        self.closed_data = self.closed_late = 0
+        self.batch, self.rows, self.late = -1, 0, 0
+        self.ended = threading.Event()
+
+    def add(self, batch: int, rows: int, late: int) -> None:
+        if batch != self.batch:
+            self.closed_data, self.closed_late = self.with_data, self.dropped
+            self.batch, self.rows, self.late = batch, 0, 0
+        self.rows, self.late = max(self.rows, rows), max(self.late, late)
+
+    @property
+    def with_data(self) -> int:
+        return self.closed_data + (self.rows > 0)
+
+    @property
+    def dropped(self) -> int:
+        return self.closed_late + self.late
+
+
+class ProgressListener(StreamingQueryListener):
+    """Counts of every run of the session's queries, told by Spark batch by batch; nobody has to poll."""
+
+    def __init__(self):
+        self.runs: dict[str, Counts] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.runs.setdefault(str(event.runId), Counts())
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        self.runs.setdefault(str(p.runId), Counts()).add(int(p.batchId), int(p.numInputRows), late)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.runs.setdefault(str(event.runId), Counts()).ended.set()
+
+
+_LISTENERS: dict[str, ProgressListener] = {}
 _METERS: dict[str, Meter] = {}
 
 
-def meter(query: StreamingQuery) -> Meter:
-    """The meter of a query's run, read anew."""
+def listen(spark: SparkSession) -> ProgressListener:
+    """The session's progress listener; ``start`` and ``fan_out`` add it before their first query."""
+    app = spark.sparkContext.applicationId
+    if app not in _LISTENERS:
+        listener = ProgressListener()
+        spark.streams.addListener(listener)
+        _LISTENERS.clear()                 # of sessions that have ended
+        _LISTENERS[app] = listener
+    return _LISTENERS[app]
+
+
+def meter(query: StreamingQuery, timeout_s: float = 30) -> Counts | Meter:
+    """Counts of a query's run up to now; of an ended run, all of them."""
+    for listener in _LISTENERS.values():
+        counts = listener.runs.get(str(query.runId))
+        if counts is not None:
+            if not query.isActive:
+                counts.ended.wait(timeout_s)   # events come in order, the end last
+            return counts
     return _METERS.setdefault(str(query.runId), Meter(query)).read()
 
 
@@ -156,10 +221,9 @@ def run(query: StreamingQuery, timeout_s: float | None = None, poll_s: float = 0
     end = None if timeout_s is None else time.time() + timeout_s
     try:
         while not query.awaitTermination(poll_s) and (end is None or time.time() < end):
-            meter(query)
+            pass
     except StreamingQueryException as e:
         raise RuntimeError(str(e)) from e
-    meter(query)
     return _raise_failure(query)
 
 
@@ -173,7 +237,6 @@ def stop_after_batches(query: StreamingQuery, n_batches: int, poll_s: float = 0.
             break
         time.sleep(poll_s)
     query.stop()
-    meter(query)
     return _raise_failure(query)
 
 
