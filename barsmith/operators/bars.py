@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from barsmith.functions.timefns import floor_time, interval_micros
 
+#: Parts of a symbol that are cut on their own before its newest bars are taken.
+SALTS = 32
+
 
 def resample_ohlcv(ticks: DataFrame, interval: str = "1 minute", key: str = "symbol",
                    time_col: str = "datetime", price: str = "price",
@@ -110,21 +113,20 @@ def indicator_state(enriched: DataFrame, cols: list[str], key: str = "symbol",
 
     ``max_by`` is an ordinary aggregate (partial + final), so a hot symbol is
     reduced map-side.  With ``tail`` > 0, the newest ``tail`` (high, low) pairs
-    are kept too, oldest first, to seed a live level detector.
+    are kept too, oldest first, to seed a live level detector: each of ``SALTS``
+    parts of a symbol gives its newest ones, and their union is cut again.
     """
     order = F.col(time_col)
     aggs = [F.max_by(c, order).alias(c) for c in cols]
     aggs.append(F.max(time_col).alias("last_datetime"))
-    out = enriched.groupBy(key).agg(*aggs)
-    if tail > 0:
-        aggs.append(F.count(F.lit(1)).alias("n_bars"))
-        out = enriched.groupBy(key).agg(*aggs)
-        w = Window.partitionBy(key).orderBy(F.col(time_col).desc())
-        t = (enriched.select(key, time_col, "high", "low")
-                     .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= tail)
-                     .groupBy(key)
-                     .agg(F.sort_array(F.collect_list(F.struct(time_col, "high", "low"))).alias("_t")))
-        t = t.select(key, F.transform("_t", lambda s: F.struct(s["high"].alias("high"),
-                                                               s["low"].alias("low"))).alias("tail"))
-        out = out.join(t, key, "left")
-    return out
+    if tail <= 0:
+        return enriched.groupBy(key).agg(*aggs)
+    out = enriched.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("n_bars"))
+    part = F.pmod(F.xxhash64(time_col), F.lit(SALTS))
+    w = Window.partitionBy(key, "_part").orderBy(F.col(time_col).desc())
+    newest = (enriched.select(key, time_col, "high", "low").withColumn("_part", part)
+                      .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= tail))
+    t = newest.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(time_col, "high", "low"))).alias("_t"))
+    t = t.select(key, F.transform(F.expr(f"slice(_t, greatest(size(_t) - {tail - 1}, 1), {tail})"),
+                                  lambda s: F.struct(s["high"].alias("high"), s["low"].alias("low"))).alias("tail"))
+    return out.join(t, key, "left")

@@ -41,15 +41,28 @@ def macd_histogram(df: DataFrame) -> DataFrame:
 
 def level_options(df: DataFrame, level: str = "support", distinct: bool = False) -> DataFrame:
     """(symbol, option, rank): 'none' first, then the non-zero levels ascending
-    (repeats kept unless ``distinct``); ``rank`` is the place in a symbol's list,
-    from 0.  Meant for a scan of a few days, as the lists of a chart are."""
-    v = df.select("symbol", F.col(level).cast("double").alias("_v")).where(F.col("_v") != 0)
-    if distinct:
-        v = v.distinct()
-    none = df.select("symbol").distinct().withColumn("_v", F.lit(None).cast("double"))
-    place = Window.partitionBy("symbol").orderBy(F.col("_v").asc_nulls_first())
-    option = F.coalesce(F.col("_v").cast("string"), F.lit(NONE_OPTION))
-    return none.unionByName(v).select("symbol", option.alias("option"), (F.row_number().over(place) - 1).alias("rank"))
+    (repeats kept unless ``distinct``); ``rank`` is the place in a symbol's list, from 0.
+
+    Ranks are counted, not sorted: equal levels are one row with their number, levels
+    of one whole unit of price are ranked among themselves, and a symbol's units, an
+    array of counts, say how many come before.  So no task holds a symbol's levels.
+    """
+    v = F.col(level).cast("double")
+    held = df.groupBy("symbol", F.when(v != 0, v).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    held = held.withColumns({"_n": F.lit(1).cast("long") if distinct else F.col("_n"), "_unit": F.floor("_v")})
+    units = held.groupBy("symbol", "_unit").agg(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("n"))
+    lists = units.groupBy("symbol").agg(F.expr("sort_array(collect_list(struct(_unit AS u, n)))").alias("_units"))
+    # before each unit: 'none', and the levels of smaller units
+    before = F.expr("""aggregate(_units, named_struct('at', 1L, 'out', cast(array() as array<struct<u: bigint, at: bigint>>)),
+      (acc, x) -> named_struct('at', acc.at + x.n, 'out', concat(acc.out, array(named_struct('u', x.u, 'at', acc.at)))), acc -> acc.out)""")
+    starts = lists.select("symbol", F.explode(before).alias("e")).select(F.col("symbol").alias("_s"), "e.u", "e.at")
+    within = Window.partitionBy("symbol", "_unit").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = held.withColumn("_less", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    # an outer join leaves both branches over ``held`` alike, so that it is computed once; rows without a level find no unit
+    placed = placed.join(starts, (F.col("symbol") == F.col("_s")) & (F.col("_unit") == F.col("u")), "left")
+    ranks = F.explode(F.transform(F.sequence(F.col("at") + F.col("_less"), F.col("at") + F.col("_less") + F.col("_n") - 1), lambda r: r.cast("int")))
+    ranked = placed.select("symbol", F.col("_v").cast("string").alias("option"), ranks.alias("rank"))
+    return lists.select("symbol", F.lit(NONE_OPTION).alias("option"), F.lit(0).alias("rank")).unionByName(ranked)
 
 
 def level_feed(df: DataFrame, level: str = "support") -> DataFrame:

@@ -228,6 +228,7 @@ WHERE isodow(datetime) <= 5 AND hour(datetime) * 60 + minute(datetime) >= 570
     q["stream_sma_raw"] = _with(BARS, sma_cte("bars")) + """SELECT symbol, datetime, close,
   sma_20 FROM sm
 WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 SECOND"""
+    q["stream_sma_panes"] = q["stream_sma_raw"]
     q["stream_enriched"] = _with(ENRICHED) + f"""SELECT * FROM enriched WHERE datetime <= {_wm()}"""
     q["stream_live_enriched"] = q["stream_enriched"]
     live = """SELECT symbol, datetime, round(ema_12, 6) AS ema_12, round(ema_16, 6) AS ema_16,

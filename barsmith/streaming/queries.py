@@ -21,6 +21,7 @@ from barsmith.session import scratch_path
 from barsmith.sources import tables
 from barsmith.sources.files import read_store
 from barsmith.streaming.live import live_indicators, save_warm_state, warm_state
+from barsmith.streaming.panes import sma_panes
 from barsmith.streaming.sinks import fan_out, parquet_batch_sink, run, start
 from barsmith.streaming.sources import bar_file_stream, heartbeat, wall_time, wire_file_stream
 
@@ -75,10 +76,8 @@ def q_stream_sma(spark, sf):
     return wall_time(res).select("symbol", "datetime", "close", "sma_20")
 
 
-def q_stream_sma_raw(spark, sf):
-    """From raw ticks: stream ``events`` itself, resample to hourly bars with a
-    tumbling event-time window, then the SMA join -- two chained stateful
-    steps under one watermark.  A bar is final once its hour has closed."""
+def _raw_bars(spark, sf):
+    """Stream ``events`` itself, resampled to hourly bars with a tumbling event-time window; a bar is final once its hour has closed."""
     from barsmith.operators.bars import resample_stream
     ev = tables.table(spark, sf, "events")
     raw = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
@@ -87,12 +86,24 @@ def q_stream_sma_raw(spark, sf):
                       & F.col("value").isNotNull()).select(
         F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("datetime"),
         F.col("event_id").alias("tick_id"), F.col("value").alias("price"))
-    bars = resample_stream(ticks.withWatermark("datetime", WATERMARK), "1 hour")
-    j = sma_join(bars, WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS, window_col="event_time")
+    return resample_stream(ticks.withWatermark("datetime", WATERMARK), "1 hour")
+
+
+def q_stream_sma_raw(spark, sf):
+    """From raw ticks: hourly bars, then the SMA join -- two chained stateful
+    steps under one watermark."""
+    j = sma_join(_raw_bars(spark, sf), WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS, window_col="event_time")
     res = _finish(spark, j.select("symbol", "datetime", "close", "sma_20"), "stream-sma-raw")
     return wall_time(res).select("symbol", "datetime", "close", "sma_20")
 
 
+def q_stream_sma_panes(spark, sf):
+    """From raw ticks: hourly bars, then their means out of pane sums."""
+    j = sma_panes(_raw_bars(spark, sf), WINDOW, SLIDE, exact_decimals=PRICE_DECIMALS)
+    res = _finish(spark, j.select("symbol", "datetime", "close", "sma_20"), "stream-sma-panes")
+    return wall_time(res).select("symbol", "datetime", "close", "sma_20")
+
+
 def q_stream_sma_late(spark, sf):
     """After the first run, a file of stale bars (older than the watermark,
     with absurd prices) arrives and the query restarts from its checkpoint:

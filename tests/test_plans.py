@@ -3,6 +3,8 @@
 import datetime as dt
 import re
 
+from pyspark.sql import functions as F
+
 from barsmith.operators.bars import latest_n_per_symbol
 from barsmith.plans import catalog
 from barsmith.sources import tables
@@ -72,3 +74,31 @@ def test_store_scan_prunes_symbol_partitions_and_pushes_time(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(symbol" in p and "(symbol#" in p
     assert "PushedFilters: [IsNotNull(datetime), GreaterThan(datetime" in p
     assert df.select("symbol").distinct().count() == 1
+
+
+def test_ranks_and_newest_bars_hold_no_symbol_in_one_window(spark):
+    from barsmith.operators.bars import indicator_state
+    from barsmith.operators.serving import level_options
+    bars = tables.bars_1h(spark, SF_SMALL).withColumn("support", F.round("low", 0))
+    for df in (level_options(bars), indicator_state(bars, ["close"], tail=6)):
+        windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan(df))
+        assert windows and all("," in keys for keys in windows)
+
+
+def test_ranks_are_places_in_the_sorted_list(spark):
+    from barsmith.operators.serving import level_options
+    rows = [("a", v) for v in (3.5, 0.0, 3.25, 3.5, -2.0, 100.0, None, 3.5)] + [("b", 0.0), ("c", 7.0)]
+    df = spark.createDataFrame(rows, "symbol string, support double")
+    for distinct in (False, True):
+        got = sorted((r.symbol, r["rank"], r.option) for r in level_options(df, "support", distinct).collect())
+        want = []
+        for s in "abc":
+            vals = sorted(v for k, v in rows if k == s and v)
+            want += [(s, i, o) for i, o in enumerate(["none", *map(str, sorted(set(vals)) if distinct else vals)])]
+        assert got == want
+
+
+def test_ranks_read_their_input_once(spark):
+    from barsmith.operators.serving import level_options
+    bars = tables.bars_1h(spark, SF_SMALL).withColumn("support", F.round("low", 0))
+    assert final_plan(level_options(bars)).count("FileScan") == 1

@@ -295,3 +295,26 @@ def test_a_stream_keeps_the_copies_that_a_batch_keeps(spark, tmp_path):
     run(start(best_of_stream(s), str(tmp_path / "ck"), str(tmp_path / "out"), state_partitions=2))
     got = wall_time(read_store(spark, str(tmp_path / "out"))).select(*a.columns)
     assert sorted(got.collect()) == sorted(dedup_bars(a.unionByName(b)).select(*a.columns).collect())
+
+
+def test_pane_means_equal_the_window_join(spark, tmp_path):
+    """Files in order with gaps, repeats, a null close and bars off the grid; stripes shorter than the series."""
+    from barsmith.streaming.panes import sma_panes
+    a = rand_bars(spark, "A", 70, 1)
+    gap = rand_bars(spark, "B", 90, 2).where(F.minute("datetime") % 7 != 3)
+    odd = minute_bars(spark, "C", T0 + dt.timedelta(seconds=20), [float(i) for i in range(40)])
+    more = minute_bars(spark, "C", T0, [float(i) for i in range(60)])
+    bars = a.unionByName(gap).unionByName(odd).unionByName(more).unionByName(more.limit(3))
+    bars = bars.withColumn("close", F.when((F.col("symbol") == "A") & (F.minute("datetime") == 41), None).otherwise(F.col("close")))
+    src = str(tmp_path / "src")
+    for k in range(4):
+        lo, hi = T0 + dt.timedelta(minutes=25 * k), T0 + dt.timedelta(minutes=25 * (k + 1))
+        bars.where((F.col("datetime") >= F.lit(lo)) & (F.col("datetime") < F.lit(hi))).coalesce(1).write.parquet(f"{src}/p{k}")
+    heartbeat(spark, f"{src}/p9", bars, "2 seconds")
+    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, 1).withWatermark("datetime", "2 seconds")
+    q = run(start(sma_panes(s, "20 minutes", "1 minute", stripe="25 minutes"), str(tmp_path / "ck"), str(tmp_path / "out"), state_partitions=4))
+    got = wall_time(read_store(spark, str(tmp_path / "out"))).select(*COLS, "sma_20").orderBy(*COLS[:2], "close").toPandas()
+    end = bars.agg(F.max("datetime")).first()[0]
+    want = sma_join(bars, "20 minutes", "1 minute").where(F.col("datetime") <= F.lit(end)).select(*COLS, "sma_20").orderBy(*COLS[:2], "close").toPandas()
+    pd.testing.assert_frame_equal(got, want, rtol=1e-12, check_dtype=False)
+    assert dropped_by_watermark(q) == 0
