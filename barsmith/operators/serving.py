@@ -62,7 +62,9 @@ def level_options(df: DataFrame, level: str = "support", distinct: bool = False)
     placed = placed.join(starts, (F.col("symbol") == F.col("_s")) & (F.col("_unit") == F.col("u")), "left")
     ranks = F.explode(F.transform(F.sequence(F.col("at") + F.col("_less"), F.col("at") + F.col("_less") + F.col("_n") - 1), lambda r: r.cast("int")))
     ranked = placed.select("symbol", F.col("_v").cast("string").alias("option"), ranks.alias("rank"))
-    return lists.select("symbol", F.lit(NONE_OPTION).alias("option"), F.lit(0).alias("rank")).unionByName(ranked)
+    # a list is never empty: rank 0, of the same lists as above
+    first = F.least(F.size("_units"), F.lit(0)).alias("rank")
+    return lists.select("symbol", F.lit(NONE_OPTION).alias("option"), first).unionByName(ranked)
 
 
 def level_feed(df: DataFrame, level: str = "support") -> DataFrame:
