@@ -23,7 +23,7 @@ blocks that need them.
 
 Defined cases: texts without words (null, empty, blank) are linked to nothing;
 rows with a null id are left out; an id that occurs twice is one document with
-its first text in binary order; an empty table gives an empty result.
+that of its texts whose digest is least; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -180,6 +180,12 @@ def similarity(a: list[int], b: list[int], least: float = SIMILARITY) -> float:
     return common / (n + m - common)
 
 
+def digests(words: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """128-bit digests of the words of some texts."""
+    ends = np.cumsum(sizes)
+    return [xxhash.xxh128_digest(words[ends[i] - sizes[i]:ends[i]].tobytes()) for i in at]
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS) -> DataFrame:
     """(id, digest, n, keys) of the texts that have words."""
 
@@ -190,11 +196,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS) -> D
                 flat, sizes = words.flat(part.column("text").to_pylist())
                 h, counts = kmers(flat, sizes)
                 full = np.flatnonzero(counts)
-                ends = np.cumsum(sizes)
-                digests = [xxhash.xxh128_digest(flat[ends[i] - sizes[i]:ends[i]].tobytes()) for i in full]
                 keys = sketches(h, counts, bands).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(full)), pa.array(digests, pa.binary()), pa.array(sizes[full], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
+                    [part.column("id").take(pa.array(full)), pa.array(digests(flat, sizes, full), pa.binary()), pa.array(sizes[full], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
                     names=["id", "digest", "n", "keys"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null").mapInArrow(
@@ -202,21 +206,23 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS) -> D
 
 
 def sequences(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """(id, seq): the k-mers, 32 bits each, of the documents in ``wanted``."""
+    """(id, seq): the k-mers, 32 bits each, of the documents in ``wanted``; of an id's texts the one that is sketched."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             for part in slices(batch, "text"):
-                h, counts = kmers(*words.flat(part.column("text").to_pylist()))
+                flat, sizes = words.flat(part.column("text").to_pylist())
+                h, counts = kmers(flat, sizes)
                 small = (h >> U(32)).astype(np.uint32)
-                ends = np.cumsum(counts)
+                ends, full = np.cumsum(counts), np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([small[e - c:e].tobytes() for e, c in zip(ends, counts)], pa.binary())], names=["id", "seq"])
+                    [part.column("id").take(pa.array(full)), pa.array(digests(flat, sizes, full), pa.binary()),
+                     pa.array([small[ends[i] - counts[i]:ends[i]].tobytes() for i in full], pa.binary())], names=["id", "digest", "seq"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return (texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(run, "id long, seq binary")
-            .groupBy("id").agg(F.min("seq").alias("seq")))
+    return (texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(run, "id long, digest binary, seq binary")
+            .groupBy("id").agg(F.min_by("seq", "digest").alias("seq")))
 
 
 def verify(pairs: DataFrame, seqs: DataFrame, least: float = SIMILARITY) -> DataFrame:

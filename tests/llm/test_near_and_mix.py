@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsmith.llm import iblt, mixing, order_minhash
-from llm_rows import docs, docs_rows, no_docs  # noqa: F401  fixtures
+from llm_rows import docs, docs_rows, no_docs, prose  # noqa: F401  fixtures
 
 
 def in_order(a, b):
@@ -101,6 +101,19 @@ def mixed_rows():
     return rows + [(1000, "a b c", None), (1001, "", "empty"), (1001, "", "empty"), (None, "a b", "s1"), rows[5]]
 
 
+def test_an_id_with_two_texts_is_one_of_them(spark):
+    """Copies, near copies and an id that holds both texts: no link of either text is mixed with the other's, and 3 and 5 stay linked."""
+    rng = random.Random(12)
+    a, b = ("aa " + prose(rng, 200), "zz " + prose(rng, 200))
+    near = b.split()
+    near[100] = "changed"
+    for first in ((1, a), (1, b)):
+        rows = [first, (1, b if first[1] == a else a), (2, a), (3, b), (5, " ".join(near))]
+        got = {r.id: r.class_id for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[3] == got[5] != got[2]
+        assert got[1] in (got[2], got[3])
+
+
 def test_mixing_equals_its_sql_and_keeps_the_budget(spark):
     rows = mixed_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -161,6 +174,35 @@ def jaccard(a, b):
     return sum((a & b).values()) / u if u else 1.0
 
 
+def peeled(text):
+    """The digests that a fingerprint holds, read back from its text (for few paragraphs)."""
+    n, cells = text.split(":")
+    cells = [[int(x, 16) for x in c.split(".")] if c else [0, 0, 0] for c in cells.split(",")]
+    assert len(cells) == 24 and sum(c[0] for c in cells) == 3 * int(n)
+    found = set()
+    while any(c[0] == 1 for c in cells):
+        k, check = next((c[1], c[2]) for c in cells if c[0] == 1)
+        found.add(k)
+        held = [c for c in cells if c[0] and (c[0] > 1 or c[1] == k)]
+        for row in range(3):
+            at = [c for c in held if c in cells[8 * row:8 * row + 8] and c[0] == 1 and c[1] == k]
+            for c in at:
+                c[:] = [0, 0, 0]
+    return found
+
+
+def test_sketches_of_many_paragraphs_are_linear(spark):
+    """20,000 paragraphs against 20,000 others, of which half are the same."""
+    import time
+    rng = random.Random(9)
+    a = [rng.getrandbits(63) for _ in range(20_000)]
+    b = a[:10_000] + [rng.getrandbits(63) for _ in range(10_000)]
+    df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
+    start = time.time()
+    assert df.select(iblt.likeness("a", "b")).first()[0] == 10_000 / 30_000
+    assert time.time() - start < 60
+
+
 @pytest.mark.parametrize("stretch", [2, 2048])
 def test_fingerprints_equal_brute_force(spark, monkeypatch, stretch):
     monkeypatch.setattr(iblt, "STRETCH", stretch)
@@ -179,6 +221,7 @@ def test_fingerprints_equal_brute_force(spark, monkeypatch, stretch):
         want.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), jaccard(t, e), jaccard(t, n)))
     assert [(r[0], r[1], r[2], round(r[5], 9), round(r[6], 9)) for r in got] == [(*w[:3], round(w[3], 9), round(w[4], 9)) for w in sorted(want, key=repr)]
     prints = {r[0]: (r[3], r[4]) for r in got}
+    assert peeled(prints[3001][0]) == set() and len(peeled(prints[3002][0])) == 1
     assert prints[3000][0] == prints[3001][0] and len({r[3] for r in got}) == len({t for _, t in order})
 
 
