@@ -10,12 +10,13 @@ Two sketches are subtracted cell by cell, so common paragraphs vanish, and what
 is left is peeled: a cell with one digest whose check agrees gives that digest
 away, which is taken out of its other cells, until all cells are empty.  Then the
 digests found are exactly the difference.  Where cells remain, both sketches are
-made anew, larger and with other hashes: a strip for four digests, then four times
-as many strips each time, until one peels.
+made anew, larger and with other hashes: a strip for four digests; the digests of the
+strips that do not peel then get a strip each, and again, until all have peeled.
 
-The fingerprint of a text is its sketch of one strip.  The likeness of two
-fingerprints is the number of common paragraphs by that of all, which follows from
-the counts and the recovered difference.
+The fingerprint of a text is its sketch of one strip, all cells in full.  The likeness
+of two texts is the number of common paragraphs by that of all, which follows from the
+counts and the recovered difference: that of the fingerprints where it peels, else
+that of the larger sketches, which are made from the digests.
 
 Defined cases: a null text is empty and has no paragraphs; two empty texts have
 the likeness 1, an empty and another one 0; documents follow each other by id,
@@ -32,7 +33,7 @@ from barsmith.llm.common import materialise
 
 PARAGRAPH = r"[^\n]{160,}?[.!?](?=\s|$)|[^\n]+"
 ROWS, WIDTH, ROUNDS = 3, 8, 12
-#: Sizes tried; the last ones have far more strips than there are digests.
+#: Turns tried.
 TURNS = 8
 #: Documents in a stretch of the order of ids, and quantiles that place the stretches.
 STRETCH, CELLS = 2_048, 64
@@ -50,18 +51,28 @@ def digests_sql(text: str) -> str:
                 "transform(ps, (h, i) -> xxhash64(h, i + 1 - array_position(ps, h)))")
 
 
-def _cell(h: str, row: str) -> str:
-    """Cell of a digest in a row, from the digest's hash in a turn; every turn hashes anew."""
-    return f"(shiftright({h}, 3 * {row}) & {WIDTH - 1})"
+#: A bit for each cell of a strip; a digest's cells are a mask.
+BITS = "array(" + ", ".join(str(1 << at) for at in range(ROWS * WIDTH)) + ")"
+
+
+def _mask(h: str) -> str:
+    """The three cells of a digest, from its hash in a turn; every turn hashes anew."""
+    return " | ".join(f"shiftleft(1, {WIDTH * row} + cast(shiftright({h}, {3 * row}) & {WIDTH - 1} AS int))" for row in range(ROWS))
 
 
 def sketch_sql(keys: str, strips: str, turn: str) -> str:
-    """Array of strips, each an array of ROWS * WIDTH cells (n, x, c)."""
-    hashed = f"transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k, {turn}), 'c', xxhash64(k, 'check')))"
-    cell = (f"aggregate(filter(own, e -> {_cell('e.h', f'(at div {WIDTH})')} = at % {WIDTH}), "
+    """Array of strips, each an array of ROWS * WIDTH cells (n, x, c).
+
+    Digests go to their strips by way of about as many groups of strips as a group
+    has, so that no digest is looked at for every strip.
+    """
+    hashed = f"transform(transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k, {turn}))), e -> named_struct('k', e.k, 'c', xxhash64(e.k, 'check'), 'm', {_mask('e.h')}, 's', cast(pmod(shiftright(e.h, 20), {strips}) AS int)))"
+    cell = ("aggregate(filter(own, e -> (e.m & bit) <> 0), "
             "named_struct('n', 0, 'x', 0L, 'c', 0L), (a, e) -> named_struct('n', a.n + 1, 'x', a.x ^ e.k, 'c', a.c ^ e.c))")
-    strip = _let("own", f"filter(es, e -> pmod(shiftright(e.h, 20), {strips}) = s)", f"transform(sequence(0, {ROWS * WIDTH - 1}), at -> {cell})")
-    return _let("es", hashed, f"transform(sequence(0, {strips} - 1), s -> {strip})")
+    strip = _let("own", "filter(es, e -> e.s = s)", f"transform({BITS}, bit -> {cell})")
+    group = _let("es", "filter(every, e -> e.s div w = o)", f"transform(sequence(o * w, least(o * w + w, {strips}) - 1), s -> {strip})")
+    groups = f"flatten(transform(sequence(0, cast(ceil({strips} / w) AS int) - 1), o -> {group}))"
+    return _let("every", hashed, _let("w", f"cast(ceil(sqrt({strips})) AS int)", groups))
 
 
 def subtract_sql(a: str, b: str) -> str:
@@ -72,8 +83,8 @@ def subtract_sql(a: str, b: str) -> str:
 def peel_sql(strip: str, turn: str) -> str:
     """Number of digests that a strip of a difference holds; -1 if it does not peel."""
     pure = "array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.x, 'check')), c -> named_struct('n', c.n, 'x', c.x)))"
-    hashed = f"transform({pure}, k -> named_struct('n', k.n, 'x', k.x, 'h', xxhash64(k.x, {turn}), 'c', xxhash64(k.x, 'check')))"
-    out = (f"transform(st.cells, (c, at) -> aggregate(filter(found, k -> {_cell('k.h', f'(at div {WIDTH})')} = at % {WIDTH}), c, "
+    hashed = f"transform({pure}, k -> named_struct('n', k.n, 'x', k.x, 'c', xxhash64(k.x, 'check'), 'm', {_mask(f'xxhash64(k.x, {turn})')}))"
+    out = (f"zip_with(st.cells, {BITS}, (c, bit) -> aggregate(filter(found, k -> (k.m & bit) <> 0), c, "
            "(a, k) -> named_struct('n', a.n - k.n, 'x', a.x ^ k.x, 'c', a.c ^ k.c)))")
     step = _let("found", hashed, f"if(size(found) = 0, named_struct('cells', st.cells, 'n', st.n, 'over', true), named_struct('cells', {out}, 'n', st.n + size(found), 'over', false))")
     loop = (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {strip}, 'n', 0, 'over', false), "
@@ -81,26 +92,40 @@ def peel_sql(strip: str, turn: str) -> str:
     return loop
 
 
+def _strip_of(k: str, strips: str, turn: str) -> str:
+    return f"cast(pmod(shiftright(xxhash64({k}, {turn}), 20), {strips}) AS int)"
+
+
 def difference_sql(a: str, b: str) -> str:
-    """Number of digests in one of two sets only, from sketches of one strip, then of a strip for four digests of
-    either set, then of four times as many and so on: the first that peels."""
-    counts = f"transform({subtract_sql(sketch_sql(a, 'g', 't'), sketch_sql(b, 'g', 't'))}, d -> {peel_sql('d', 't')})"
-    total = _let("cs", counts, "if(exists(cs, c -> c < 0), -1, aggregate(cs, 0, (u, c) -> u + c))")
-    strips = f"if(t = 0, 1, cast(greatest(4, (size({a}) + size({b})) div 4) * shiftleft(1, 2 * (t - 1)) AS int))"
-    return f"aggregate(sequence(0, {TURNS - 1}), -1, (done, t) -> if(done >= 0, done, " + _let("g", strips, total) + "))"
+    """Number of digests in one of two sets only.
+
+    The first turn has one strip, the next one a strip for four digests; the digests
+    of the strips that did not peel go on to the next turn, with a strip for each.
+    Should two digests share their cells in every turn, they are compared themselves.
+    """
+    counts = f"transform({subtract_sql(sketch_sql('st.a', 'g', 't'), sketch_sql('st.b', 'g', 't'))}, d -> {peel_sql('d', 't')})"
+    stays = lambda keys: f"filter({keys}, k -> element_at(cs, {_strip_of('k', 'g', 't')} + 1) < 0)"
+    step = _let("cs", counts, f"named_struct('a', {stays('st.a')}, 'b', {stays('st.b')}, 'n', st.n + aggregate(cs, 0, (u, c) -> u + greatest(c, 0)))")
+    strips = "if(t = 0, 1, cast(greatest(4, (size(st.a) + size(st.b)) div if(t = 1, 4, 1)) AS int))"
+    none = "cast(array() AS array<bigint>)"
+    # a set of far more digests than cells cannot peel in one strip, nor can a difference that is larger than the cells
+    turn = f"if(size(st.a) + size(st.b) = 0 OR (t = 0 AND abs(size(st.a) - size(st.b)) > {ROWS * WIDTH}), st, {_let('g', strips, step)})"
+    rest = "st.n + size(array_except(st.a, st.b)) + size(array_except(st.b, st.a))"
+    return f"aggregate(sequence(0, {TURNS - 1}), named_struct('a', coalesce({a}, {none}), 'b', coalesce({b}, {none}), 'n', 0), (st, t) -> {turn}, st -> {rest})"
 
 
 def likeness(a: str, b: str) -> Column:
     """Common paragraphs by all paragraphs of two digest columns, from the peeled difference of their sketches."""
     n = f"(size({a}) + size({b}))"
     d = f"if({a} = {b}, 0, {difference_sql(a, b)})"
-    return F.expr(f"CASE WHEN {n} = 0 THEN 1.0D ELSE " + _let("d", d, f"CASE WHEN d < 0 THEN cast(raise_error('a difference did not peel') AS double) ELSE ({n} - d) / cast({n} + d AS double) END") + " END")
+    return F.expr(f"CASE WHEN {n} = 0 THEN 1.0D ELSE " + _let("d", d, f"({n} - d) / cast({n} + d AS double)") + " END")
 
 
 def fingerprint(keys: str) -> Column:
-    """The sketch of one strip as text: count, exclusive or and check of each cell."""
+    """The sketch of one strip as text: the number of digests, then count, exclusive or and check of each cell, whole, in
+    hexadecimal; two fingerprints can be subtracted and peeled."""
     cells = f"element_at({sketch_sql(keys, '1', '0')}, 1)"
-    return F.expr(f"concat(size({keys}), '.', array_join(transform({cells}, c -> concat(lpad(hex(c.n), 2, '0'), lpad(hex(c.x), 16, '0'), right(lpad(hex(c.c), 16, '0'), 4))), ''))")
+    return F.expr(f"concat(size({keys}), ':', array_join(transform({cells}, c -> if(c.n = 0, '', concat_ws('.', hex(c.n), hex(c.x), hex(c.c)))), ','))")
 
 
 def with_stretch(docs: DataFrame, id_col: str) -> DataFrame:
@@ -165,5 +190,7 @@ def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def compare(pairs: DataFrame) -> DataFrame:
     """``versions`` rows -> fingerprints of both texts, likeness to the edited and to the next text."""
+    # few bytes, much work: a given number of partitions is not coalesced by size
+    pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "edited_sha256")
     return pairs.select("id", "n_chars", "edited_sha256", fingerprint("own").alias("fingerprint"), fingerprint("edited").alias("edited_fingerprint"),
                         likeness("own", "edited").alias("near_edited"), likeness("own", "following").alias("near_next"))
