@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -281,3 +281,28 @@ def live_indicators(bars_stream: DataFrame, init_state: DataFrame | None = None,
     return src.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=output_schema(proc.spans),
         outputMode="Append", timeMode="EventTime", initialState=init)
+
+
+def _stored(spark: SparkSession, checkpoint: str, name: str, operator: int) -> DataFrame:
+    return spark.read.format("statestore").option("operatorId", operator).option("stateVarName", name).load(checkpoint)
+
+
+def live_state(spark: SparkSession, checkpoint: str, spans=tuple(EMA_SPANS) + (LONG_SPAN,), operator: int = 0) -> DataFrame:
+    """The indicator state of a stopped live query, read from its checkpoint, in the form of ``warm_state``.
+
+    The number of state partitions is fixed for the life of a checkpoint; a query with
+    another one starts from this table on a new checkpoint, with ``waiting_bars``
+    among its input.  ``operator`` is the place of the live step among the query's stateful steps.
+    """
+    v = F.col("value")
+    return _stored(spark, checkpoint, "indicators", operator).select(
+        F.col("key.symbol").alias("symbol"), *[v["ema"][i].alias(f"ema_{n}") for i, n in enumerate(spans)], v["signal"].alias("signal"),
+        F.timestamp_micros(v["last_us"]).alias("last_datetime"), v["n"].alias("n_bars"), v["tail_high"].alias("tail_high"), v["tail_low"].alias("tail_low"))
+
+
+def waiting_bars(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The bars that a stopped live query has taken in but not released, as input for the query that goes on."""
+    each = _stored(spark, checkpoint, "waiting", operator).select(
+        F.col("key.symbol").alias("symbol"), F.inline(F.arrays_zip(*[F.col("user_map_value")[c].alias(c) for c in ("us", *DECIDES)])))
+    at = F.timestamp_add("MICROSECOND", F.col("us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return each.select("symbol", at.alias("datetime"), "open", "high", "low", "close", "volume")

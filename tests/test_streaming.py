@@ -186,6 +186,32 @@ def test_warm_state_then_live_equals_one_batch(spark, tmp_path):
     _compare(live, _batch_indicators(bars))
 
 
+def test_state_read_as_a_table_goes_on_with_other_partitions(spark, tmp_path):
+    """Live with four state partitions, stopped while bars wait; state and waiting bars move to three partitions: one run's result."""
+    from barsmith.streaming.live import live_state, waiting_bars
+    bars = rand_bars(spark, "A", 120, 16).unionByName(rand_bars(spark, "0700", 70, 17))
+    cut = T0 + dt.timedelta(minutes=50)
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    bars.where(F.col("datetime") < F.lit(cut)).coalesce(1).write.parquet(f"{src}/p0")
+    s = bar_file_stream(spark, f"{src}/*", BAR_SCHEMA, 1).withWatermark("datetime", "15 minutes")
+    run(start(live_indicators(s), ck, out, state_partitions=4))
+    before = wall_time(read_store(spark, out)).toPandas()
+    state = live_state(spark, ck)
+    waiting = waiting_bars(spark, ck).select(*COLS)
+    assert sorted(r.n_bars for r in state.collect()) == sorted(before.groupby("symbol").size())
+    assert waiting.count() + len(before) == 100 and waiting.count() > 0
+    again = str(tmp_path / "again")
+    src2 = f"{again}/src"
+    bars.where(F.col("datetime") >= F.lit(cut)).unionByName(waiting).coalesce(1).write.parquet(f"{src2}/p0")
+    init = save_warm_state(state, str(tmp_path / "state"))
+    heartbeat(spark, f"{src2}/zz", bars, "15 minutes")
+    s = bar_file_stream(spark, f"{src2}/*", BAR_SCHEMA, 1).withWatermark("datetime", "15 minutes")
+    run(start(live_indicators(s, init), f"{again}/ck", f"{again}/out", state_partitions=3))
+    both = pd.concat([before, wall_time(read_store(spark, f"{again}/out")).toPandas()])
+    assert len(both) == 190
+    _compare(both, _batch_indicators(bars))
+
+
 def test_overlap_after_restart_is_deduplicated(spark, tmp_path):
     bars = rand_bars(spark, "A", 30, 8)
     src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
