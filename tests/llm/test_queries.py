@@ -13,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 def test_names_and_sql():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(queries.oracle_sql()) <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and set(queries.oracle_sql()) <= set(names)
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
