@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.functions.parse import parse_bars, topic_name, wire_value, with_symbol
+from barsmith.schema import WIRE_FIELDS
 
 
 def kafka_reader_options(servers: str, topics: list[str] | str,
@@ -36,20 +37,38 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str] | str,
     raw = (spark.readStream.format("kafka")
            .options(**kafka_reader_options(servers, topics, starting_offsets,
                                            max_offsets_per_trigger)).load())
+    return decode_kafka(raw, price_type)
+
+
+def decode_kafka(raw: DataFrame, price_type: str = "double") -> DataFrame:
+    """Typed bars of (topic, value) rows as Kafka gives them, values as bytes or text."""
     return parse_bars(with_symbol(raw, F.col("topic")), "value", price_type)
 
 
-def encode_for_kafka(df: DataFrame) -> DataFrame:
-    """(topic, key, value) rows: topic per symbol, JSON text with string fields."""
-    return df.select(topic_name("symbol").alias("topic"),
-                     F.col("symbol").cast("string").alias("key"),
-                     wire_value(df).alias("value"))
+def encode_for_kafka(df: DataFrame, incomplete: str = "keep") -> DataFrame:
+    """(topic, key, value) rows: topic per symbol, JSON text with string fields.
+
+    A missing value has no field in the text.  ``incomplete`` says what becomes of rows
+    with one, or without a symbol: ``keep``, ``drop``, or ``error``, which fails the job.
+    """
+    if incomplete not in ("keep", "drop", "error"):
+        raise ValueError("incomplete is keep, drop or error")
+    lacks = F.lit(False)
+    for c in ["symbol", *[f for f in WIRE_FIELDS if f in df.columns]]:
+        lacks = lacks | F.col(c).isNull()
+    value = wire_value(df)
+    if incomplete == "drop":
+        df = df.where(~lacks)
+    elif incomplete == "error":
+        said = F.concat(F.lit("a bar of "), F.coalesce(F.col("symbol").cast("string"), F.lit("no symbol")), F.lit(" lacks a field: "), value)
+        value = F.when(lacks, F.raise_error(said)).otherwise(value)
+    return df.select(topic_name("symbol").alias("topic"), F.col("symbol").cast("string").alias("key"), value.alias("value"))
 
 
-def write_kafka(df: DataFrame, servers: str, checkpoint: str | None = None):
+def write_kafka(df: DataFrame, servers: str, checkpoint: str | None = None, incomplete: str = "error"):
     """Publish bars; batch frames are written, streaming frames start a query,
-    which needs a checkpoint."""
-    enc = encode_for_kafka(df)
+    which needs a checkpoint.  Incomplete bars are refused unless ``incomplete`` says otherwise."""
+    enc = encode_for_kafka(df, incomplete)
     if df.isStreaming:
         if not checkpoint:
             raise ValueError("a streaming query needs a checkpoint folder")

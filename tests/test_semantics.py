@@ -258,3 +258,26 @@ def test_symbols_that_look_like_numbers_stay_text(spark, tmp_path):
     assert sorted(got.select(*bars.columns).collect()) == sorted(bars.collect())
     assert scan(spark, str(tmp_path / "store"), "0700", dt.datetime(2024, 1, 6), 2).count() == 3
     assert dict(read_store(spark, str(tmp_path / "store")).dtypes)["date"] == "date"
+
+
+def test_incomplete_bars_are_refused_or_dropped_when_published(spark):
+    from barsmith.sources.kafka import encode_for_kafka
+    bars = minute_bars(spark, "A", dt.datetime(2024, 1, 5, 10), [5, 6, 7]).withColumn("close", F.when(F.col("high") != 6, F.col("close")))
+    assert [r.value.count('"close"') for r in encode_for_kafka(bars).collect()] == [1, 0, 1]
+    assert encode_for_kafka(bars, "drop").count() == 2
+    assert encode_for_kafka(bars.where("close is not null"), "error").count() == 2
+    with pytest.raises(Exception, match="a bar of A lacks a field"):
+        encode_for_kafka(bars, "error").collect()
+    with pytest.raises(ValueError):
+        encode_for_kafka(bars, "ignore")
+
+
+def test_topics_become_symbols(spark):
+    """Rows as the Kafka source gives them: bytes, a topic each; junk becomes a row of nulls."""
+    from barsmith.sources.kafka import decode_kafka, encode_for_kafka
+    bars = minute_bars(spark, "EUR/USD", dt.datetime(2024, 1, 5, 10), [5, 6]).unionByName(minute_bars(spark, "0700", dt.datetime(2024, 1, 5, 10), [7]))
+    raw = encode_for_kafka(bars).select("topic", F.col("value").cast("binary").alias("value"))
+    raw = raw.unionByName(spark.createDataFrame([("0700", bytearray(b"{junk"))], "topic string, value binary"))
+    got = sorted((r.symbol, str(r.datetime), r.close, r.volume) for r in decode_kafka(raw).collect())
+    want = [(r.symbol.lower().replace("/", "-"), str(r.datetime), r.close, r.volume) for r in bars.collect()] + [("0700", "None", None, None)]
+    assert got == sorted(want, key=lambda r: (r[0], r[1]))
