@@ -18,8 +18,10 @@ compared in full: small ones as pairs, large ones as pairs of blocks of bounded
 size, each a group of its own that returns verified links only.  There, two members
 are compared once, in the first band that they share, and not if they are known to
 be connected; their shared k-mers, counted for many members at once, reject most.
-No bucket is dropped and no bucket is collected; texts are joined to the pairs and
-blocks that need them.
+No bucket is dropped and no bucket is collected; k-mers are joined to the pairs and
+blocks that need them.  Texts are not shuffled for that: a bitmap of bounded size,
+over hashes of the ids that share a bucket, tells which texts are read again, and an
+exact join drops the k-mers of those that it let through by chance.
 
 Defined cases: texts without words (null, empty, blank) are linked to nothing;
 rows with a null id are left out; an id that occurs twice is one document with
@@ -43,6 +45,8 @@ SHINGLE, SIMILARITY, BANDS = 5, 0.8, 12
 SMALL, BLOCK, MEMO = 32, 512, 400_000
 #: k-mers looked up at a time when one member of a block is compared with the others.
 COUNTED = 1 << 18
+#: Bits for an id in the bitmap of wanted ids, the most in all (16 MB), and those of one row of it.
+ID_BITS, MOST_BITS, ROW_BITS = 32, 1 << 27, 1 << 15
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
 
@@ -205,6 +209,22 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS) -> D
         run, "id long, digest binary, n long, keys array<long>")
 
 
+def likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id is in ``wanted``, and few others; rows stay where they are.
+
+    One bit for each hash of an id; with more ids than the bitmap is made for, more
+    others stay, and none that is wanted is lost.
+    """
+    n = wanted.agg(F.approx_count_distinct("id")).first()[0]
+    rows = max(1, min(MOST_BITS, ID_BITS * n) // ROW_BITS)
+    spot = F.pmod(F.xxhash64("id", F.lit("bitmap")), F.lit(rows * ROW_BITS))
+    row, bit = (spot / ROW_BITS).cast("int"), (spot % ROW_BITS).cast("int")
+    bitmap = wanted.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    placed = texts.withColumn("row", row).withColumn("bit", bit)
+    byte = F.conv(F.hex(F.expr("substring(bits, bit div 8 + 1, 1)")), 16, 10).cast("int")
+    return placed.join(F.broadcast(bitmap), "row").where(F.getbit(byte, F.col("bit") % 8) == 1).select(*texts.columns)
+
+
 def sequences(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """(id, seq): the k-mers, 32 bits each, of the documents in ``wanted``; of an id's texts the one that is sketched."""
 
@@ -221,8 +241,8 @@ def sequences(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
                      pa.array([small[ends[i] - counts[i]:ends[i]].tobytes() for i in full], pa.binary())], names=["id", "digest", "seq"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return (texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(run, "id long, digest binary, seq binary")
-            .groupBy("id").agg(F.min_by("seq", "digest").alias("seq")))
+    return (likely(texts, wanted).mapInArrow(run, "id long, digest binary, seq binary")
+            .groupBy("id").agg(F.min_by("seq", "digest").alias("seq")).join(wanted.select("id"), "id", "left_semi"))
 
 
 def verify(pairs: DataFrame, seqs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -335,7 +355,7 @@ def link(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: fl
     shared = materialise(rows.select("bucket", "band", "id").join(sizes, "bucket"), "buckets")
     company = shared.groupBy("id").agg(F.sum("n").alias("company"))
     buckets = materialise(shared.join(company, "id"), "buckets")
-    seqs = materialise(sequences(docs, id_col, text_col, company), "kmers")
+    seqs = materialise(sequences(docs, id_col, text_col, buckets.select("id").distinct()), "kmers")
     # a star around the member that is found in most company
     top = F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top")
     leaders = buckets.groupBy("bucket").agg(top).select("bucket", (-F.col("top.minus")).alias("leader"))

@@ -91,6 +91,29 @@ def test_pairs_that_share_only_a_large_bucket(spark, monkeypatch, block):
     assert got == {i: i - 1 if i % 2 and i - 1 in pairs else i for i in range(240)}
 
 
+def test_texts_are_not_shuffled_to_be_read_again(spark, monkeypatch, capsys):
+    """Neither few nor many wanted ids move a text; those that the bitmap lets through by chance are dropped, none is lost."""
+    rows = [(i, f"text {i} " + "word " * 20) for i in range(3000)] + [(5, "another text"), (None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = spark.range(0, 3500, 5).toDF("id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = order_minhash.sequences(df, "doc_id", "text", wanted)
+        got.explain("formatted")
+        moved = [x.split("\n\n")[0] for x in re.findall(r"\(\d+\) Exchange.*?(?=\n\(\d+\)|\Z)", capsys.readouterr().out, re.S)]
+        assert moved and not any("text#" in x for x in moved)
+        assert sorted(r.id for r in got.collect()) == list(range(0, 3000, 5))
+        texts = df.withColumnRenamed("doc_id", "id")
+        assert 601 <= order_minhash.likely(texts, wanted).count() < 800
+        monkeypatch.setattr(order_minhash, "ROW_BITS", 64)
+        monkeypatch.setattr(order_minhash, "MOST_BITS", 256)
+        assert order_minhash.likely(texts, wanted).count() > 2000
+        assert sorted(r.id for r in order_minhash.sequences(df, "doc_id", "text", wanted).collect()) == list(range(0, 3000, 5))
+        assert order_minhash.sequences(df, "doc_id", "text", wanted.limit(0)).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_documents(no_docs):
     assert order_minhash.classes(no_docs).collect() == [] and mixing.plan(no_docs).collect() == [] and iblt.versions(no_docs).collect() == []
 
