@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
 Vectors are put on a unit sphere of one dimension more, where the nearest point
-is the one of largest inner product.  Every shard of vectors keeps a sorted array
-for each random projection.  Around a query, windows of the arrays are widened
-round by round (virtual rehashing: a window of radius R stands for buckets of that
-width, centred at the query); a vector collides once for each window that holds
-it.  Vectors with enough collisions are verified by their inner product in double
-precision.  A query ends when its k-th best verified vector is nearer than R, or
-when R covers the sphere: then everything has been verified.
+is the one of largest inner product.  Every shard of vectors keeps, for each side
+of each random projection, lists of the vectors that reach far out there.  A query
+counts on the projections where it reaches farthest itself; a vector collides once
+for each of their windows that holds it.  The vectors with most collisions are
+verified by their inner product in double precision, and the k-th best of them is
+a bound.  Given the query's places, a vector of some inner product lies in each
+window with a known probability, whatever the data are; all vectors with as many
+collisions as one at the bound has but for ``SLACK`` deviations are verified.  If
+these are too many, or that number is below one, the windows are widened round by
+round (virtual rehashing); after the last round everything is verified.
 
 Equal vectors are searched once: candidates are distinct vectors with the
 smallest ids that have them, queries are distinct vectors joined back to their
@@ -23,6 +26,9 @@ returned; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -30,70 +36,89 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.common import materialise, prepare
 
-#: Projections, half a window's width at radius 1, first radius, growth of the radius.
-PROJECTIONS, HALF, FIRST, GROWTH = 128, 0.9, 0.75, 1.07
-#: Share of the projections in which a vector at the radius collides (erf(HALF / sqrt 2)), and deviations below it.
-COLLIDE, SLACK = 0.6319, 1.9
-SHARD_ROWS, BLOCK_ROWS = 32_768, 4_096
+#: Projections in all, those that a query counts on, and the lower edges of a window in each round.
+PROJECTIONS, COUNTED, EDGES = 1024, 128, (1.5, 1.0, 0.5)
+#: Deviations below the expected collisions of the k-th best at which a vector is still verified.
+SLACK = 2.0
+#: Vectors verified first for a bound, as a multiple of k; share of a shard that is verified without a wider window.
+FULLEST, FEW = 2, 0.5
+#: Vectors of a shard, queries of a block, and groups of both at least.
+SHARD_ROWS, BLOCK_ROWS, GROUPS = 32_768, 8_192, 8
+#: Projections that are computed at a time.
+STRIP = 64
+#: The normal distribution function, by linear interpolation.
+GRID = np.linspace(-8.0, 8.0, 4097)
+NORMAL = np.array([0.5 * (1 + math.erf(x / math.sqrt(2))) for x in GRID])
 
 
 class ShardIndex:
-    """Sorted projections of a shard's vectors."""
+    """Lists of a shard's vectors that reach far out on a projection, for each projection, side and round."""
 
     def __init__(self, vectors: np.ndarray, scale: float, seed: int = 11):
         self.vectors, self.scale = vectors, scale
         unit = vectors / scale
-        n, dim = unit.shape
-        self.axes = np.random.default_rng(seed).standard_normal((dim + 1, PROJECTIONS))
         rest = np.sqrt(np.maximum(0.0, 1 - (unit * unit).sum(1)))
-        own = unit @ self.axes[:dim] + rest[:, None] * self.axes[dim]
-        self.order = np.argsort(own, axis=0).T.astype(np.int32).copy()
-        self.values = np.take_along_axis(own, self.order.T, axis=0).T.copy()
-        self.need = int(PROJECTIONS * COLLIDE - SLACK * np.sqrt(PROJECTIONS * COLLIDE * (1 - COLLIDE)))
-
-    def search(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        self.lifted = np.column_stack([unit, rest]).astype(np.float32)
+        self.axes = np.random.default_rng(seed).standard_normal((unit.shape[1] + 1, PROJECTIONS))
+        self.rings: list[tuple[list[int], np.ndarray]] = []
+
+    def ring(self, at: int) -> tuple[list[int], np.ndarray]:
+        """Starts and lines of the lists between the edges of round ``at`` and of the one before: the upper sides, then the lower ones."""
+        while len(self.rings) <= at:
+            inner, outer = EDGES[len(self.rings)], EDGES[len(self.rings) - 1] if self.rings else np.inf
+            sizes: tuple[list, list] = ([], [])
+            lines: tuple[list, list] = ([], [])
+            for j in range(0, PROJECTIONS, STRIP):
+                own = self.axes[:, j:j + STRIP].T.astype(np.float32) @ self.lifted.T
+                for side in (0, 1):
+                    held = (own >= inner) & (own < outer) if side == 0 else (own <= -inner) & (own > -outer)
+                    sizes[side].append(held.sum(1))
+                    lines[side].append(np.nonzero(held)[1].astype(np.int32))
+            starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes[0] + sizes[1]))])
+            self.rings.append((starts.tolist(), np.concatenate(lines[0] + lines[1])))
+        return self.rings[at]
+
+    def search(self, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query the lines of verified vectors that can be among the k best, and their inner products."""
         n, dim = self.vectors.shape
         norms = np.linalg.norm(queries, axis=1)
-        at = (queries / norms[:, None]) @ self.axes[:dim]
-        low = high = None
-        counts = np.zeros((len(queries), n), np.uint8)
-        known = np.zeros((len(queries), n), bool)
-        found: list[list[np.ndarray]] = [[] for _ in queries]
-        scores: list[list[np.ndarray]] = [[] for _ in queries]
-        live = np.arange(len(queries))
-        radius = FIRST
-        while len(live):
-            everything = radius > 2.0
-            half = np.inf if everything else HALF * radius
-            lo = np.stack([np.searchsorted(self.values[j], at[live, j] - half, "left") for j in range(PROJECTIONS)], 1)
-            hi = np.stack([np.searchsorted(self.values[j], at[live, j] + half, "right") for j in range(PROJECTIONS)], 1)
-            if low is None:                                # nothing is counted yet: empty windows
-                low, high = lo.copy(), lo.copy()
-            rest = []
-            for i, q in enumerate(live):
-                slices = [self.order[j, a:b] for j, (a, b) in enumerate(zip(lo[i].tolist(), low[q].tolist())) if a < b]
-                slices += [self.order[j, a:b] for j, (a, b) in enumerate(zip(high[q].tolist(), hi[i].tolist())) if a < b]
-                if slices:
-                    counts[q] += np.bincount(np.concatenate(slices), minlength=n).astype(np.uint8)
-                fresh = np.flatnonzero((counts[q] >= self.need) & ~known[q])
-                if len(fresh):
-                    known[q, fresh] = True
-                    found[q].append(fresh)
-                    scores[q].append((self.vectors[fresh] * queries[q]).sum(1))
-                low[q], high[q] = lo[i], hi[i]
-                if everything:
+        for query, norm in zip(queries, norms):
+            own = (query / norm) @ self.axes[:dim]
+            far = np.argpartition(np.abs(own), PROJECTIONS - COUNTED)[-COUNTED:]
+            out = np.abs(own[far])
+            lists = np.where(own[far] >= 0, far, far + PROJECTIONS).tolist()
+            counts, known = 0, np.zeros(n, bool)
+            found: list[np.ndarray] = []
+            scores: list[np.ndarray] = []
+
+            def verify(lines: np.ndarray) -> None:
+                fresh = lines[~known[lines]]
+                known[fresh] = True
+                found.append(fresh)
+                scores.append(np.einsum("ij,j->i", self.vectors[fresh], query))
+
+            for at, edge in enumerate(EDGES):
+                starts, lines = self.ring(at)
+                counts = counts + np.bincount(np.concatenate([lines[starts[j]:starts[j + 1]] for j in lists]), minlength=n)
+                # a bound from the vectors with most collisions
+                at_least = np.cumsum(np.bincount(counts)[::-1])[::-1]
+                level = int(np.count_nonzero(at_least >= FULLEST * k)) - 1
+                if level < 1:
                     continue
-                if sum(map(len, scores[q])) >= k:
-                    s = np.concatenate(scores[q])
-                    best = np.partition(s, len(s) - k)[len(s) - k]
-                    # squared distance on the unit sphere of the k-th best
-                    if 2 - 2 * best / (norms[q] * self.scale) <= radius * radius:
-                        continue
-                rest.append(q)
-            live = np.array(rest, np.int64)
-            radius *= GROWTH
-        return [(np.concatenate(f) if f else np.zeros(0, np.int64), np.concatenate(s) if s else np.zeros(0)) for f, s in zip(found, scores)]
+                verify(np.flatnonzero(counts >= level))
+                s = np.concatenate(scores)
+                bound = min(np.partition(s, len(s) - k)[len(s) - k] / (norm * self.scale), 1.0)
+                # given the query's place on an axis, a vector's place is normal around bound times it, axis by axis independent
+                p = np.interp((bound * out - edge) / math.sqrt(max(1 - bound * bound, 1e-12)), GRID, NORMAL)
+                expected = p.sum() - SLACK * math.sqrt((p * (1 - p)).sum())
+                need = math.ceil(expected) if expected > 0 else 0
+                if need and (need >= len(at_least) or at_least[need] <= FEW * n):
+                    if need < level:
+                        verify(np.flatnonzero(counts >= need))
+                    break
+            else:
+                verify(np.arange(n))
+            yield np.concatenate(found), np.concatenate(scores)
 
 
 def usable(vector: str) -> Column:
@@ -118,7 +143,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     asked = rows.where("q").groupBy("key").agg(F.first("v").alias("v")).withColumn("dim", F.size("v"))
     asked = materialise(asked, "distinct-queries")
     n, top = groups.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    shards, blocks = max(4, -(-n // SHARD_ROWS)), max(4, -(-asked.count() // BLOCK_ROWS))
+    # few large shards: the k-th best of more vectors is nearer and fewer collide as often
+    shards = max(1, -(-n // SHARD_ROWS))
+    blocks = max(-(-GROUPS // shards), -(-asked.count() // BLOCK_ROWS))
     scale = float(top or 1.0) * (1 + 1e-12)
     spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     held = groups.withColumn("shard", F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)).cast("int")).withColumn("block", spread)
@@ -137,17 +164,14 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             index = ShardIndex(matrix(own.column("v"), dim), scale)
             members = own.column("ids").to_pylist()
             keys = queries.column("key").to_pylist()
-            asked_for = matrix(queries.column("v"), dim)
-            step = max(1, (32 << 20) // max(1, own.num_rows))          # bounds the counters
-            for at in range(0, len(keys), step):
-                for key, (lines, scores) in zip(keys[at:at + step], index.search(asked_for[at:at + step], k + 1)):
-                    if len(lines) > k + 1:                             # ties at the border stay
-                        keep = scores >= np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-                        lines, scores = lines[keep], scores[keep]
-                    got = sorted((-s, i) for line, s in zip(lines.tolist(), scores.tolist()) for i in members[line])[:k + 1]
-                    out_key += [key] * len(got)
-                    out_id.append(np.array([i for _, i in got], np.int64))
-                    out_score.append(np.array([-s for s, _ in got]))
+            for key, (lines, scores) in zip(keys, index.search(matrix(queries.column("v"), dim), k + 1)):
+                if len(lines) > k + 1:                                 # ties at the border stay
+                    keep = scores >= np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                    lines, scores = lines[keep], scores[keep]
+                got = sorted((-s, i) for line, s in zip(lines.tolist(), scores.tolist()) for i in members[line])[:k + 1]
+                out_key += [key] * len(got)
+                out_id.append(np.array([i for _, i in got], np.int64))
+                out_score.append(np.array([-s for s, _ in got]))
         return pa.table({"key": pa.array(out_key, pa.string()), "vec_id": pa.array(np.concatenate(out_id) if out_id else [], pa.int64()),
                          "score": pa.array(np.concatenate(out_score) if out_score else [], pa.float64())})
 

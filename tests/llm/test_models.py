@@ -127,6 +127,25 @@ def test_neighbours_against_brute_force(spark, hot):
     assert hits >= 0.95 * 45 * 20 and set(got) == set(range(0, 900, 20))
 
 
+@pytest.mark.parametrize("clusters", [0, 50])
+def test_few_vectors_are_verified(clusters):
+    """Without clusters most vectors must not be verified either, and nearly all of the nearest are."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(10_000, 64))
+    if clusters:
+        x = x * 0.5 + rng.normal(size=(clusters, 64))[rng.integers(0, clusters, len(x))]
+    x *= rng.uniform(0.9, 1.0, (len(x), 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    queries = x[::200]
+    index = collision_ann.ShardIndex(x, np.linalg.norm(x, axis=1).max())
+    verified = hits = 0
+    for q, (lines, scores) in zip(queries, index.search(queries, 21)):
+        inner = (x * q).sum(1)
+        assert len(set(lines.tolist())) == len(lines) and np.abs(inner[lines] - scores).max() < 1e-12
+        verified += len(lines)
+        hits += len(set(np.argsort(-inner)[:21].tolist()) & set(lines.tolist()))
+    assert verified < 0.25 * len(queries) * len(x) and hits >= 0.98 * 21 * len(queries)
+
+
 def test_fewer_candidates_than_asked_for(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 2.0]), (3, [1.0, 2.0, 3.0])], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in collision_ann.search(df, df.vec_id == 0).collect())
